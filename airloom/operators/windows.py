@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,93 +50,85 @@ def _levels(built: dict[int, int]) -> list[list[int]]:
     return [[s for s in built if depth[s] == d] for d in range(1, deepest + 1)]
 
 
-def _state(size: int) -> str:
-    return f"_frame_{size}"
+def _merge(size: int, unit: int, spread: bool, extremes: bool) -> tuple[list, list]:
+    """SQL for the statistics of ``size`` rows out of adjacent ``unit``-row frames.
 
-
-def _row_state(x: Column, spread: bool, extremes: bool) -> Column:
-    present = x.isNotNull()
-    fields = [
-        F.when(present, 1.0).otherwise(0.0).alias("n"),
-        F.coalesce(x, F.lit(0.0)).alias("s"),
-    ]
-    if spread:
-        fields.append(F.lit(0.0).alias("m2"))
+    ``n`` counts values, ``m`` is their mean and ``q`` the squared deviations from
+    it; merging means and deviations keeps every digit where sums of squares
+    would cancel.  ``q`` needs the merged mean, hence the second list.
+    """
+    offsets = range(unit, size, unit)
+    part = {f: [f"_{f}_{unit}", *(f"_{f}_{unit}_{o}" for o in offsets)]
+            for f in ("n", "m", "q", "lo", "hi")}
+    pairs = list(zip(part["n"], part["m"]))
+    n = " + ".join(part["n"])
+    m = " + ".join(f"{a} * {b}" for a, b in pairs)
+    first = [f"{n} AS _n_{size}", f"coalesce(try_divide({m}, {n}), 0D) AS _m_{size}"]
     if extremes:
-        fields += [x.alias("lo"), x.alias("hi")]
-    return F.struct(*fields)
-
-
-def _merge(parts: list[Column], spread: bool, extremes: bool) -> Column:
-    """Statistics of adjacent frames put together; an absent part counts nothing."""
-
-    def number(part: Column, field: str) -> Column:
-        return F.coalesce(part[field], F.lit(0.0))
-
-    n = reduce(lambda a, b: a + b, [number(p, "n") for p in parts])
-    s = reduce(lambda a, b: a + b, [number(p, "s") for p in parts])
-    fields = [n.alias("n"), s.alias("s")]
+        first.append(f"least({', '.join(part['lo'])}) AS _lo_{size}")
+        first.append(f"greatest({', '.join(part['hi'])}) AS _hi_{size}")
+    second = []
     if spread:
-        mean = F.try_divide(s, n)
-        terms = [
-            number(p, "m2")
-            + F.when(
-                p["n"] > 0, p["n"] * F.pow(p["s"] / p["n"] - mean, F.lit(2.0))
-            ).otherwise(0.0)
-            for p in parts
-        ]
-        fields.append(reduce(lambda a, b: a + b, terms).alias("m2"))
-    if extremes:
-        fields.append(F.least(*[p["lo"] for p in parts]).alias("lo"))
-        fields.append(F.greatest(*[p["hi"] for p in parts]).alias("hi"))
-    return F.struct(*fields)
+        off = [f"{a} * ({b} - _m_{size}) * ({b} - _m_{size})" for a, b in pairs]
+        second.append(f"{' + '.join(part['q'] + off)} AS _q_{size}")
+    return first, second
 
 
 def _framed(
-    rows: DataFrame, arranged: Arranged, x: Column, sizes: Sequence[int],
+    rows: DataFrame, arranged: Arranged, column: str, sizes: Sequence[int],
     spread: bool, extremes: bool,
 ) -> DataFrame:
-    """Add ``_frame_<size>`` statistics for every size (and the sizes between)."""
+    """Add the statistics of every frame size (and of the sizes between)."""
     w = arranged.window()
-    rows = rows.withColumn(_state(1), _row_state(x, spread, extremes))
+    x = f"CAST(`{column}` AS DOUBLE)"
+    single = [
+        f"IF({x} IS NULL, 0D, 1D) AS _n_1", f"coalesce({x}, 0D) AS _m_1",
+        *(["0D AS _q_1"] if spread else []),
+        *([f"{x} AS _lo_1", f"{x} AS _hi_1"] if extremes else []),
+    ]
+    fields = ["n", "m", *(["q"] if spread else []), *(["lo", "hi"] if extremes else [])]
+    rows = rows.selectExpr("*", *single)
     built = composition(sizes)
     for level in _levels(built):
-        offsets = {
-            (built[size], i * built[size])
-            for size in level
-            for i in range(1, size // built[size])
-        }
-        reads = [
-            F.lag(_state(unit), offset).over(w).alias(f"_lag_{unit}_{offset}")
-            for unit, offset in sorted(offsets)
-        ]
+        reads = {(built[s], o) for s in level for o in range(built[s], s, built[s])}
         kept = rows.columns
-        rows = rows.select("*", *reads)
-        merged = []
+        rows = rows.select(
+            "*",
+            *[
+                F.lag(f"_{f}_{unit}", offset, None if f in ("lo", "hi") else 0.0)
+                .over(w)
+                .alias(f"_{f}_{unit}_{offset}")
+                for unit, offset in sorted(reads)
+                for f in fields
+                # A single row deviates by nothing.
+                if not (f == "q" and unit == 1)
+            ],
+        )
+        if spread and any(unit == 1 for unit, _ in reads):
+            rows = rows.selectExpr(
+                "*", *[f"0D AS _q_1_{o}" for unit, o in sorted(reads) if unit == 1]
+            )
+        firsts, seconds = [], []
         for size in level:
-            unit = built[size]
-            parts = [F.col(_state(unit))] + [
-                F.col(f"_lag_{unit}_{i * unit}") for i in range(1, size // unit)
-            ]
-            merged.append(_merge(parts, spread, extremes).alias(_state(size)))
-        rows = rows.select(*kept, *merged)
+            first, second = _merge(size, built[size], spread, extremes)
+            firsts += first
+            seconds += second
+        rows = rows.selectExpr("*", *firsts)
+        rows = rows.selectExpr(*kept, *[f.split(" AS ")[-1] for f in firsts], *seconds)
     return rows
 
 
-def _statistic(size: int, stat: str) -> Column:
-    state = F.col(_state(size))
+def _statistic(size: int, stat: str) -> str:
     if stat == "mean":
-        return F.try_divide(state["s"], state["n"])
+        return f"IF(_n_{size} > 0, _m_{size}, NULL)"
     if stat == "std":
-        return F.when(
-            state["n"] > 1, F.sqrt(F.try_divide(state["m2"], state["n"] - 1))
-        )
+        return f"IF(_n_{size} > 1, sqrt(_q_{size} / (_n_{size} - 1)), NULL)"
     if stat == "min":
-        return state["lo"]
+        return f"_lo_{size}"
     if stat == "max":
-        return state["hi"]
+        return f"_hi_{size}"
     if stat == "range":
-        return state["hi"] - state["lo"]
+        return f"_hi_{size} - _lo_{size}"
     raise ValueError(f"unknown rolling statistic {stat!r}")
 
 
@@ -171,40 +162,42 @@ def add_rolling(
     offset: int = 0,
 ) -> DataFrame:
     """As ``rolling``, on rows that are already arranged and extended."""
-    kept = rows.columns
-    x = F.col(column).cast("double")
-    if offset:
-        rows = rows.withColumn("_x", F.lag(x, offset).over(arranged.window()))
-        x = F.col("_x")
+    kept = [f"`{c}`" for c in rows.columns]
+    rows, source = _shifted(rows, arranged, column, offset)
     rows = _framed(
-        rows, arranged, x, sizes,
+        rows, arranged, source, sizes,
         spread="std" in stats, extremes=bool({"min", "max", "range"} & set(stats)),
     )
-    return rows.select(
+    return rows.selectExpr(
         *kept,
         *[
-            _statistic(size, stat).alias(
-                name.format(prefix=prefix or column, stat=stat, size=size)
-            )
+            f"{_statistic(size, stat)} AS `"
+            + name.format(prefix=prefix or column, stat=stat, size=size)
+            + "`"
             for size in sizes
             for stat in stats
         ],
     )
 
 
+def _shifted(
+    rows: DataFrame, arranged: Arranged, column: str, offset: int
+) -> tuple[DataFrame, str]:
+    if not offset:
+        return rows, column
+    return rows.withColumn("_x", F.lag(column, offset).over(arranged.window())), "_x"
+
+
 def add_long_rolling(
     rows: DataFrame, arranged: Arranged, column: str,
     sizes: Sequence[int] = LONG_WINDOWS, offset: int = 0,
 ) -> DataFrame:
     # Built on the shorter frame sizes so that no step merges many parts.
-    kept = rows.columns
-    x = F.col(column).cast("double")
-    if offset:
-        rows = rows.withColumn("_x", F.lag(x, offset).over(arranged.window()))
-        x = F.col("_x")
-    rows = _framed(rows, arranged, x, (*ROLLING_WINDOWS, *sizes), False, False)
-    return rows.select(
-        *kept, *[_statistic(s, "mean").alias(f"rolling_mean_{s}h") for s in sizes]
+    kept = [f"`{c}`" for c in rows.columns]
+    rows, source = _shifted(rows, arranged, column, offset)
+    rows = _framed(rows, arranged, source, (*ROLLING_WINDOWS, *sizes), False, False)
+    return rows.selectExpr(
+        *kept, *[f"{_statistic(s, 'mean')} AS rolling_mean_{s}h" for s in sizes]
     )
 
 
@@ -296,45 +289,44 @@ def add_ema(
     present = F.col(column).isNotNull()
     rows = arranged.extend(before=max(max(depth.values()) + 1, before), where=present)
     kept = rows.columns
-    rows = rows.withColumn("_gone", F.col(column).isNull())
     # Missing rows form a partition of their own, so lags see observations only.
+    rows = rows.withColumn("_gone", F.col(column).isNull())
     w = arranged.window("_gone")
     rows = rows.withColumn("_gap", F.col("_pos") - F.lag("_pos").over(w))
     steps = []
     for span in spans:
         alpha = 2.0 / (span + 1.0)
-        faded = F.pow(F.lit(1.0 - alpha), F.col("_gap"))
-        x = F.col(column).cast("double")
-        first = F.col("_gap").isNull()
-        steps.append(
-            F.struct(
-                F.when(first, 0.0).otherwise(faded / (faded + alpha)).alias("p"),
-                F.when(first, x).otherwise(alpha * x / (faded + alpha)).alias("q"),
-            ).alias(f"_step_{span}")
-        )
-    rows = rows.select("*", *steps)
+        faded = f"power({1.0 - alpha!r}D, _gap)"
+        x = f"CAST(`{column}` AS DOUBLE)"
+        steps += [
+            f"IF(_gap IS NULL, 0D, {faded} / ({faded} + {alpha!r}D)) AS _p_{span}",
+            f"IF(_gap IS NULL, {x}, {alpha!r}D * {x} / ({faded} + {alpha!r}D)) AS _q_{span}",
+        ]
+    rows = rows.selectExpr("*", *steps)
     unit = 1
     while any(depth[span] > unit for span in spans):
         live = [span for span in spans if depth[span] > unit]
-        parts = MAX_PARTS
-        reads = [
-            F.lag(f"_step_{span}", i * unit).over(w).alias(f"_lag_{span}_{i}")
-            for span in live
-            for i in range(1, parts)
-        ]
-        columns = rows.columns
-        rows = rows.select("*", *reads)
-        merged = {span: _compose(span, parts) for span in live}
+        columns = [f"`{c}`" for c in rows.columns]
         rows = rows.select(
-            *[c for c in columns if c not in {f"_step_{s}" for s in live}],
-            *[merged[s].alias(f"_step_{s}") for s in live],
+            "*",
+            *[
+                F.lag(f"_{f}_{span}", i * unit, 1.0 if f == "p" else 0.0)
+                .over(w)
+                .alias(f"_{f}_{span}_{i}")
+                for span in live
+                for i in range(1, MAX_PARTS)
+                for f in ("p", "q")
+            ],
         )
-        unit *= parts
+        composed = [text for span in live for text in _compose(span)]
+        replaced = {f"`_{f}_{span}`" for span in live for f in ("p", "q")}
+        rows = rows.selectExpr(*[c for c in columns if c not in replaced], *composed)
+        unit *= MAX_PARTS
     so_far = arranged.window().rowsBetween(Window.unboundedPreceding, 0)
     return rows.select(
         *kept,
         *[
-            F.last(F.when(~F.col("_gone"), F.col(f"_step_{s}")["q"]), ignorenulls=True)
+            F.last(F.when(~F.col("_gone"), F.col(f"_q_{s}")), ignorenulls=True)
             .over(so_far)
             .alias(f"{column}_ema_{s}h")
             for s in spans
@@ -342,18 +334,14 @@ def add_ema(
     )
 
 
-def _compose(span: int, parts: int) -> Column:
-    newest = F.col(f"_step_{span}")
-    p, q = F.lit(1.0), F.lit(0.0)
-    for i in reversed(range(1, parts)):
-        older = F.col(f"_lag_{span}_{i}")
-        here_p = F.coalesce(older["p"], F.lit(1.0))
-        here_q = F.coalesce(older["q"], F.lit(0.0))
-        q = here_q + here_p * q
-        p = here_p * p
-    return F.struct(
-        (newest["p"] * p).alias("p"), (newest["q"] + newest["p"] * q).alias("q")
-    )
+def _compose(span: int) -> list[str]:
+    """SQL for ``MAX_PARTS`` adjacent affine steps applied one after the other."""
+    p, q = f"_p_{span}_{MAX_PARTS - 1}", f"_q_{span}_{MAX_PARTS - 1}"
+    for i in reversed(range(1, MAX_PARTS - 1)):
+        p, q = f"_p_{span}_{i} * {p}", f"_q_{span}_{i} + _p_{span}_{i} * ({q})"
+    return [
+        f"_p_{span} * {p} AS _p_{span}", f"_q_{span} + _p_{span} * ({q}) AS _q_{span}"
+    ]
 
 
 def centred_trend(column: Column | str, arranged: Arranged, period: int = 24) -> Column:

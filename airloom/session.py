@@ -12,6 +12,7 @@ def local_session(cores: str | int = "*", **extra: str) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     settings = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "20g",
