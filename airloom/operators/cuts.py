@@ -75,53 +75,74 @@ class Arranged:
         )
 
     def extend(
-        self, before: int = 0, after: int = 0, where: Column | None = None
+        self, before: int = 0, after: int = 0, sparse: tuple[Column, int] | None = None
     ) -> DataFrame:
         """Rows plus, per piece, ``before`` earlier and ``after`` later rows.
 
         Own rows have ``_own`` true; filter on it once the windows are computed.
-        ``where`` restricts which rows count, and are copied, as neighbours.
+        ``sparse = (condition, depth)`` also copies the last ``depth`` earlier
+        rows that meet a condition, however far back they lie.
         """
-        own = self.rows.withColumn(OWN, F.lit(True))
-        if self.cuts <= 1 or (before <= 0 and after <= 0):
-            return own
-        source = self.rows if where is None else self.rows.filter(where)
-        pieces = self._pieces(source)
-        out = own
+        out = self.rows.withColumn(OWN, F.lit(True))
+        if self.cuts <= 1:
+            return out
+        copies = []
         if before > 0:
-            near = self._by_key().orderBy("_end").rangeBetween(0, before - 1)
-            targets = pieces.withColumn(
-                "_next", F.lead(CUT).over(self._by_key().orderBy(CUT))
-            ).withColumn(
-                "_targets",
-                F.collect_list(
-                    F.when(
-                        F.col("_next").isNotNull(),
-                        F.struct(F.col("_next").alias("cut"), F.col("_end").alias("edge")),
-                    )
-                ).over(near),
-            )
-            rank_order = [F.col(c).desc() for c in self.order]
-            reach = F.lit(before) - (F.col("_target.edge") - F.col("_end"))
-            out = out.unionByName(self._copies(source, targets, rank_order, before, reach))
+            copies.append(self._earlier(self.rows, before))
+        if sparse is not None:
+            condition, depth = sparse
+            copies.append(self._earlier(self.rows.filter(condition), depth))
+        if len(copies) == 2:
+            both = copies[0].unionByName(copies[1])
+            copies = [both.dropDuplicates([*self.group, *self.order])]
         if after > 0:
-            near = self._by_key().orderBy("_start").rangeBetween(-(after - 1), 0)
-            targets = pieces.withColumn(
-                "_prev", F.lag(CUT).over(self._by_key().orderBy(CUT))
-            ).withColumn(
-                "_targets",
-                F.collect_list(
-                    F.when(
-                        F.col("_prev").isNotNull(),
-                        F.struct(F.col("_prev").alias("cut"), F.col("_start").alias("edge")),
-                    )
-                ).over(near),
-            )
-            rank_order = [F.col(c).asc() for c in self.order]
-            reach = F.lit(after) - (F.col("_start") - F.col("_target.edge"))
-            out = out.unionByName(self._copies(source, targets, rank_order, after, reach))
+            copies.append(self._later(self.rows, after))
+        for part in copies:
+            out = out.unionByName(part)
         return out
 
+    def _earlier(self, source: DataFrame, before: int) -> DataFrame:
+        """The last ``before`` rows ahead of each piece, labelled with that piece."""
+        targets = self._neighbours(
+            source,
+            F.lead(CUT).over(self._by_key().orderBy(CUT)),
+            "_end",
+            self._by_key().orderBy("_end").rangeBetween(0, before - 1),
+        )
+        newest_first = [F.col(c).desc() for c in self.order]
+        reach = F.lit(before) - (F.col("_target.edge") - F.col("_end"))
+        return self._copies(source, targets, newest_first, before, reach)
+
+    def _later(self, source: DataFrame, after: int) -> DataFrame:
+        """The first ``after`` rows behind each piece, labelled with that piece."""
+        targets = self._neighbours(
+            source,
+            F.lag(CUT).over(self._by_key().orderBy(CUT)),
+            "_start",
+            self._by_key().orderBy("_start").rangeBetween(-(after - 1), 0),
+        )
+        oldest_first = [F.col(c).asc() for c in self.order]
+        reach = F.lit(after) - (F.col("_start") - F.col("_target.edge"))
+        return self._copies(source, targets, oldest_first, after, reach)
+
+    def _neighbours(
+        self, source: DataFrame, adjacent: Column, edge: str, near: WindowSpec
+    ) -> DataFrame:
+        """Per piece the pieces near enough to need some of its rows.
+
+        Pieces are far longer than a frame, so this is one neighbour as a rule;
+        short pieces reach further.
+        """
+        entry = F.when(
+            F.col("_adjacent").isNotNull(),
+            F.struct(F.col("_adjacent").alias("cut"), F.col(edge).alias("edge")),
+        )
+        return (
+            self._pieces(source)
+            .withColumn("_adjacent", adjacent)
+            .withColumn("_targets", F.collect_list(entry).over(near))
+        )
+
     def _copies(self, source, targets, rank_order, depth, reach) -> DataFrame:
         targets = targets.filter(F.size("_targets") > 0).select(
             *self.group, "_start", "_end", "_targets"

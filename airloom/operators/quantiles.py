@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 DIRECT_ROWS = 2_000_000
 BINS = 4096
-VALUES_PER_BIN = 100_000
+VALUES_PER_BIN = 10_000
 
 
 @dataclass

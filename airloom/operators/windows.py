@@ -76,9 +76,9 @@ def _merge(size: int, unit: int, spread: bool, extremes: bool) -> tuple[list, li
 
 def _framed(
     rows: DataFrame, arranged: Arranged, column: str, sizes: Sequence[int],
-    spread: bool, extremes: bool,
+    spread: bool, extremes: bool, means: Sequence[int] = (),
 ) -> DataFrame:
-    """Add the statistics of every frame size (and of the sizes between)."""
+    """Add the statistics of every frame size; for ``means`` sizes only the mean."""
     w = arranged.window()
     x = f"CAST(`{column}` AS DOUBLE)"
     single = [
@@ -88,9 +88,11 @@ def _framed(
     ]
     fields = ["n", "m", *(["q"] if spread else []), *(["lo", "hi"] if extremes else [])]
     rows = rows.selectExpr("*", *single)
-    built = composition(sizes)
+    full = composition(sizes)
+    built = composition([*sizes, *means]) | full
     for level in _levels(built):
         reads = {(built[s], o) for s in level for o in range(built[s], s, built[s])}
+        whole = {(full[s], o) for s in level if s in full for o in range(full[s], s, full[s])}
         kept = rows.columns
         rows = rows.select(
             "*",
@@ -100,8 +102,9 @@ def _framed(
                 .alias(f"_{f}_{unit}_{offset}")
                 for unit, offset in sorted(reads)
                 for f in fields
+                if (f in ("n", "m") or (unit, offset) in whole)
                 # A single row deviates by nothing.
-                if not (f == "q" and unit == 1)
+                and not (f == "q" and unit == 1)
             ],
         )
         if spread and any(unit == 1 for unit, _ in reads):
@@ -110,7 +113,8 @@ def _framed(
             )
         firsts, seconds = [], []
         for size in level:
-            first, second = _merge(size, built[size], spread, extremes)
+            more = size in full
+            first, second = _merge(size, built[size], spread and more, extremes and more)
             firsts += first
             seconds += second
         rows = rows.selectExpr("*", *firsts)
@@ -159,17 +163,21 @@ def add_rolling(
     rows: DataFrame, arranged: Arranged, column: str,
     sizes: Sequence[int] = ROLLING_WINDOWS, stats: Sequence[str] = ROLLING_STATS,
     prefix: str | None = None, name: str = "{prefix}_rolling_{stat}_{size}h",
-    offset: int = 0,
+    offset: int = 0, long_sizes: Sequence[int] = (),
 ) -> DataFrame:
-    """As ``rolling``, on rows that are already arranged and extended."""
+    """As ``rolling``, on rows that are already arranged and extended.
+
+    ``long_sizes`` adds plain means, built on the same shorter frames.
+    """
     kept = [f"`{c}`" for c in rows.columns]
     rows, source = _shifted(rows, arranged, column, offset)
     rows = _framed(
-        rows, arranged, source, sizes,
-        spread="std" in stats, extremes=bool({"min", "max", "range"} & set(stats)),
+        rows, arranged, source, sizes, "std" in stats,
+        bool({"min", "max", "range"} & set(stats)), long_sizes,
     )
     return rows.selectExpr(
         *kept,
+        *[f"{_statistic(s, 'mean')} AS rolling_mean_{s}h" for s in long_sizes],
         *[
             f"{_statistic(size, stat)} AS `"
             + name.format(prefix=prefix or column, stat=stat, size=size)
@@ -188,19 +196,6 @@ def _shifted(
     return rows.withColumn("_x", F.lag(column, offset).over(arranged.window())), "_x"
 
 
-def add_long_rolling(
-    rows: DataFrame, arranged: Arranged, column: str,
-    sizes: Sequence[int] = LONG_WINDOWS, offset: int = 0,
-) -> DataFrame:
-    # Built on the shorter frame sizes so that no step merges many parts.
-    kept = [f"`{c}`" for c in rows.columns]
-    rows, source = _shifted(rows, arranged, column, offset)
-    rows = _framed(rows, arranged, source, (*ROLLING_WINDOWS, *sizes), False, False)
-    return rows.selectExpr(
-        *kept, *[f"{_statistic(s, 'mean')} AS rolling_mean_{s}h" for s in sizes]
-    )
-
-
 def long_rolling(
     df: DataFrame, column: str, keys: Sequence[str], order: Sequence[str],
     sizes: Sequence[int] = LONG_WINDOWS,
@@ -209,7 +204,8 @@ def long_rolling(
     """Rolling means of the last 720 and 2160 rows."""
     arranged = arrange(df, keys, order, rows_per_cut, longest)
     rows = arranged.extend(before=max(sizes) - 1)
-    return add_long_rolling(rows, arranged, column, sizes).filter(OWN).drop(OWN, "_cut")
+    rows = add_rolling(rows, arranged, column, ROLLING_WINDOWS, (), long_sizes=sizes)
+    return rows.filter(OWN).drop(OWN, "_cut")
 
 
 def lag_columns(
@@ -287,7 +283,7 @@ def add_ema(
     """EMA on arranged rows that carry ``_pos``; the rows come back extended."""
     depth = {span: ema_depth(span) for span in spans}
     present = F.col(column).isNotNull()
-    rows = arranged.extend(before=max(max(depth.values()) + 1, before), where=present)
+    rows = arranged.extend(before, sparse=(present, max(depth.values()) + 1))
     kept = rows.columns
     # Missing rows form a partition of their own, so lags see observations only.
     rows = rows.withColumn("_gone", F.col(column).isNull())
