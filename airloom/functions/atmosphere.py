@@ -104,12 +104,17 @@ def add_composite_index(df: DataFrame) -> DataFrame:
     return df if index is None else df.withColumn("pollution_index", index)
 
 
-def estimate_columns(base: Column, pollutants: dict[str, Column] | None = None) -> dict[str, Column]:
+def estimate_columns(
+    base: Column, pollutants: dict[str, Column] | None = None, digits: int | None = 1
+) -> dict[str, Column]:
     """Weather-adjusted estimate of the target and of its pollutants.
 
-    Nearest one-decimal rounding, ties to even.  Missing inputs take their
-    stand-ins; pollutants scale with the estimate while the base is positive.
+    Rounded to one decimal, ties to even.  Missing inputs take their stand-ins;
+    pollutants scale with the estimate while the base is positive.
     """
+    def shown(x: Column) -> Column:
+        return x if digits is None else F.bround(x, digits)
+
     base = F.coalesce(base, F.lit(ESTIMATE_BASE))
     effects = [
         (F.coalesce(F.col(name), F.lit(stand_in)) - centre) * effect
@@ -126,10 +131,10 @@ def estimate_columns(base: Column, pollutants: dict[str, Column] | None = None)
         for k, v in ESTIMATE_POLLUTANTS.items()
     }
     return {
-        "aqi": F.bround(estimate, 1),
-        **{k: F.bround(v, 1) for k, v in scaled.items()},
-        "so2": F.bround(scaled["no2"] * 0.3, 1),
-        "co": F.bround(estimate / 100 * 2.5, 1),
+        "aqi": shown(estimate),
+        **{k: shown(v) for k, v in scaled.items()},
+        "so2": shown(scaled["no2"] * 0.3),
+        "co": shown(estimate / 100 * 2.5),
         "main_pollutant": F.when(estimate > 100, "pm25").otherwise("o3"),
     }
 

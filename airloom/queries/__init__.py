@@ -1,0 +1,5 @@
+"""Registered queries and, where SQL can say the same, their SQL."""
+
+from airloom.queries import series, shaping
+
+MODULES = (series, shaping)
