@@ -102,15 +102,18 @@ def join_category(df: DataFrame, column: str) -> DataFrame:
 
 
 def threshold_table(spark: SparkSession, thresholds: Mapping[str, float] = THRESHOLDS) -> DataFrame:
-    """One row of user-set thresholds."""
+    """User-set thresholds as a one-row table."""
     values = tuple(float(thresholds[k]) for k in THRESHOLDS)
     return spark.createDataFrame([values], ", ".join(f"{k} double" for k in THRESHOLDS))
 
 
-def _edges(thresholds: Mapping[str, float] | str) -> dict[str, Column]:
-    """Thresholds given as numbers, or the name of a struct column holding them."""
-    if isinstance(thresholds, str):
-        return {k: F.col(thresholds)[k] for k in THRESHOLDS}
+def read_thresholds(stored: DataFrame) -> dict[str, float]:
+    """Thresholds of a one-row table; what it lacks keeps its default."""
+    row = stored.first().asDict()
+    return {k: v if row.get(k) is None else row[k] for k, v in THRESHOLDS.items()}
+
+
+def _edges(thresholds: Mapping[str, float]) -> dict[str, Column]:
     return {k: F.lit(float(thresholds[k])) for k in THRESHOLDS}
 
 
@@ -126,7 +129,7 @@ def _ladder(value: Column, thresholds, result) -> Column:
     return chain
 
 
-def alert(value: Column, thresholds: Mapping[str, float] | str = THRESHOLDS) -> Column:
+def alert(value: Column, thresholds: Mapping[str, float] = THRESHOLDS) -> Column:
     """Struct of level, message and type; NULL for a missing value."""
     shown = value.cast("string")
     return _ladder(
@@ -139,11 +142,11 @@ def alert(value: Column, thresholds: Mapping[str, float] | str = THRESHOLDS) ->
     )
 
 
-def status(value: Column, thresholds: Mapping[str, float] | str = THRESHOLDS) -> Column:
+def status(value: Column, thresholds: Mapping[str, float] = THRESHOLDS) -> Column:
     return _ladder(value, thresholds, lambda level, kind, text, before, after: F.lit(text))
 
 
-def advisory(value: Column, thresholds: Mapping[str, float] | str = THRESHOLDS) -> Column:
+def advisory(value: Column, thresholds: Mapping[str, float] = THRESHOLDS) -> Column:
     """Health-advisory band: one of three threshold names, else ``good``."""
     edges = _edges(thresholds)
     chain = None

@@ -63,15 +63,18 @@ def permuted_columns(
     arranged = arrange(mixed, [], ["_mix", key], rows_per_cut)
     first = arranged.rows.agg(
         F.min_by(F.struct(*features), F.struct("_mix", key)).alias("_first")
-    )
+    ).first()["_first"]
     w = arranged.window()
     rows = arranged.extend(after=1).select(
         "*", F.lead(F.struct(*features)).over(w).alias("_next")
     )
-    rows = rows.filter(OWN).crossJoin(F.broadcast(first))  # one row
-    other = F.coalesce("_next", "_first")
-    return rows.select(
-        *df.columns, *[other[c].alias(f"_other_{c}") for c in features]
+    last = F.col("_next").isNull()
+    return rows.filter(OWN).select(
+        *df.columns,
+        *[
+            F.when(last, F.lit(first[c])).otherwise(F.col("_next")[c]).alias(f"_other_{c}")
+            for c in features
+        ],
     )
 
 

@@ -90,9 +90,13 @@ def asof_join(
 def apply_reading(history: DataFrame, reading: DataFrame) -> DataFrame:
     """One current reading beside every history row.
 
-    The reading is reduced to a single row first, so what is broadcast is one row.
+    The reading is a single row, which enters the plan as literals; nothing is
+    joined.  For a reading per time see ``asof_join``.
     """
-    return history.crossJoin(F.broadcast(reading.limit(1)))
+    row = reading.first()
+    return history.withColumns(
+        {f.name: F.lit(row[f.name]).cast(f.dataType) for f in reading.schema.fields}
+    )
 
 
 def fill_missing(df: DataFrame, stand_ins: Mapping[str, float]) -> DataFrame:

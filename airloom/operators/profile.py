@@ -144,21 +144,22 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Counts per equal-width bin; the largest value falls in the last bin."""
     x = F.col(column).cast("double")
-    edges = df.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))  # one row
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    slot = F.when(
-        F.col("_hi") > F.col("_lo"),
-        F.least(F.width_bucket(x, F.col("_lo"), F.col("_hi"), F.lit(bins)), F.lit(bins)),
-    ).otherwise(F.lit(1))
+    low, high = df.agg(F.min(x), F.max(x)).first()
+    if low is None:
+        return df.select(F.lit(1).alias("bin"), x.alias("lower"), x.alias("upper"),
+                         F.lit(0).cast("bigint").alias("n")).limit(0)
+    width = (high - low) / bins
+    slot = F.lit(1)
+    if high > low:
+        slot = F.least(F.width_bucket(x, F.lit(low), F.lit(high), F.lit(bins)), F.lit(bins))
     return (
         df.filter(x.isNotNull())
-        .crossJoin(F.broadcast(edges))
-        .groupBy(slot.cast("int").alias("bin"), "_lo", "_hi")
+        .groupBy(slot.cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
             "bin",
-            (F.col("_lo") + width * (F.col("bin") - 1)).alias("lower"),
-            (F.col("_lo") + width * F.col("bin")).alias("upper"),
+            (F.lit(low) + width * (F.col("bin") - 1)).alias("lower"),
+            (F.lit(low) + width * F.col("bin")).alias("upper"),
             "n",
         )
     )

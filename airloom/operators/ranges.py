@@ -46,12 +46,14 @@ def recent(df: DataFrame, time: str, end: dt.datetime, hours: int = 24 * 30) ->
 
 
 def last_days(df: DataFrame, time: str, days: int = 7) -> DataFrame:
-    """Rows strictly later than the newest time minus ``days``."""
-    newest = df.agg(F.max(time).alias("_newest"))  # one row
-    limit = F.col("_newest") - F.make_dt_interval(F.lit(days))
-    return (
-        df.join(F.broadcast(newest), F.col(time) > limit, "inner").drop("_newest")
-    )
+    """Rows strictly later than the newest time minus ``days``.
+
+    The newest time becomes a literal, so the filter reaches the scan.
+    """
+    newest = df.agg(F.max(time)).first()[0]
+    if newest is None:
+        return df
+    return df.filter(F.col(time) > F.lit(newest - dt.timedelta(days=days)))
 
 
 def tail(df: DataFrame, keys: Sequence[str], order: Sequence[str], period: int = 24) -> DataFrame:

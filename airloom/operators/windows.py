@@ -33,18 +33,35 @@ NEGLIGIBLE = 1e-18
 
 
 def composition(sizes: Iterable[int]) -> dict[int, int]:
-    """For every frame size the shorter size (1 = the row itself) to build it from."""
+    """For every frame size the shorter size (1 = the row itself) to build it from.
+
+    Helper sizes are put in where a size has no divisor near enough.
+    """
     built: dict[int, int] = {}
-    for size in sorted(set(sizes) - {1}):
+
+    def place(size: int) -> None:
         divisors = [1, *(s for s in built if size % s == 0)]
         few = [d for d in divisors if size // d <= MAX_PARTS]
-        built[size] = min(few) if few else max(divisors)
+        if few:
+            built[size] = min(few)
+            return
+        unit = max(divisors)
+        steps = [f for f in range(MAX_PARTS, 1, -1) if (size // unit) % f == 0]
+        if steps:
+            built[unit * steps[0]] = unit
+            place(size)
+        else:
+            built[size] = unit
+
+    for size in sorted(set(sizes) - {1}):
+        if size not in built:
+            place(size)
     return built
 
 
 def _levels(built: dict[int, int]) -> list[list[int]]:
     depth = {1: 0}
-    for size in sorted(built):
+    for size in sorted(built):  # a frame is longer than the one it is built from
         depth[size] = depth[built[size]] + 1
     deepest = max(depth.values())
     return [[s for s in built if depth[s] == d] for d in range(1, deepest + 1)]

@@ -1,5 +1,5 @@
 """Registered queries and, where SQL can say the same, their SQL."""
 
-from airloom.queries import series, shaping
+from airloom.queries import learning, profiling, series, shaping, streams
 
-MODULES = (series, shaping)
+MODULES = (series, shaping, profiling, learning, streams)

@@ -325,9 +325,9 @@ RAISED = {**bands.THRESHOLDS, "hazardous": 400}
 )
 def alert_ladder(spark, sf_dir):
     """Levels under the default thresholds and under a raised hazardous one."""
-    df = gappy(spark, sf_dir).crossJoin(F.broadcast(
-        bands.threshold_table(spark, RAISED).select(F.struct("*").alias("raised"))))
-    default, raised = bands.alert(F.col("value")), bands.alert(F.col("value"), "raised")
+    df = gappy(spark, sf_dir)
+    stored = bands.read_thresholds(bands.threshold_table(spark, RAISED))
+    default, raised = bands.alert(F.col("value")), bands.alert(F.col("value"), stored)
     return present(df.select("event_id", default["level"].alias("level"),
                              default["type"].alias("type"), raised["level"].alias("raised_level")))
 

@@ -88,21 +88,20 @@ def ema_update(mean: float | None, gap: int, x: float | None, alpha: float) -> t
 
 
 def stateful_ema(
-    stream: DataFrame, key: str, time: str, tiebreak: str, value: str,
-    span: int = 24, keep: int = 3,
+    stream: DataFrame, key: str, time: str, value: str, span: int = 24, keep: int = 3
 ) -> DataFrame:
     """EMA and the last ``keep`` values per series, carried from batch to batch.
 
-    State per series is three small fields.  Rows of one batch are put in time
-    order; rows that arrive after a later batch was processed count in order of
-    arrival, so de-duplicate and watermark first.
+    The stream has at most one row per series and hour (see ``ingest.dedup``), so
+    what a batch holds of one series is bounded by its hours; state per series
+    is three small fields.  Rows of a batch are put in time order; a row older
+    than a batch already processed counts at its arrival.
     """
     alpha = 2.0 / (span + 1.0)
     output = T.StructType(
         [
             stream.schema[key],
             stream.schema[time],
-            stream.schema[tiebreak],
             T.StructField(value, T.DoubleType()),
             T.StructField(f"{value}_ema_{span}h", T.DoubleType()),
             T.StructField("recent", T.ArrayType(T.DoubleType())),
@@ -112,7 +111,7 @@ def stateful_ema(
     def update(_, frames: Iterator[pd.DataFrame], state: GroupState):
         mean, gap, recent = state.get if state.exists else (None, 0, [])
         recent = list(recent)
-        batch = pd.concat(list(frames)).sort_values([time, tiebreak])
+        batch = pd.concat(list(frames)).sort_values(time)
         means, tails = [], []
         for x in batch[value]:
             mean, gap = ema_update(mean, gap, x, alpha)
@@ -124,7 +123,6 @@ def stateful_ema(
             {
                 key: batch[key].to_numpy(),
                 time: batch[time].to_numpy(),
-                tiebreak: batch[tiebreak].to_numpy(),
                 value: batch[value].astype(float).to_numpy(),
                 f"{value}_ema_{span}h": means,
                 "recent": tails,
@@ -132,7 +130,7 @@ def stateful_ema(
         )
 
     return (
-        stream.select(key, time, tiebreak, F.col(value).cast("double").alias(value))
+        stream.select(key, time, F.col(value).cast("double").alias(value))
         .groupBy(key)
         .applyInPandasWithState(
             update, output, EMA_STATE, "append", GroupStateTimeout.NoTimeout
