@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +43,8 @@ class AdaBoostR2:
     """Linear-loss boosting; each round weighs up the rows the last tree missed.
 
     A round is one tree fit and two aggregates over the rows.  The row weights
-    depend on all trees so far, so every few rounds they are written out.
+    depend on all trees so far: the newest are kept cached, and every few rounds
+    they are written out to cut the lineage.
     """
 
     def __init__(self, rounds: int = 50, rate: float = 1.0, depth: int = 3, seed: int = 42):
@@ -50,8 +52,7 @@ class AdaBoostR2:
 
     def fit(self, train: DataFrame) -> "AdaBoostR2Model":
         rows = train.select(FEATURES, LABEL, F.lit(1.0).alias("_weight"))
-        total = float(rows.count())
-        trees, votes = [], []
+        trees, votes, cached = [], [], []
         for step in range(self.rounds):
             tree = DecisionTreeRegressor(
                 maxDepth=self.depth, weightCol="_weight", seed=self.seed + step,
@@ -59,10 +60,11 @@ class AdaBoostR2:
             ).fit(rows)
             missed = tree.transform(rows).withColumn("_miss", F.abs(F.col(LABEL) - F.col("_guess")))
             sums = missed.agg(
-                F.max("_miss").alias("worst"), F.sum(F.col("_miss") * F.col("_weight")).alias("loss")
+                F.max("_miss").alias("worst"),
+                (F.sum(F.col("_miss") * F.col("_weight")) / F.sum("_weight")).alias("mean"),
             ).first()
             worst = sums["worst"] or 0.0
-            loss = sums["loss"] / total / worst if worst > 0 else 0.0
+            loss = sums["mean"] / worst if worst > 0 else 0.0
             if loss <= 0:
                 trees.append(tree)
                 votes.append(1.0)
@@ -81,7 +83,12 @@ class AdaBoostR2:
             rows = missed.select(FEATURES, LABEL, heavier.alias("_weight"))
             if (step + 1) % CUT_EVERY == 0:
                 rows = materialise(rows, "boost")
-            total = rows.agg(F.sum("_weight")).first()[0]
+            cached.append(rows.persist(StorageLevel.MEMORY_AND_DISK))
+            # The newest rows are read from the ones before until they are cached.
+            if len(cached) > 2:
+                cached.pop(0).unpersist()
+        for old in cached:
+            old.unpersist()
         return AdaBoostR2Model(trees, votes)
 
 

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airloom.ml.models import MODELS
 from airloom.ml.prepare import (
-    LABEL, column_medians, label_spread, labelled, matrix_stages, scaling,
+    FEATURES, LABEL, column_medians, label_spread, labelled, matrix_stages, scaling,
 )
 from airloom.operators.cuts import ROWS_PER_CUT
 from airloom.operators.windows import with_position
+from airloom.schemas import finite
 from airloom.session import materialise
-from pyspark.ml import PipelineModel
 
 FOLDS = 5
 ROW = "_row"
@@ -82,9 +84,12 @@ def summarise(fold_metrics: DataFrame) -> DataFrame:
 def fit(train: DataFrame, fill: Mapping[str, float], factory: Callable):
     """Scaler and model fitted on the rows given; returns a function that scores."""
     stages = PipelineModel(matrix_stages(fill, scaling(train, fill)))
-    matrix = stages.transform(train)
-    model = factory(train).fit(matrix)
-    return Fitted(stages, model)
+    # Trees and boosting pass over the matrix many times.
+    matrix = stages.transform(train).select(FEATURES, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Fitted(stages, factory(train).fit(matrix))
+    finally:
+        matrix.unpersist()
 
 
 class Fitted:
@@ -160,7 +165,5 @@ def train_best(
 
 def score(df: DataFrame, fitted, features: Sequence[str]) -> DataFrame:
     """Predictions beside the input columns, with the training clean-up."""
-    from airloom.schemas import finite
-
     cleaned = df.withColumns({c: finite(F.col(c).cast("double")) for c in features})
     return fitted.transform(cleaned).drop("features")

@@ -111,34 +111,58 @@ def shape(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.select("*", skew.alias("skew_label"), tails.alias("tail_label"))
 
 
-def guarded_corr(x: Column, y: Column) -> Column:
-    """Pearson correlation over rows where both are present; NULL if one is constant."""
-    both = x.isNotNull() & y.isNotNull()
-    a, b = F.when(both, x), F.when(both, y)
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
-
-
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise-complete correlations (x, y, r), both triangles, in one pass.
+    """Pairwise-complete Pearson correlations (x, y, r), both triangles.
 
-    The number of aggregates grows with the columns only; each task ships one
-    partial row.
+    A first pass finds the mean of every column and which have missing values.
+    The second sums products of deviations from those means, so nothing cancels;
+    columns without missing values share their sums over all pairs.  Each task
+    ships one partial row.  A column that is constant over a pair's rows has no
+    correlation.
     """
     if len(columns) <= 2:
         raise ValueError("a correlation matrix needs more than two columns")
-    pairs = list(combinations_with_replacement(columns, 2))
-    wide = df.agg(
-        *[
-            guarded_corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"r{i}")
-            for i, (x, y) in enumerate(pairs)
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    facts = numbers.agg(
+        *[F.avg(c).alias(f"{c}_mean") for c in columns],
+        *[F.count_if(F.col(c).isNull()).alias(f"{c}_gone") for c in columns],
+    ).first()
+    centre = {c: facts[f"{c}_mean"] or 0.0 for c in columns}
+    gappy = {c for c in columns if facts[f"{c}_gone"]}
+
+    sums: dict[str, Column] = {}
+
+    def total(name: str, x: Column, needed: set[str], how=F.sum) -> Column:
+        """One aggregate over the rows in which all ``needed`` columns are present."""
+        label = f"{name} where {' and '.join(sorted(needed & gappy))}"
+        if label not in sums:
+            for c in sorted(needed & gappy):
+                x = F.when(F.col(c).isNotNull(), x)
+            sums[label] = how(x)
+        return F.col(f"`{label}`")
+
+    cells = []
+    for x, y in combinations_with_replacement(columns, 2):
+        pair = {x, y}
+        dx, dy = (F.col(c) - F.lit(centre[c]) for c in (x, y))
+        n = total("rows", F.lit(1), pair, F.count)
+        sx, sy = total(f"sum {x}", dx, pair), total(f"sum {y}", dy, pair)
+        vx = total(f"square {x}", dx * dx, pair) - sx * F.try_divide(sx, n)
+        vy = total(f"square {y}", dy * dy, pair) - sy * F.try_divide(sy, n)
+        both = total(f"product {x} {y}", dx * dy, pair) - sx * F.try_divide(sy, n)
+        spread = [
+            total(f"max {c}", F.col(c), pair, F.max) > total(f"min {c}", F.col(c), pair, F.min)
+            for c in (x, y)
         ]
-    )
-    entries = [
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"r{i}").alias("r"))
-        for i, (x, y) in enumerate(pairs)
-        for a, b in dict.fromkeys([(x, y), (y, x)])
-    ]
-    return wide.select(F.inline(F.array(*entries)))
+        r = F.when(spread[0] & spread[1], F.try_divide(both, F.sqrt(vx) * F.sqrt(vy)))
+        r = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
+        r = F.when(spread[0] & spread[1], r)
+        cells += [
+            F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), r.alias("r"))
+            for a, b in dict.fromkeys([(x, y), (y, x)])
+        ]
+    wide = numbers.agg(*[x.alias(label) for label, x in sums.items()])
+    return wide.select(F.inline(F.array(*cells)))
 
 
 def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFrame:

@@ -47,12 +47,14 @@ def run_to_end(spark, stream, label, mode="append"):
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def hourly_files(spark, sf_dir, label, files=4):
-    """Hourly observations written as several files in time order, to be streamed."""
+def hourly_files(spark, sf_dir, label):
+    """Hourly observations landed one span of days after the other, to be streamed."""
     path = scratch(spark, label)
-    hourly(spark, sf_dir).select("series_key", "datetime", "aqi").repartitionByRange(
-        files, "datetime"
-    ).write.parquet(path)
+    rows = hourly(spark, sf_dir).select("series_key", "datetime", "aqi")
+    first, last = rows.agg(F.min("datetime"), F.max("datetime")).first()
+    middle = first + (last - first) / 2
+    rows.filter(F.col("datetime") < F.lit(middle)).coalesce(1).write.parquet(path)
+    rows.filter(F.col("datetime") >= F.lit(middle)).coalesce(1).write.mode("append").parquet(path)
     return path
 
 
@@ -151,7 +153,7 @@ def stream_ema(spark, sf_dir):
 )
 def stream_features(spark, sf_dir):
     """Features kept up to date batch by batch, with look-back into the stored rows."""
-    path = hourly_files(spark, sf_dir, "feature-source", files=2)
+    path = hourly_files(spark, sf_dir, "feature-source")
     schema = spark.read.parquet(path).schema
     history, output = scratch(spark, "history"), scratch(spark, "features")
 

@@ -82,23 +82,20 @@ def station_aqi(df: DataFrame, payload: str, keep: Sequence[str] = ()) -> DataFr
     """Station payloads; a pollutant is a number or an object with field ``v``."""
     accepted, _ = station_status(df, payload)
     data = F.col("_p.data")
-    amounts = F.transform_values(
-        data["iaqi"],
-        lambda _, v: F.coalesce(F.get_json_object(v, "$.v"), v).try_cast("double"),
-    )
-    rows = _parsed(accepted, payload, STATION_SCHEMA, keep).select(
-        *keep, data.alias("data"), amounts.alias("pollutants")
-    )
-    return rows.select(
+
+    def amount(v: Column) -> Column:
+        return F.coalesce(F.get_json_object(v, "$.v"), v).try_cast("double")
+
+    return _parsed(accepted, payload, STATION_SCHEMA, keep).select(
         *keep,
-        F.when(F.col("data.time.s").isNull(), F.current_timestamp())
-        .otherwise(F.try_to_timestamp("data.time.s"))
+        F.when(data["time"]["s"].isNull(), F.current_timestamp())
+        .otherwise(F.try_to_timestamp(data["time"]["s"]))
         .alias("datetime"),
-        F.col("data.aqi").alias("aqi"),
-        *[F.try_element_at("pollutants", F.lit(p)).alias(p) for p in STATION_POLLUTANTS],
-        F.col("data.dominentpol").alias("main_pollutant"),
-        "pollutants",
-        F.col("data.forecast.daily").alias("forecast"),
+        data["aqi"].alias("aqi"),
+        *[amount(F.try_element_at(data["iaqi"], F.lit(p))).alias(p) for p in STATION_POLLUTANTS],
+        data["dominentpol"].alias("main_pollutant"),
+        F.transform_values(data["iaqi"], lambda _, v: amount(v)).alias("pollutants"),
+        data["forecast"]["daily"].alias("forecast"),
         F.lit("aqicn").alias("source"),
     )
 
