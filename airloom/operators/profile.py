@@ -154,8 +154,10 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             total(f"max {c}", F.col(c), pair, F.max) > total(f"min {c}", F.col(c), pair, F.min)
             for c in (x, y)
         ]
-        r = F.when(spread[0] & spread[1], F.try_divide(both, F.sqrt(vx) * F.sqrt(vy)))
-        r = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
+        r = F.lit(1.0)
+        if x != y:
+            r = F.try_divide(both, F.sqrt(vx) * F.sqrt(vy))
+            r = F.when(r > 1, 1.0).when(r < -1, -1.0).otherwise(r)
         r = F.when(spread[0] & spread[1], r)
         cells += [
             F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), r.alias("r"))
