@@ -21,7 +21,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from airloom.session import materialise
@@ -33,10 +33,20 @@ HOURLY_GRID_ROWS = 876_600
 # it is broadcast, beyond it Spark picks the join.
 BROADCAST_PIECES = 200_000
 
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 CUT = "_cut"
 OWN = "_own"
 
 
+def allow_group_limit(spark: SparkSession, rows: int) -> None:
+    """Let a row-number limit of this size run ahead of the shuffle.
+
+    Spark does so up to a threshold (1000 by default), which is raised here.
+    """
+    if int(spark.conf.get(GROUP_LIMIT)) < rows:
+        spark.conf.set(GROUP_LIMIT, str(rows))
+
+
 @dataclass(frozen=True)
 class Arranged:
     rows: DataFrame
@@ -144,6 +154,7 @@ class Arranged:
         )
 
     def _copies(self, source, targets, rank_order, depth, reach) -> DataFrame:
+        allow_group_limit(source.sparkSession, depth)
         targets = targets.filter(F.size("_targets") > 0).select(
             *self.group, "_start", "_end", "_targets"
         )

@@ -15,7 +15,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airloom.operators.cuts import OWN, ROWS_PER_CUT, Arranged, arrange
+from airloom.operators.cuts import OWN, ROWS_PER_CUT, Arranged, allow_group_limit, arrange
 
 # Window and lag lengths in rows, named "h" on the hourly grid.
 DAY_WINDOWS = (1, 3, 6, 12, 24)
@@ -406,13 +406,26 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
     return df.groupBy(*keys).agg(best).select(*keys, "_row.*").select(*df.columns)
 
 
+MERGE_GROUPS = 256
+
+
 def newest_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], count: int
 ) -> DataFrame:
-    """The ``count`` newest rows of every series (the limit runs before the shuffle)."""
-    w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*[F.col(c).desc() for c in order])
-    return (
-        df.withColumn("_rank", F.row_number().over(w))
-        .filter(F.col("_rank") <= count)
-        .drop("_rank")
-    )
+    """The ``count`` newest rows of every series.
+
+    Each task keeps at most ``count`` rows of a series.  They are merged in two
+    steps, so that not every task's rows of one series meet in a single task.
+    """
+    allow_group_limit(df.sparkSession, count)
+    newest_first = [F.col(c).desc() for c in order]
+    task = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
+    out = df.withColumn("_task", task)
+    for group in ([*keys, "_task"], list(keys)):
+        w = Window.partitionBy(*(group or [F.lit(0)])).orderBy(*newest_first)
+        out = (
+            out.withColumn("_rank", F.row_number().over(w))
+            .filter(F.col("_rank") <= count)
+            .drop("_rank")
+        )
+    return out.drop("_task")
