@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -19,6 +20,7 @@ from airloom.schemas import finite
 from airloom.session import materialise
 
 FOLDS = 5
+ROWS_PER_TASK = 50_000
 ROW = "_row"
 RESULT_SCHEMA = (
     "model string, rmse_mean double, rmse_std double, mae_mean double, r2_mean double, "
@@ -84,12 +86,15 @@ def summarise(fold_metrics: DataFrame) -> DataFrame:
 def fit(train: DataFrame, fill: Mapping[str, float], factory: Callable):
     """Scaler and model fitted on the rows given; returns a function that scores."""
     stages = PipelineModel(matrix_stages(fill, scaling(train, fill)))
-    # Trees and boosting pass over the matrix many times.
-    matrix = stages.transform(train).select(FEATURES, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    # Trees and boosting pass over the matrix many times: it is cached, and a
+    # small one is kept in few partitions, since every pass costs a task each.
+    rows = stages.transform(train).select(FEATURES, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    few = max(1, math.ceil(rows.count() / ROWS_PER_TASK))
+    matrix = rows.coalesce(few) if few < rows.rdd.getNumPartitions() else rows
     try:
         return Fitted(stages, factory(train).fit(matrix))
     finally:
-        matrix.unpersist()
+        rows.unpersist()
 
 
 class Fitted:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
@@ -117,8 +118,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     A first pass finds the mean of every column and which have missing values.
     The second sums products of deviations from those means, so nothing cancels;
     columns without missing values share their sums over all pairs.  Each task
-    ships one partial row.  A column that is constant over a pair's rows has no
-    correlation.
+    ships one partial row, and the single row of sums is finished here.  A column
+    that is constant over a pair's rows has no correlation.
     """
     if len(columns) <= 2:
         raise ValueError("a correlation matrix needs more than two columns")
@@ -132,39 +133,43 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     sums: dict[str, Column] = {}
 
-    def total(name: str, x: Column, needed: set[str], how=F.sum) -> Column:
-        """One aggregate over the rows in which all ``needed`` columns are present."""
+    def total(name: str, x: Column, needed: set[str], how=F.sum) -> str:
+        """Label of one aggregate over the rows in which all ``needed`` are present."""
         label = f"{name} where {' and '.join(sorted(needed & gappy))}"
         if label not in sums:
             for c in sorted(needed & gappy):
                 x = F.when(F.col(c).isNotNull(), x)
             sums[label] = how(x)
-        return F.col(f"`{label}`")
+        return label
 
-    cells = []
-    for x, y in combinations_with_replacement(columns, 2):
+    pairs = list(combinations_with_replacement(columns, 2))
+    parts = {}
+    for x, y in pairs:
         pair = {x, y}
         dx, dy = (F.col(c) - F.lit(centre[c]) for c in (x, y))
-        n = total("rows", F.lit(1), pair, F.count)
-        sx, sy = total(f"sum {x}", dx, pair), total(f"sum {y}", dy, pair)
-        vx = total(f"square {x}", dx * dx, pair) - sx * F.try_divide(sx, n)
-        vy = total(f"square {y}", dy * dy, pair) - sy * F.try_divide(sy, n)
-        both = total(f"product {x} {y}", dx * dy, pair) - sx * F.try_divide(sy, n)
-        spread = [
-            total(f"max {c}", F.col(c), pair, F.max) > total(f"min {c}", F.col(c), pair, F.min)
-            for c in (x, y)
-        ]
-        r = F.lit(1.0)
-        if x != y:
-            r = F.try_divide(both, F.sqrt(vx) * F.sqrt(vy))
-            r = F.when(r > 1, 1.0).when(r < -1, -1.0).otherwise(r)
-        r = F.when(spread[0] & spread[1], r)
-        cells += [
-            F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), r.alias("r"))
-            for a, b in dict.fromkeys([(x, y), (y, x)])
-        ]
-    wide = numbers.agg(*[x.alias(label) for label, x in sums.items()])
-    return wide.select(F.inline(F.array(*cells)))
+        parts[x, y] = (
+            total("rows", F.lit(1), pair, F.count),
+            total(f"sum {x}", dx, pair),
+            total(f"sum {y}", dy, pair),
+            total(f"square {x}", dx * dx, pair),
+            total(f"square {y}", dy * dy, pair),
+            total(f"product {x} {y}", dx * dy, pair),
+            *[total(f"{e.__name__} {c}", F.col(c), pair, e) for c in (x, y) for e in (F.min, F.max)],
+        )
+    row = numbers.agg(*[x.alias(label) for label, x in sums.items()]).first()
+    cells = []
+    for (x, y), labels in parts.items():
+        n, sx, sy, xx, yy, xy, *ends = (row[label] for label in labels)
+        r = None
+        if n and ends[0] < ends[1] and ends[2] < ends[3]:
+            both, vx, vy = xy - sx * sy / n, xx - sx * sx / n, yy - sy * sy / n
+            scale = math.sqrt(max(vx, 0.0)) * math.sqrt(max(vy, 0.0))
+            if x == y:
+                r = 1.0
+            elif scale > 0:
+                r = min(1.0, max(-1.0, both / scale))
+        cells += [(a, b, r) for a, b in dict.fromkeys([(x, y), (y, x)])]
+    return df.sparkSession.createDataFrame(cells, "x string, y string, r double")
 
 
 def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
