@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -120,6 +121,7 @@ def cross_validate(
     models: Mapping[str, Callable | None] = MODELS,
     folds: int = FOLDS,
     rows_per_cut: int = ROWS_PER_CUT,
+    parallel: int = 4,
 ) -> DataFrame:
     """One result row per model; a model that fails is reported, not raised.
 
@@ -132,11 +134,11 @@ def cross_validate(
     fill = column_medians(rows, features)
     n, _ = label_spread(rows)
     bounds = fold_bounds(n, folds)
-    results = []
-    for name, factory in models.items():
+
+    def compare(entry: tuple[str, Callable | None]) -> tuple:
+        name, factory = entry
         if factory is None:
-            results.append((name, None, None, None, None, 0, "not available"))
-            continue
+            return name, None, None, None, None, 0, "not available"
         try:
             scores = []
             for _, start, end in bounds:
@@ -148,9 +150,13 @@ def cross_validate(
                 "model string, rmse double, mae double, r2 double",
             )
             s = summarise(table).first()
-            results.append((name, s["rmse_mean"], s["rmse_std"], s["mae_mean"], s["r2_mean"], s["n_folds"], None))
         except Exception as error:  # noqa: BLE001 - one model must not end the comparison
-            results.append((name, None, None, None, None, 0, str(error)[:500]))
+            return name, None, None, None, None, 0, str(error)[:500]
+        return name, s["rmse_mean"], s["rmse_std"], s["mae_mean"], s["r2_mean"], s["n_folds"], None
+
+    # The driver only waits for each fit, so several models share the cluster.
+    with ThreadPoolExecutor(parallel) as pool:
+        results = list(pool.map(inheritable_thread_target(spark)(compare), models.items()))
     return spark.createDataFrame(results, RESULT_SCHEMA)
 
 

@@ -66,6 +66,7 @@ def feature_frame(
     """
     if feature_set not in FEATURE_SETS:
         raise ValueError(f"feature_set must be one of {FEATURE_SETS}")
+    require(df, *keys, time, target)
     shift = 0 if feature_set == "reference" else 1
     clean = nan_to_null(df)
     if newest:
