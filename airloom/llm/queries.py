@@ -2,13 +2,34 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from airloom.llm import chat, exact, mixing
+from airloom.llm import chat, exact, languages, mixing, packing, tokens, toxicity
 from airloom.llm.common import table
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+def op4_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.identify(table(spark, sf_dir, "documents"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -102,7 +123,11 @@ FROM e GROUP BY conv_id
 """
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_languages": op4_languages,
+    "op5_packing": op5_packing,
+    "op6_tokens": op6_tokens,
     "op7_mixing": op7_mixing,
     "op9_chat": op9_chat,
 }
