@@ -5,10 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from airloom.llm import chat, exact, languages, mixing, packing, tokens, toxicity
+from airloom.llm import chat, exact, languages, mixing, neardup, packing, tokens, toxicity
 from airloom.llm.common import table
 
-
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -18,6 +17,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.identify(table(spark, sf_dir, "documents"))
 
@@ -124,6 +127,7 @@ FROM e GROUP BY conv_id
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_neardup": op2_neardup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_languages": op4_languages,
     "op5_packing": op5_packing,
