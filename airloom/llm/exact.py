@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from airloom.llm.common import SPACE_CHARS, Written
@@ -107,3 +108,19 @@ def exact_groups(
         (F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False))).alias("kept"),
         F.col("digest").alias("text_sha256"),
     )
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents that stay, all columns as they were; of repeated rows one stays."""
+    kept = exact_groups(docs).where("kept").select(
+        F.col("doc_id").alias("_kept"), F.col("text_sha256").alias("_digest")
+    )
+    same = W.partitionBy("_id", "_norm").orderBy(F.length("text").desc())
+    return (
+        docs.withColumn("_id", F.col("doc_id"))
+        .withColumn("_norm", F.sha2(normalised(F.col("text")), 256))
+        .join(kept.distinct(), (F.col("_id") == F.col("_kept")) & (F.col("_norm") == F.col("_digest")), "left_semi")
+        .withColumn("_nth", F.row_number().over(same))
+        .where("_nth = 1")
+        .select(*[f"`{name}`" for name in docs.columns])
+    )

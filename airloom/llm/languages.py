@@ -226,7 +226,7 @@ def identify(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame, model: Model, least: float = LEAST_SHARE) -> DataFrame:
     """Documents whose language was found: not ``und``, and one language for ``least`` of it.
 
-    The text's own row is filtered where it is read: nothing is joined or shuffled.
+    With nothing to learn from, every text with a letter stays. The text's own row is filtered where it is read: nothing is joined or shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -238,6 +238,6 @@ def keep_identified(docs: DataFrame, model: Model, least: float = LEAST_SHARE) -
             if len(logs):
                 found = infer(*unit_likelihoods(data, offsets, logs), batch.num_rows)
             kept = pa.array(found.max(axis=1) >= least)
-            yield batch.filter(kept)
+            yield batch.filter(kept) if len(logs) else batch
 
     return docs.where(F.col("text").rlike(r"\p{L}")).mapInArrow(keep, docs.schema)

@@ -45,9 +45,10 @@ def source_targets(
 ) -> DataFrame:
     """source, source_size, target: shares by weight, stopped at ``repeats`` x the size.
 
-    Sources sorted by how soon they are full; with the first k full, the rest of the words
-    is shared by weight among the others. The first k at which no other source is above
-    its limit holds. One row a source.
+    Sources are sorted by how soon they are full. With the first k full, the rest of the words
+    is shared by weight among the others, at a level (words a unit of weight) that rises with
+    every source that was over its limit and falls with every one that was not: the highest
+    level is the one at which no source is above its limit. One row a source.
     """
     c = F.col
     by_name = W.orderBy(c("source").asc_nulls_last())
@@ -65,11 +66,11 @@ def source_targets(
             (F.sum("source_size").over(everything) * share - F.coalesce(F.sum("limit").over(before), F.lit(0.0)))
             / F.sum("weight").over(onwards),
         )
-        .withColumn("level", F.min(F.when(c("level") <= c("full_at"), c("level"))).over(everything))
+        .withColumn("level", F.max("level").over(everything))
     )
     return rows.select(
         "source", "source_size",
-        F.least("limit", F.coalesce(c("level") * c("weight"), c("limit"))).alias("target"),
+        F.least("limit", c("level") * c("weight")).alias("target"),
     )
 
 
@@ -199,30 +200,39 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **settings)
     sizes = folder.keep(sized(docs))
     targets = folder.keep(source_targets(sizes))
     drawn = draw(sizes, targets, folder, block_words=block_words, **settings)
-    by_row = drawn.groupBy(
-        c("doc_id").alias("_id"), c("copy").alias("_copy"), c("round").alias("_round")
-    ).agg(
-        F.sum("words").alias("_taken"),
-        F.array_sort(F.collect_list(F.struct("block", "words"))).alias("_blocks"),
+    # Draws are gathered by id, so that the texts are shuffled once, by id alone.
+    no_id = F.lit(-(2**63))
+    draws = (
+        drawn.groupBy(F.coalesce("doc_id", no_id).alias("_id"), "copy", "round")
+        .agg(
+            F.sum("words").alias("taken"),
+            F.array_sort(F.collect_list(F.struct("block", "words"))).alias("blocks"),
+        )
+        .groupBy("_id")
+        .agg(F.collect_list(F.struct("copy", "round", "taken", "blocks")).alias("_draws"))
+    )
+    same = W.partitionBy("_id").orderBy("source", "_size")
+    numbered = (
+        docs.withColumn("_id", F.coalesce("doc_id", no_id))
+        .withColumn("_size", words_in(c("text"))).withColumn("_copy", F.row_number().over(same))
     )
-    size = words_in(c("text"))
-    same = W.partitionBy("doc_id").orderBy("source", "_size")
-    numbered = docs.withColumn("_size", size).withColumn("_copy_of", F.row_number().over(same))
     words = F.expr(r"regexp_extract_all(text, r'[\x20\x09-\x0D]*[^\x20\x09-\x0D]+', 0)")
     cut = F.array_join(
         F.flatten(
             F.transform(
-                "_blocks",
+                "_draw.blocks",
                 lambda b: F.slice(c("_words"), b["block"] * block_words + 1, b["words"]),
             )
         ),
         "",
     )
-    joined = numbered.join(
-        by_row, c("doc_id").eqNullSafe(c("_id")) & (c("_copy_of") == c("_copy"))
-    ).withColumn("_words", F.when(c("_taken") < c("_size"), words))
-    text = F.when(c("_taken") < c("_size"), cut).otherwise(c("text"))
-    out = joined.withColumn("text", text)
+    part = c("_draw.taken") < c("_size")
+    out = (
+        numbered.join(draws, "_id")
+        .withColumn("_draw", F.explode(F.filter("_draws", lambda d: d["copy"] == c("_copy"))))
+        .withColumn("_words", F.when(part, words))
+        .withColumn("text", F.when(part, cut).otherwise(c("text")))
+    )
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*[f"`{name}`" for name in docs.columns])

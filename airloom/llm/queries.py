@@ -85,9 +85,7 @@ f AS (
   FROM s),
 t AS (
   SELECT source, source_size,
-         least(2.0::DOUBLE * source_size, weight * coalesce(
-           min(CASE WHEN level <= 2.0::DOUBLE * source_size / weight THEN level END) OVER (),
-           2.0::DOUBLE * source_size / weight)) AS target
+         least(2.0::DOUBLE * source_size, weight * max(level) OVER ()) AS target
   FROM f),
 b AS (
   SELECT doc_id, source, block,
