@@ -182,10 +182,13 @@ def mix_report(docs: DataFrame, **settings) -> DataFrame:
     sizes = folder.keep(sized(docs))
     targets = folder.keep(source_targets(sizes))
     drawn = draw(sizes, targets, folder, **settings)
-    taken = drawn.groupBy("doc_id", "copy").agg(F.sum("words").alias("taken"))
+    taken = drawn.groupBy(F.col("doc_id").alias("of_doc"), F.col("copy").alias("of_copy")).agg(
+        F.sum("words").alias("taken")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("copy") == F.col("of_copy"))
     return (
         sizes.join(targets.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name")))
-        .join(taken, ["doc_id", "copy"], "left")
+        .join(taken, same, "left")
         .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
     )
 
