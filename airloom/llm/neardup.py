@@ -331,12 +331,16 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         buckets.drop("pivot").join(first, "key").where("node != pivot").groupBy("node")
         .agg(F.min("pivot").alias("a")).select("a", c("node").alias("b"))
     )
-    tested, used, links, pivots = pairs, None, None, 1
+    tested, used, part_of, pivots = pairs, None, None, 1
     while True:
         candidates = folder.keep(similar(pairs, minima_of, percent))
         new = folder.keep(verified(candidates, texts, words, percent))
-        links = new if links is None else folder.keep(links.union(new))
-        part_of = components(links, folder)
+        if part_of is None:
+            part_of = components(new, folder)
+        elif not new.isEmpty():
+            # The stars found so far connect what all earlier links do.
+            stars = part_of.select(c("node").alias("a"), c("component").alias("b"))
+            part_of = components(stars.union(new.select("a", "b")), folder)
         labelled = (
             buckets.select("key", "node").join(part_of, "node", "left")
             .withColumn("component", F.coalesce("component", "node"))
@@ -344,7 +348,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         mixed = labelled.groupBy("key").agg(
             F.min("component").alias("low"), F.max("component").alias("high")
         ).where("low != high").select("key")
-        open_rows = labelled.join(mixed, "key", "left_semi")
+        # A bucket that is one component stays one: only the others go on.
+        open_rows = folder.keep(labelled.join(mixed, "key", "left_semi"))
+        buckets = open_rows.select("key", "node")
         largest = open_rows.withColumn(
             "size", F.count(F.lit(1)).over(W.partitionBy("key", "component"))
         )
