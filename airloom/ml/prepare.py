@@ -43,7 +43,7 @@ def scaling(df: DataFrame, fill: dict[str, float]) -> dict[str, tuple[float, flo
     return {
         c: (
             row[f"{c}_mean"],
-            row[f"{c}_std"] if row[f"{c}_std"] > 1e-12 * max(1.0, abs(row[f"{c}_mean"])) else 1.0,
+            row[f"{c}_std"] if row[f"{c}_std"] > 1e-12 * abs(row[f"{c}_mean"]) else 1.0,
         )
         for c in fill
     }

@@ -413,7 +413,7 @@ def newest_file(spark, sf_dir):
 @query(
     "stored_days",
     f"""SELECT event_id, {R('value')} AS value FROM events
-        WHERE ts >= TIMESTAMP '2024-01-05' AND CAST(ts AS DATE) <= DATE '2024-01-12'""",
+        WHERE ts >= TIMESTAMP '2024-01-05' AND ts <= TIMESTAMP '2024-01-12'""",
 )
 def stored_days(spark, sf_dir):
     """Written by day, read back pruned to a trailing range."""

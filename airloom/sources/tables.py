@@ -61,7 +61,7 @@ def read_days(spark: SparkSession, path: str, start: dt.date, end: dt.date) -> D
 def read_recent(spark: SparkSession, path: str, end: dt.datetime, days: int = 30) -> DataFrame:
     start = end - dt.timedelta(days=days)
     pruned = read_days(spark, path, start.date(), end.date())
-    return pruned.filter(F.col("datetime") >= F.lit(start))
+    return pruned.filter(F.col("datetime").between(F.lit(start), F.lit(end)))
 
 
 def latest_snapshot(df: DataFrame, snapshot: str = "snapshot_id") -> DataFrame:
