@@ -8,7 +8,7 @@
 4. Links are looked for in rounds. The first compares each document with the smallest one it
    shares any bucket with: at most one pair a document. Components of the verified links
    are found, and only buckets that still hold several components go on. Each next round takes
-   twice as many pivots from such a bucket, those of its largest component first, and
+   eight times as many pivots from such a bucket, those of its largest component first, and
    compares them with the members of other components. A tight group, however large, is one
    component after the first rounds and is never expanded into pairs; a bucket is done
    when it is one component or each of its members has been a pivot, so no link is lost.
@@ -44,6 +44,8 @@ PERCENT = 85
 BANDS, ROWS = 48, 5
 # Standard errors below the threshold at which the agreement of minima rules a pair out.
 MARGIN = 6
+# Pivots of an open bucket in the second round, and by how much their number grows.
+GROWTH = 8
 SEED = 11
 MULTIPLIER = 0x9E3779B97F4A7C15
 
@@ -263,7 +265,16 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("right"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(
         run, "a long, b long"
-    ).distinct()
+    )
+
+
+def settled(stars: DataFrame) -> bool:
+    """Whether each node points at one other, which points nowhere: one shuffle."""
+    ends = stars.select("u", F.lit(1).alias("out"), F.lit(0).alias("into")).union(
+        stars.select("v", F.lit(0), F.lit(1))
+    )
+    seen = ends.groupBy("u").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return not seen.agg(F.max(F.expr("out > 1 or (out > 0 and into > 0)"))).first()[0]
 
 
 def components(edges: DataFrame, folder: Written) -> DataFrame:
@@ -277,14 +288,10 @@ def components(edges: DataFrame, folder: Written) -> DataFrame:
     def smallest(rows: DataFrame) -> DataFrame:
         return rows.groupBy("u").agg(F.min("v").alias("m"))
 
-    def state(rows: DataFrame):
-        return rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-
     stars = folder.keep(
         edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
-    now = state(stars)
-    while True:
+    while not settled(stars):
         both = stars.union(stars.select(c("v").alias("u"), c("u").alias("v")))
         large = (
             both.join(smallest(both).withColumn("m", F.least("u", "m")), "u")
@@ -297,9 +304,8 @@ def components(edges: DataFrame, folder: Written) -> DataFrame:
         ).distinct()
         following = folder.keep(small)
         folder.drop(stars, large)
-        before, now, stars = now, state(following), following
-        if now == before:
-            return stars.select(c("u").alias("node"), c("v").alias("component"))
+        stars = following
+    return stars.select(c("u").alias("node"), c("v").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -331,10 +337,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         buckets.drop("pivot").join(first, "key").where("node != pivot").groupBy("node")
         .agg(F.min("pivot").alias("a")).select("a", c("node").alias("b"))
     )
-    tested, used, part_of, pivots = pairs, None, None, 1
+    tested, used, part_of, pivots = pairs, None, None, GROWTH
     while True:
-        candidates = folder.keep(similar(pairs, minima_of, percent))
-        new = folder.keep(verified(candidates, texts, words, percent))
+        new = folder.keep(verified(similar(pairs, minima_of, percent), texts, words, percent))
         if part_of is None:
             part_of = components(new, folder)
         elif not new.isEmpty():
@@ -370,10 +375,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
             .distinct().join(tested, ["a", "b"], "left_anti")
         )
-        tested = folder.keep(tested.union(pairs))
+        # Written tables side by side: earlier rounds are not written again.
+        tested = tested.union(pairs)
         marked = chosen.select("key", "node")
-        used = marked if used is None else folder.keep(used.union(marked))
-        pivots *= 2
+        used = marked if used is None else used.union(marked)
+        pivots *= GROWTH
     return (
         found.select("doc_id", "n_shingles", "digest")
         .join(classes, "digest", "left")
