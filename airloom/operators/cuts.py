@@ -53,6 +53,7 @@ class Arranged:
     keys: tuple[str, ...]
     order: tuple[str, ...]
     cuts: int
+    longest: int  # no series has more rows
 
     @property
     def group(self) -> list[str]:
@@ -64,7 +65,7 @@ class Arranged:
         return Window.partitionBy(*columns).orderBy(*self.order)
 
     def replace(self, rows: DataFrame) -> "Arranged":
-        return Arranged(rows, self.keys, self.order, self.cuts)
+        return Arranged(rows, self.keys, self.order, self.cuts, self.longest)
 
     def _small(self, pieces: DataFrame) -> DataFrame:
         return F.broadcast(pieces) if 2 * self.cuts <= BROADCAST_PIECES else pieces
@@ -84,31 +85,18 @@ class Arranged:
             .drop("_parts", "_n")
         )
 
-    def extend(
-        self, before: int = 0, after: int = 0, sparse: tuple[Column, int] | None = None
-    ) -> DataFrame:
+    def extend(self, before: int = 0, after: int = 0) -> DataFrame:
         """Rows plus, per piece, ``before`` earlier and ``after`` later rows.
 
         Own rows have ``_own`` true; filter on it once the windows are computed.
-        ``sparse = (condition, depth)`` also copies the last ``depth`` earlier
-        rows that meet a condition, however far back they lie.
         """
         out = self.rows.withColumn(OWN, F.lit(True))
         if self.cuts <= 1:
             return out
-        copies = []
         if before > 0:
-            copies.append(self._earlier(self.rows, before))
-        if sparse is not None:
-            condition, depth = sparse
-            copies.append(self._earlier(self.rows.filter(condition), depth))
-        if len(copies) == 2:
-            both = copies[0].unionByName(copies[1])
-            copies = [both.dropDuplicates([*self.group, *self.order])]
+            out = out.unionByName(self._earlier(self.rows, before))
         if after > 0:
-            copies.append(self._later(self.rows, after))
-        for part in copies:
-            out = out.unionByName(part)
+            out = out.unionByName(self._later(self.rows, after))
         return out
 
     def _earlier(self, source: DataFrame, before: int) -> DataFrame:
@@ -229,13 +217,14 @@ def arrange(
     """
     keys, order = tuple(keys), tuple(order)
     if longest is not None and longest <= rows_per_cut:
-        return Arranged(df, keys, order, 1)
+        return Arranged(df, keys, order, 1, longest)
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     size = per_key.agg(F.max("n").alias("longest"), F.sum("n").alias("total")).first()
-    if (size["longest"] or 0) <= rows_per_cut:
-        return Arranged(df, keys, order, 1)
+    longest = size["longest"] or 0
+    if longest <= rows_per_cut:
+        return Arranged(df, keys, order, 1, longest)
     cuts = math.ceil(size["total"] / rows_per_cut)
     ranged = df.repartitionByRange(cuts, *keys, *order).withColumn(
         CUT, F.spark_partition_id()
     )
-    return Arranged(materialise(ranged, "series"), keys, order, cuts)
+    return Arranged(materialise(ranged, "series"), keys, order, cuts, longest)

@@ -66,7 +66,8 @@ def asof_join(
     """Each left row with the last right row of its key at or before its time.
 
     Both sides become one ordered series in which right rows come first on a
-    tie; the ids make the order total.  One shuffle, no pairs.
+    tie; the ids make the order total.  One shuffle, no pairs.  A row with a NULL
+    key has no match.
     """
     packed = F.struct(*values)
     payload = [c for c in left.columns if c not in (*keys, time)]
@@ -82,8 +83,12 @@ def asof_join(
     known = arrange(both, keys, [time, "_side", "_id"], rows_per_cut).last_known(
         "_right", "_match"
     )
+    named = F.lit(True)
+    for k in keys:
+        named = named & F.col(k).isNotNull()
+    match = F.when(named, F.col("_match"))
     return known.rows.filter("_side = 1").select(
-        *keys, time, "_left.*", *[F.col("_match")[v].alias(v) for v in values]
+        *keys, time, "_left.*", *[match[v].alias(v) for v in values]
     )
 
 
@@ -91,9 +96,13 @@ def apply_reading(history: DataFrame, reading: DataFrame) -> DataFrame:
     """One current reading beside every history row.
 
     The reading is a single row, which enters the plan as literals; nothing is
-    joined.  For a reading per time see ``asof_join``.
+    joined.  Without a row the columns are NULL, several are refused.  For a
+    reading per time see ``asof_join``.
     """
-    row = reading.first()
+    rows = reading.limit(2).collect()
+    if len(rows) > 1:
+        raise ValueError("apply_reading needs one current reading, there are several")
+    row = rows[0] if rows else dict.fromkeys(reading.columns)
     return history.withColumns(
         {f.name: F.lit(row[f.name]).cast(f.dataType) for f in reading.schema.fields}
     )

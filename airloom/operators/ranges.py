@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airloom.operators.windows import newest_rows
+from airloom.operators.windows import latest, newest_rows
 
 CHUNK_DAYS = 30
 # Rows before a slice that its features look back on.
@@ -100,11 +100,15 @@ def hour_spine(spark: SparkSession, start: dt.datetime, end: dt.datetime) -> Dat
 
 
 def hourly_grid(df: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
-    """Complete hourly grid per series: absent hours become rows of NULLs."""
-    hour = F.date_trunc("hour", F.col(time))
-    spans = df.groupBy(*keys).agg(F.min(hour).alias("_from"), F.max(hour).alias("_to"))
+    """Complete hourly grid per series: absent hours become rows of NULLs.
+
+    Rows off the full hour stand for their hour, the newest of it counts.
+    """
+    stamped = df.withColumn("_hour", F.date_trunc("hour", F.col(time)))
+    spans = stamped.groupBy(*keys).agg(F.min("_hour").alias("_from"), F.max("_hour").alias("_to"))
     grid = spans.select(
         *keys,
         F.explode(F.sequence("_from", "_to", F.expr("interval 1 hour"))).alias(time),
     )
-    return grid.join(df, [*keys, time], "left")
+    newest = latest(stamped, [*keys, "_hour"], [time])
+    return grid.join(newest.drop(time).withColumnRenamed("_hour", time), [*keys, time], "left")

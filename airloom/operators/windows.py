@@ -4,18 +4,20 @@ A long frame is put together from shorter ones.  The statistics of 168 rows are
 the merged statistics of seven adjacent 24-row frames, which are already known
 for every row, so they cost seven ``lag`` reads instead of 168 updates.  The
 same holds for the exponential average, where each row is an affine step
-``y = p * y_previous + q`` and adjacent steps compose.
+``y = p * y_previous + q`` and adjacent steps compose, as far back as the series
+goes.  A cut series is composed in blocks of positions, whose composites are
+composed in turn.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from airloom.operators.cuts import OWN, ROWS_PER_CUT, Arranged, allow_group_limit, arrange
+from airloom.session import materialise
 
 # Window and lag lengths in rows, named "h" on the hourly grid.
 DAY_WINDOWS = (1, 3, 6, 12, 24)
@@ -28,8 +30,8 @@ ROLLING_STATS = ("mean", "std", "min", "max", "range")
 
 # A frame is built from at most this many shorter ones where the sizes allow.
 MAX_PARTS = 8
-# Weight below which an older observation cannot change a double.
-NEGLIGIBLE = 1e-18
+# Rows of a cut series whose steps are composed before their blocks are.
+EMA_BLOCK = MAX_PARTS**4
 
 
 def composition(sizes: Iterable[int]) -> dict[int, int]:
@@ -273,12 +275,6 @@ def change_rate(
     )
 
 
-def ema_depth(span: int) -> int:
-    """Rows after which an observation's weight is below double precision."""
-    keep = 1.0 - 2.0 / (span + 1.0)
-    return max(1, math.ceil(math.log(NEGLIGIBLE) / math.log(keep)))
-
-
 def ema(
     df: DataFrame, column: str, keys: Sequence[str], order: Sequence[str],
     spans: Sequence[int] = EMA_SPANS,
@@ -286,39 +282,73 @@ def ema(
 ) -> DataFrame:
     """Exponential average, recursive form, alpha = 2 / (span + 1).
 
-    Over missing values the last average stands and the next observation's
-    weight grows with the gap; before the first value the average is missing.
+    Every earlier observation counts.  Over missing values the last average
+    stands and the next observation's weight grows with the gap; before the
+    first value the average is missing.
     """
     arranged = arrange(df, keys, order, rows_per_cut, longest).position("_pos")
-    rows = add_ema(arranged, column, spans, before=0)
-    return rows.filter(OWN).drop(OWN, "_cut", "_pos")
+    return add_ema(arranged, column, spans).rows.drop("_cut", "_pos")
 
 
 def add_ema(
-    arranged: Arranged, column: str, spans: Sequence[int] = EMA_SPANS, before: int = 0
-) -> DataFrame:
-    """EMA on arranged rows that carry ``_pos``; the rows come back extended."""
-    depth = {span: ema_depth(span) for span in spans}
-    present = F.col(column).isNotNull()
-    rows = arranged.extend(before, sparse=(present, max(depth.values()) + 1))
-    kept = rows.columns
+    arranged: Arranged, column: str, spans: Sequence[int] = EMA_SPANS,
+    block: int = EMA_BLOCK,
+) -> Arranged:
+    """EMA columns on arranged rows that carry ``_pos``."""
+    kept = arranged.rows.columns
+    names = {span: f"{column}_ema_{span}h" for span in spans}
+    rows = arranged.rows.selectExpr(
+        "*", f"CAST(`{column}` AS DOUBLE) AS _x", f"`{column}` IS NULL AS _gone",
+        f"_pos div {block} AS _block",
+    )
     # Missing rows form a partition of their own, so lags see observations only.
-    rows = rows.withColumn("_gone", F.col(column).isNull())
-    w = arranged.window("_gone")
+    if arranged.cuts <= 1:
+        rows = _composed(rows, arranged.window("_gone"), spans, arranged.longest, "_x")
+        average = {span: F.col(f"_q_{span}") for span in spans}
+    else:
+        seen = Window.partitionBy(*arranged.keys, "_block", "_gone").orderBy("_pos")
+        rows = _composed(rows, seen, spans, block, None)
+        rows = _with_block_starts(rows, arranged, spans, block)
+        average = {
+            s: F.col(f"_p_{s}") * F.col(f"_start_{s}") + F.col(f"_q_{s}") for s in spans
+        }
+    rows = rows.withColumns({f"_y_{s}": F.when(~F.col("_gone"), average[s]) for s in spans})
+    out = arranged.replace(rows.select(*kept, *[f"_y_{s}" for s in spans]))
+    if arranged.cuts > 1:
+        out = out.replace(materialise(out.rows, "ema"))
+    for span in spans:
+        out = out.last_known(f"_y_{span}", names[span])
+    return out.replace(out.rows.select(*kept, *names.values()))
+
+
+def _step(x: str, gap: str, span: int) -> tuple[str, str]:
+    """SQL for the affine step of an observation ``gap`` rows after the last one."""
+    alpha = 2.0 / (span + 1.0)
+    faded = f"power({1.0 - alpha!r}D, {gap})"
+    return f"{faded} / ({faded} + {alpha!r}D)", f"{alpha!r}D * {x} / ({faded} + {alpha!r}D)"
+
+
+def _composed(
+    rows: DataFrame, w: WindowSpec, spans: Sequence[int], length: int, first: str | None
+) -> DataFrame:
+    """Adds ``_p`` and ``_q`` per span: all steps of the window up to each row.
+
+    The first row sets the average to ``first``, or leaves it where that is None.
+    """
     rows = rows.withColumn("_gap", F.col("_pos") - F.lag("_pos").over(w))
     steps = []
     for span in spans:
-        alpha = 2.0 / (span + 1.0)
-        faded = f"power({1.0 - alpha!r}D, _gap)"
-        x = f"CAST(`{column}` AS DOUBLE)"
-        steps += [
-            f"IF(_gap IS NULL, 0D, {faded} / ({faded} + {alpha!r}D)) AS _p_{span}",
-            f"IF(_gap IS NULL, {x}, {alpha!r}D * {x} / ({faded} + {alpha!r}D)) AS _q_{span}",
-        ]
-    rows = rows.selectExpr("*", *steps)
+        p, q = _step("_x", "_gap", span)
+        start = ("1D", "0D") if first is None else ("0D", first)
+        steps.append(f"IF(_gap IS NULL, {start[0]}, {p}) AS _p_{span}")
+        steps.append(f"IF(_gap IS NULL, {start[1]}, {q}) AS _q_{span}")
+    return _doubled(rows.selectExpr("*", *steps), w, spans, length)
+
+
+def _doubled(rows: DataFrame, w: WindowSpec, spans: Sequence[int], length: int) -> DataFrame:
+    """Steps ``_p`` and ``_q`` composed with those of all earlier rows of the window."""
     unit = 1
-    while any(depth[span] > unit for span in spans):
-        live = [span for span in spans if depth[span] > unit]
+    while unit < length:
         columns = [f"`{c}`" for c in rows.columns]
         rows = rows.select(
             "*",
@@ -326,25 +356,54 @@ def add_ema(
                 F.lag(f"_{f}_{span}", i * unit, 1.0 if f == "p" else 0.0)
                 .over(w)
                 .alias(f"_{f}_{span}_{i}")
-                for span in live
+                for span in spans
                 for i in range(1, MAX_PARTS)
                 for f in ("p", "q")
             ],
         )
-        composed = [text for span in live for text in _compose(span)]
-        replaced = {f"`_{f}_{span}`" for span in live for f in ("p", "q")}
-        rows = rows.selectExpr(*[c for c in columns if c not in replaced], *composed)
+        replaced = {f"`_{f}_{span}`" for span in spans for f in ("p", "q")}
+        rows = rows.selectExpr(
+            *[c for c in columns if c not in replaced],
+            *[text for span in spans for text in _compose(span)],
+        )
         unit *= MAX_PARTS
-    so_far = arranged.window().rowsBetween(Window.unboundedPreceding, 0)
-    return rows.select(
-        *kept,
+    return rows
+
+
+def _with_block_starts(
+    rows: DataFrame, arranged: Arranged, spans: Sequence[int], block: int
+) -> DataFrame:
+    """Adds ``_start``: the average at the first observation of each row's block.
+
+    One row per block and series carries the composite of its observations.
+    """
+    keys = list(arranged.keys)
+    w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_block")
+    blocks = rows.filter("NOT _gone").groupBy(*keys, "_block").agg(
+        F.min("_pos").alias("_first"), F.min_by("_x", "_pos").alias("_x"),
+        F.max("_pos").alias("_last"),
+        *[F.max_by(f"_{f}_{s}", "_pos").alias(f"_{f}_{s}") for s in spans for f in ("p", "q")],
+    ).withColumn("_gap", F.col("_first") - F.lag("_last").over(w))
+    for s in spans:
+        p, q = _step("_x", "_gap", s)
+        blocks = blocks.selectExpr(
+            "*", f"IF(_gap IS NULL, 0D, {p}) AS _a_{s}", f"IF(_gap IS NULL, _x, {q}) AS _b_{s}"
+        ).withColumns({
+            f"_p_{s}": F.expr(f"_p_{s} * _a_{s}"), f"_q_{s}": F.expr(f"_q_{s} + _p_{s} * _b_{s}"),
+        })
+    blocks = _doubled(blocks, w, spans, -(-arranged.longest // block))
+    starts = blocks.select(
+        *[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_block").alias("_of_block"),
         *[
-            F.last(F.when(~F.col("_gone"), F.col(f"_q_{s}")), ignorenulls=True)
-            .over(so_far)
-            .alias(f"{column}_ema_{s}h")
+            (F.col(f"_a_{s}") * F.lag(f"_q_{s}", 1, 0.0).over(w) + F.col(f"_b_{s}"))
+            .alias(f"_start_{s}")
             for s in spans
         ],
     )
+    same = F.col("_block") == F.col("_of_block")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    return rows.join(starts, same, "left")
 
 
 def _compose(span: int) -> list[str]:

@@ -74,7 +74,8 @@ def feature_frame(
     arranged = arrange(clean, keys, [time], rows_per_cut, longest).position("_pos")
 
     depth = max(max(LONG_WINDOWS) - 1 + shift, max(LAGS) + shift)
-    rows = add_ema(arranged, target, before=depth)
+    arranged = add_ema(arranged, target)
+    rows = arranged.extend(before=depth)
     w = arranged.window()
     lagged = [target, *[p for p in POLLUTANTS if p in df.columns]]
     emas = [c for c in rows.columns if c.startswith(f"{target}_ema_")]

@@ -13,6 +13,7 @@ from airloom.ml.models import MODELS
 from airloom.ml.validate import train_best
 from airloom.operators import ranges
 from airloom.operators.joins import dedup_latest
+from airloom.operators.windows import ema
 from airloom.plans.features import feature_frame, training_columns
 from airloom.schemas import SERIES, TARGET, TIME, nan_to_null, observation_rules, validate
 from airloom.sources import payloads, tables
@@ -56,9 +57,19 @@ def backfill(rows: DataFrame, end: dt.datetime, years: int = 2, output: str | No
 
 
 def incremental(rows: DataFrame, end: dt.datetime, hours: int = 24, output: str | None = None) -> DataFrame:
-    """Features of the last hours, with the rows before them as context."""
+    """Features of the last hours, with the rows before them as context.
+
+    Lags and windows need a bounded number of earlier rows; the exponential
+    averages need all of them, for which three columns of the history are read.
+    """
     start, end = ranges.incremental_bounds(end, hours)
     features = ranges.with_lookback(rows, [SERIES], [TIME], start, end, feature_frame)
+    history = nan_to_null(rows.filter(F.col(TIME) <= F.lit(end)).select(SERIES, TIME, TARGET))
+    averages = ema(history, TARGET, [SERIES], [TIME]).filter(F.col(TIME) >= F.lit(start)).drop(TARGET)
+    partial = [c for c in averages.columns if c not in (SERIES, TIME)]
+    features = (
+        features.drop(*partial).join(averages, [SERIES, TIME], "left").select(*features.columns)
+    )
     if output is not None:
         tables.upsert_days(features, output, [SERIES, TIME], TIME)
     return features
@@ -75,7 +86,8 @@ def training(
     tables.write_results(results, f"{model_path}/results")
     score = results.filter(F.col("model") == best).first()
     metrics = {"rmse": score["rmse_mean"], "mae": score["mae_mean"], "r2": score["r2_mean"]}
-    if hasattr(fitted.model, "write"):
-        fitted.save(f"{model_path}/{best}")
+    if not hasattr(fitted.model, "write"):
+        raise TypeError(f"{best} has no writer, so it is not registered")
+    fitted.save(f"{model_path}/{best}")
     version = tables.register_model(spark, registry, best, metrics, "best of the comparison")
     return {"best_model": best, "version": version, "n_features": len(columns), **metrics}

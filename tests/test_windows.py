@@ -102,6 +102,35 @@ def test_ema_hand_computed(spark):
     )
 
 
+@pytest.mark.parametrize("rows_per_cut", [10_000, 700])
+def test_ema_of_long_gappy_series_of_mixed_magnitude(spark, rows_per_cut):
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=6_000)
+    v[0], v[1:3_000] = 1e20, 0.0
+    gappy = np.where(rng.random(6_000) < 0.4, np.nan, v)
+    gappy[1_000:4_500] = np.nan
+    pdf = pd.concat([
+        pd.DataFrame({"k": k, "t": range(6_000), "v": x}) for k, x in (("a", v), ("b", gappy))
+    ])
+    out = collect(W.ema(to_spark(spark, pdf), "v", KEYS, ORDER, (24, 168), rows_per_cut=rows_per_cut))
+    for span in (24, 168):
+        expected = pdf.groupby("k")["v"].transform(
+            lambda s, span=span: s.ewm(span=span, adjust=False).mean()
+        )
+        np.testing.assert_allclose(
+            out[f"v_ema_{span}h"].to_numpy(float), expected.to_numpy(), rtol=1e-9, atol=1e-9
+        )
+
+
+def test_ema_blocks_of_blocks(spark):
+    arranged = W.arrange(to_spark(spark, HOT), KEYS, ORDER, rows_per_cut=9).position("_pos")
+    out = collect(W.add_ema(arranged, "v", (24,), block=8).rows)
+    expected = HOT.groupby("k")["v"].transform(lambda s: s.ewm(span=24, adjust=False).mean())
+    np.testing.assert_allclose(
+        out["v_ema_24h"].to_numpy(float), expected.to_numpy(), rtol=1e-10, atol=1e-10
+    )
+
+
 @pytest.mark.parametrize("rows_per_cut", [10_000, 9])
 def test_trend_and_position(spark, rows_per_cut):
     pdf = make([400, 50, 10], missing=0.0)
