@@ -205,7 +205,7 @@ def ema(spark, sf_dir):
     rows = hourly(spark, sf_dir).select(
         "series_key", "datetime", F.when(F.col("aqi") <= 45, F.col("aqi")).alias("x")
     )
-    out = windows.ema(rows, "x", ["series_key"], ["datetime"], longest=HOURLY_GRID_ROWS)
+    out = windows.ema(rows, "x", ["series_key"], ["datetime"])
     return present(out.drop("x"))
 
 
@@ -493,7 +493,7 @@ def feature_sql() -> str:
 @query("feature_frame", feature_sql())
 def features(spark, sf_dir):
     """All 148 columns of the hourly observations."""
-    return present(feature_frame(hourly(spark, sf_dir), longest=HOURLY_GRID_ROWS))
+    return present(feature_frame(hourly(spark, sf_dir)))
 
 
 @query(
@@ -506,7 +506,7 @@ def features(spark, sf_dir):
         {R(f'lag(pm25, 24) OVER ({HOUR})')} AS pm25_lag_24h FROM ({HOURLY_SQL})""",
 )
 def features_leak_free(spark, sf_dir):
-    out = feature_frame(hourly(spark, sf_dir), feature_set="leak_free", longest=HOURLY_GRID_ROWS)
+    out = feature_frame(hourly(spark, sf_dir), feature_set="leak_free")
     absent = {"pm25", "aqi_good", "pollution_index"} & set(out.columns)
     assert not absent, absent
     return present(

@@ -65,6 +65,26 @@ def test_incremental_equals_whole(spark, clean, tmp_path):
         assert off == 0, c
 
 
+def test_incremental_average_looks_back_over_all_rows(spark, clean):
+    hours, seen = 2_300, 50
+    times = spark.range(hours).select(
+        F.lit("x").alias("series_key"),
+        (F.lit(START) + F.make_dt_interval(F.lit(0), F.col("id").cast("int"))).alias("datetime"),
+        F.when(F.col("id") < seen, F.col("id") * 1.5).alias("aqi"),
+    )
+    rest = [F.lit(1.0).cast(t).alias(c) if t == "double" else F.lit(None).cast(t).alias(c)
+            for c, t in clean.dtypes if c not in times.columns]
+    rows = times.select("*", *rest)
+    end = START + dt.timedelta(hours=hours - 1)
+    names = ("aqi_ema_24h", "aqi_ema_168h")
+    part = runs.incremental(rows, end, 2).select("datetime", *names)
+    whole = runs.backfill(rows, end, 1).select("datetime", *names)
+    both = part.alias("p").join(whole.alias("w"), "datetime").collect()
+    assert len(both) == 3
+    for row in both:
+        assert row[1] is not None and row[1:3] == pytest.approx(row[3:5], rel=1e-12)
+
+
 def test_training_registers(spark, clean, tmp_path):
     features = runs.historical(clean, START, START + dt.timedelta(hours=HOURS), str(tmp_path / "f"))
     stored = spark.read.parquet(str(tmp_path / "f"))

@@ -94,6 +94,27 @@ def test_asof_join(spark, rows_per_cut):
     assert found[10] == (1010, 10.0) and found[36] == (1035, None) and found[98] == (1050, 50.0)
 
 
+def test_asof_join_without_keys_and_one_reading(spark):
+    left = spark.createDataFrame([(None, 5, 1), ("a", 5, 2)], "k string, t int, id int")
+    right = spark.createDataFrame([(None, 1, 7, 2.0), ("a", 1, 8, 3.0)], "k string, t int, rid int, v double")
+    out = joins.asof_join(left, right, ["k"], "t", ["v"], "id", "rid")
+    assert {r.id: r.v for r in out.collect()} == {1: None, 2: 3.0}
+    readings = right.select("v")
+    with pytest.raises(ValueError, match="one current reading"):
+        joins.apply_reading(left, readings)
+    kept = joins.apply_reading(left, readings.filter("v > 9"))
+    assert kept.count() == 2 and kept.filter("v IS NULL").count() == 2
+
+
+def test_hourly_grid_off_the_full_hour(spark):
+    at = lambda h, m: dt.datetime(2024, 1, 1, h, m)
+    rows = spark.createDataFrame(
+        [("a", at(10, 20), 4.0), ("a", at(10, 37), 5.0), ("a", at(12, 0), 6.0)],
+        "k string, t timestamp, v double")
+    out = ranges.hourly_grid(rows, ["k"], "t").orderBy("t").collect()
+    assert [(r.t, r.v) for r in out] == [(at(10, 0), 5.0), (at(11, 0), None), (at(12, 0), 6.0)]
+
+
 def test_chunks(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1), dt.datetime(2024, 3, 15))], "lo timestamp, hi timestamp")
     rows = ranges.chunks(df, "lo", "hi").orderBy("chunk_start").collect()
