@@ -10,13 +10,16 @@ corpus. Every such string (a window) is named by its anchor: the position in it
    the shard of the hash. Equal contexts are one from then on; all but the first are repeats.
 3. In each shard the windows of the different contexts are compared exactly, by suffix
    array: prefix doubling that refines only unsorted groups (Larsson-Sadakane), common
-   prefixes after Kasai, run along all contexts at once. A group of contexts that is larger
-   than a shard's block spans several suffix arrays; windows of the later ones are looked up
-   in the earlier ones by binary search.
-4. The repeated stretches of each document are united and cut out.
+   prefixes after Kasai, run along all contexts at once.
+4. A hot anchor, one with more contexts than fill a shard's block, has no shard: its contexts
+   are taken apart into windows, which go by the hash of their own bytes (128 bits of
+   BLAKE2b stand for them). Only the first of equal windows leaves a batch.
+5. The repeated stretches of each document are united and cut out.
 
-Text that does not repeat never leaves its document; memory is bounded by the block size,
-the longest document and the different contexts of a single anchor.
+Text that does not repeat never leaves its document; memory is bounded by the block size
+and the longest document. One task reads at most a block of contexts of an anchor and a row
+per batch of a window or known anchor. The hot anchors, which are sent to every task, are at
+most one in ``block / (2 * length - gram)`` occurrences of repeated anchors.
 
 Defined results: a null text is empty; windows never cross documents; a document shorter
 than a window keeps all its bytes. Rows that repeat a doc_id are at the same place, so none
@@ -41,6 +44,7 @@ from airloom.llm.neardup import POWERS
 LENGTH = 100
 GRAM = 32
 BLOCK = 2 << 20
+SPREAD = 4096
 
 
 def prefix_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,60 +120,114 @@ def summaries(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def anchor_rows(found: DataFrame) -> DataFrame:
-    """(key, doc): each anchor hash of a document once, or twice if it has it more often."""
+    """(key, doc, n): each anchor hash of a document and how often it has it.
+
+    Rows whose key another row of the batch has are known to be repeated. All but the first of
+    them get a ``spread``, so that they need not meet by key.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, docs = [], []
+            keys, docs, times = [], [], []
             ids = zip(batch.column("doc_id").to_pylist(), batch.column("anchors").to_pylist(), strict=True)
             for doc, packed in ids:
                 key, n = np.unique(np.frombuffer(packed, np.int64), return_counts=True)
-                key = np.concatenate([key, key[n > 1]])
                 keys.append(key)
                 docs.append(np.full(len(key), doc, np.int64))
+                times.append(n)
             if keys:
+                key, doc, n = map(np.concatenate, (keys, docs, times))
+                _, leader, which, rows = np.unique(
+                    key, return_index=True, return_inverse=True, return_counts=True
+                )
+                later = leader[which] != np.arange(len(key))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), pa.array(np.concatenate(docs))], ["key", "doc"]
+                    [
+                        pa.array(key), pa.array(doc), pa.array(n, pa.int64()), pa.array(rows[which] > 1),
+                        pa.array(doc % SPREAD, pa.int64(), mask=~later),
+                    ],
+                    ["key", "doc", "n", "known", "spread"],
                 )
 
     return found.where("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), "anchors"
-    ).mapInArrow(run, "key long, doc long")
+    ).mapInArrow(run, "key long, doc long, n long, known boolean, spread long")
 
 
 def repeated(rows: DataFrame) -> DataFrame:
-    """The rows whose key another row has, too: streamed in key order, in constant memory."""
+    """The rows whose key occurs elsewhere, too: streamed in key order, in constant memory."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_key, held_doc, joined = np.zeros(0, np.int64), np.zeros(0, np.int64), False
+        names = ["key", "doc", "n"]
+        held, joined = [np.zeros(0, np.int64)] * 3, False
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key = np.concatenate([held_key, batch.column("key").to_numpy()])
-            doc = np.concatenate([held_doc, batch.column("doc").to_numpy()])
+            key, doc, n = (
+                np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, names, strict=True)
+            )
+            known = batch.column("known").to_numpy(zero_copy_only=False)
+            company = np.concatenate([np.full(len(held[0]), joined), known]) | (n > 1)
             same = key[1:] == key[:-1]
-            company = np.concatenate([[joined], same])
+            company[1:] |= same
             company[:-1] |= same
-            held_key, held_doc, joined = key[-1:], doc[-1:], bool(company[-1])
+            held, joined = [x[-1:] for x in (key, doc, n)], bool(company[-1])
             mask = company[:-1]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key[:-1][mask]), pa.array(doc[:-1][mask])], ["key", "doc"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(x[:-1][mask]) for x in (key, doc, n)], names)
         if joined:
-            yield pa.RecordBatch.from_arrays([pa.array(held_key), pa.array(held_doc)], ["key", "doc"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names)
+
+    by_key = rows.repartition("key", "spread").sortWithinPartitions("key")
+    return by_key.mapInArrow(run, "key long, doc long, n long")
 
-    by_key = rows.repartition("key").sortWithinPartitions("key")
-    return by_key.mapInArrow(run, "key long, doc long")
+
+def repeated_anchors(rows: DataFrame, most: int) -> DataFrame:
+    """doc, its repeated ``keys``, and those of them that occur more than ``most`` times, ``hot``."""
+    hot = rows.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > most)
+    marks = F.broadcast(hot.select("key", F.lit(True).alias("is_hot")))
+    return rows.join(marks, "key", "left").groupBy("doc").agg(
+        F.collect_set("key").alias("keys"), F.collect_set(F.when(F.col("is_hot"), F.col("key"))).alias("hot")
+    )
 
 
 CONTEXT = "key long, doc long, begin long, size long, at long, context binary"
 
 
+def windows(
+    raw: bytes, length: int, first: np.ndarray, last: np.ndarray, doc: np.ndarray, begin: np.ndarray
+) -> list[pa.Array]:
+    """The columns of CONTEXT for the windows that start from ``first`` to ``last``.
+
+    Of equal windows the first in the corpus goes on; runs of the others are known repeats.
+    """
+    n = last - first + 1
+    of = np.repeat(np.arange(len(n)), n)
+    step = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    doc, place, start = doc[of], begin[of] + step, (first[of] + step).tolist()
+    digests = b"".join(hashlib.blake2b(raw[p : p + length], digest_size=16).digest() for p in start)
+    high, low = np.frombuffer(digests, np.int64).reshape(-1, 2).T
+    order = np.lexsort((place, doc, low, high))
+    fresh = np.concatenate([[True], (np.diff(high[order]) != 0) | (np.diff(low[order]) != 0)])
+    leader = np.empty(len(order), np.int64)
+    leader[order] = order[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
+    again = (doc != doc[leader]) | (place != place[leader])
+    lead, known = np.flatnonzero(~again), np.flatnonzero(again)
+    begins, ends = runs(known, of)
+    at = np.concatenate([lead, begins])
+    size = np.concatenate([np.full(len(lead), length), ends - begins + length])
+    return [
+        pa.array(high[at]), pa.array(doc[at]), pa.array(place[at]), pa.array(size, pa.int64()),
+        pa.array(np.full(len(at), -1)),
+        pa.array([*(digests[16 * i : 16 * i + 16] for i in lead), *[None] * len(begins)], pa.binary()),
+    ]
+
+
 def contexts(marked: DataFrame, length: int, gram: int) -> DataFrame:
-    """The contexts of each document's repeated anchors.
+    """The contexts of each document's repeated anchors, and the windows of its hot ones.
 
     Of equal contexts in a batch the first goes on; the others are repeats already and go on
-    without their bytes.
+    without their bytes. So it is with windows, whose key and bytes are their digest; their
+    ``at`` is -1.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +242,7 @@ def contexts(marked: DataFrame, length: int, gram: int) -> DataFrame:
             chosen = np.isin(name(hashes.copy(), of), name(keys.copy(), owner))
             first, last, anchor, hashes, of = (x[chosen] for x in (first, last, anchor, hashes, of))
             doc = np.asarray(batch.column("doc"), np.int64)[of]
-            order = np.lexsort((first, doc))
+            order = np.lexsort((first - offsets[of], doc))
             first, last, anchor, hashes, of, doc = (
                 x[order] for x in (first, last, anchor, hashes, of, doc)
             )
@@ -197,6 +255,15 @@ def contexts(marked: DataFrame, length: int, gram: int) -> DataFrame:
             lead = leader[which]
             again = (doc != doc[lead]) | (begin != begin[lead])
             raw = data.tobytes()
+            apart = ~again & np.isin(hashes.view(np.int64), np.asarray(batch.column("hot").flatten(), np.int64))
+            names = ["key", "doc", "begin", "size", "at", "context"]
+            if apart.any():
+                yield pa.RecordBatch.from_arrays(
+                    windows(raw, length, first[apart], last[apart], doc[apart], begin[apart]), names
+                )
+            first, end, anchor, hashes, doc, begin, again = (
+                x[~apart] for x in (first, end, anchor, hashes, doc, begin, again)
+            )
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(hashes.view(np.int64)), pa.array(doc), pa.array(begin),
@@ -206,7 +273,7 @@ def contexts(marked: DataFrame, length: int, gram: int) -> DataFrame:
                         pa.binary(),
                     ),
                 ],
-                ["key", "doc", "begin", "size", "at", "context"],
+                names,
             )
 
     return marked.mapInArrow(run, CONTEXT)
@@ -282,12 +349,10 @@ class Shard:
     """Windows of one block of contexts in sorted order, each distinct one with its first place."""
 
     def __init__(self, rows: list[tuple[int, int, bytes]], length: int) -> None:
-        self.length = length
         sizes = np.array([len(r[2]) for r in rows], np.int64)
         self.ends = np.cumsum(sizes)
         self.begins = self.ends - sizes
-        self.raw = b"".join(r[2] for r in rows)
-        self.text = np.frombuffer(self.raw, np.uint8)
+        self.text = np.frombuffer(b"".join(r[2] for r in rows), np.uint8)
         self.doc = np.array([r[0] for r in rows], np.int64)
         self.place = np.array([r[1] for r in rows], np.int64) - self.begins
         self.of = np.repeat(np.arange(len(rows)), sizes)
@@ -297,44 +362,19 @@ class Shard:
         # Windows only: what two neighbours share is the least that any step between shares.
         whole = np.flatnonzero(order + length <= ends[order])
         steps = np.append(0, whole[:-1] + 1)
-        self.fresh = np.minimum.reduceat(shared[: whole[-1] + 1], steps) < length
-        self.fresh[0] = True
+        fresh = np.minimum.reduceat(shared[: whole[-1] + 1], steps) < length
+        fresh[0] = True
         self.order = order = order[whole]
         # The first place of each class; places in the block ascend as in the corpus.
-        starts = np.flatnonzero(self.fresh)
-        self.first = np.minimum.reduceat(order, starts)
-        self.starts = starts
-        self.class_of = np.cumsum(self.fresh) - 1
-
-    def key(self, position: int) -> tuple[int, int]:
-        return int(self.doc[self.of[position]]), int(self.place[self.of[position]] + position)
-
-    def holds(self, window: bytes) -> tuple[int, int] | None:
-        """Where the window first stands in this shard, by binary search."""
-        starts, low, high = self.starts, 0, len(self.first)
-        while low < high:
-            middle = (low + high) // 2
-            at = int(self.order[starts[middle]])
-            if self.raw[at : at + self.length] < window:
-                low = middle + 1
-            else:
-                high = middle
-        if low < len(starts):
-            at = int(self.order[starts[low]])
-            if self.raw[at : at + self.length] == window:
-                return self.key(int(self.first[low]))
-        return None
-
-    def repeats(self, earlier: list[Shard]) -> np.ndarray:
+        self.first = np.minimum.reduceat(order, np.flatnonzero(fresh))
+        self.class_of = np.cumsum(fresh) - 1
+
+    def repeats(self) -> np.ndarray:
         """Window starts in the block that are not the first of their string."""
         lead = self.first[self.class_of]
         doc = self.doc[self.of]
         at = lambda p: self.place[self.of[p]] + p
         again = (doc[self.order] != doc[lead]) | (at(self.order) != at(lead))
-        for number in range(len(self.first) * bool(earlier)):
-            window = self.raw[self.first[number] : self.first[number] + self.length]
-            if any(shard.holds(window) is not None for shard in earlier):
-                again[self.class_of == number] = True
         return np.sort(self.order[again])
 
 
@@ -355,12 +395,11 @@ def repeated_stretches(rows: DataFrame, length: int, block: int = BLOCK) -> Data
         waiting = 0
         group: list[tuple[int, int, bytes]] = []
         seen: dict[tuple[int, bytes], tuple[int, int]] = {}
-        shards: list[Shard] = []
         key, group_size = None, 0
 
-        def settle(some: list, earlier: list[Shard]) -> Shard:
+        def settle(some: list) -> None:
             shard = Shard(some, length)
-            begins, ends = runs(shard.repeats(earlier), shard.of)
+            begins, ends = runs(shard.repeats(), shard.of)
             of = shard.of[begins] if len(begins) else begins
             found.extend(
                 zip(
@@ -368,16 +407,13 @@ def repeated_stretches(rows: DataFrame, length: int, block: int = BLOCK) -> Data
                     (shard.place[of] + ends + length).tolist(), strict=True,
                 )
             )
-            return shard
 
         def close_group() -> None:
-            nonlocal group, shards, seen, group_size, waiting
-            if shards and group:
-                settle(group, shards)
-            elif len(group) > 1:
+            nonlocal group, seen, group_size, waiting
+            if len(group) > 1:
                 pending.extend(group)
                 waiting += group_size
-            group, shards, seen, group_size = [], [], {}, 0
+            group, seen, group_size = [], {}, 0
 
         def output() -> pa.RecordBatch:
             columns = list(zip(*found, strict=True)) or [(), (), ()]
@@ -396,26 +432,23 @@ def repeated_stretches(rows: DataFrame, length: int, block: int = BLOCK) -> Data
                     close_group()
                     key = k
                     if waiting >= block:
-                        settle(pending, [])
+                        settle(pending)
                         pending, waiting = [], 0
                 lead = seen.setdefault((at, context), (doc, begin))
-                if lead == (doc, begin):
+                if lead != (doc, begin):
+                    found.append((doc, begin, begin + size))
+                elif at >= 0:
                     group.append((doc, begin, context))
                     group_size += size
-                    if group_size >= block:
-                        shards.append(settle(group, shards))
-                        group, group_size = [], 0
-                else:
-                    found.append((doc, begin, begin + size))
             if found:
                 yield output()
         close_group()
         if pending:
-            settle(pending, [])
+            settle(pending)
         yield output()
 
     # Repeats known already pass through any task: only contexts with bytes meet by key.
-    spread = F.when(F.col("context").isNull(), F.pmod(F.xxhash64("doc", "begin"), F.lit(4096)))
+    spread = F.when(F.col("context").isNull(), F.pmod(F.xxhash64("doc", "begin"), F.lit(SPREAD)))
     ordered = (
         rows.withColumn("spread", spread).repartition("key", "spread").drop("spread")
         .sortWithinPartitions("key", "doc", "begin")
@@ -472,9 +505,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     c = F.col
     folder = Written(docs.sparkSession, "suffixes")
     found = folder.keep(summaries(docs, length, gram))
-    keys = repeated(anchor_rows(found)).groupBy("doc").agg(F.collect_set("key").alias("keys"))
+    again = folder.keep(repeated(anchor_rows(found)))
+    keys = repeated_anchors(again, block // (2 * length - gram))
     texts = docs.select(c("doc_id").cast("long").alias("doc"), "text")
     marked = folder.keep(texts.join(keys, "doc"))
+    folder.drop(again)
     stretches = repeated_stretches(contexts(marked, length, gram), length, block)
     by_doc = stretches.groupBy("doc").agg(
         F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("stretches")

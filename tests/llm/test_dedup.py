@@ -178,3 +178,17 @@ def test_repeats_leave_rows_of_one_id_alike(make_docs):
     text = "".join(random.Random(9).choices("abcdefghij", k=400))
     found = suffixes.remove_repeats(make_docs([(1, text), (2, text), (2, text)])).collect()
     assert sorted((r.doc_id, r.n_removed) for r in found) == [(1, 0), (2, 400), (2, 400)]
+
+
+def test_contexts_of_a_hot_anchor_do_not_meet(make_docs):
+    """One passage in every document, with different text around it: block 512 holds 25 contexts."""
+    rng = random.Random(4)
+    around = lambda: "".join(rng.choices("abcdefgh", k=20))
+    rows = [(d, around() + "the very same words" + around()) for d in range(300)]
+    docs = make_docs(rows).repartition(3)
+    assert removed(suffixes.remove_repeats(docs, length=12, gram=4, block=512)) == removed_by_hand(rows, 12)
+    again = suffixes.repeated(suffixes.anchor_rows(suffixes.summaries(docs, 12, 4)))
+    keys = suffixes.repeated_anchors(again, 25)
+    texts = docs.select(F.col("doc_id").alias("doc"), "text")
+    found = suffixes.contexts(texts.join(F.broadcast(keys), "doc"), 12, 4).where("context is not null")
+    assert found.groupBy("key").count().agg(F.max("count")).first()[0] <= 25
