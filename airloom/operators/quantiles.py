@@ -2,29 +2,51 @@
 
 ``percentile`` keeps every distinct value of a group in one task.  That is used
 while the row count is known to be small.  Beyond it the values are located by
-counting: a histogram per column finds the bins that hold the wanted ranks, the
-bins are refined until each holds few enough distinct values (or a single one),
-and only those values are ranked.  Each round is one scan with map-side combined
-counts, and the driver holds a few numbers per wanted rank.
+counting: NaN and the infinities by their counts, the finite values by a
+histogram per column that finds the bins that hold the wanted ranks.  The bins
+are equal steps of the values' 64 bits and are refined until each holds few
+enough distinct values (or a single one, after six rounds of 4,096 bins at the
+latest); only those values are ranked.  Each round is one scan with map-side
+combined counts, and the driver holds a few numbers per wanted rank.
+
+Both ways give the same: NaN is the largest value, and between two values ``percentile``'s
+own interpolation is used.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 DIRECT_ROWS = 2_000_000
 BINS = 4096
 VALUES_PER_BIN = 10_000
+INFINITY = float("inf")
+
+
+def _key(value: float) -> int:
+    """The bits of a finite value as a whole number, in the order of the values."""
+    bits = struct.unpack("<q", struct.pack("<d", value + 0.0))[0]
+    return bits if bits >= 0 else bits ^ (2**63 - 1)
+
+
+@F.pandas_udf(LongType())
+def _keys(values: pd.Series) -> pd.Series:
+    bits = (values.to_numpy(dtype=np.float64) + 0.0).view(np.int64)
+    return pd.Series(np.where(bits >= 0, bits, bits ^ np.int64(2**63 - 1)))
 
 
 @dataclass
 class _Bin:
-    """Values in [low, high] of one column that hold a wanted rank."""
+    """Finite values in [low, high] of one column that hold a wanted rank."""
 
     column: str
     low: float
@@ -41,12 +63,16 @@ def quantiles(
     values_per_bin: int = VALUES_PER_BIN,
     bins: int = BINS,
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles per column; missing values are left out."""
+    """Linearly interpolated quantiles per column; missing values are left out, NaN is largest."""
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    finite = {c: F.when(F.abs(c) < F.lit(INFINITY), F.col(c)) for c in columns}
     sizes = numbers.agg(
         *[F.count(c).alias(f"{c}_n") for c in columns],
-        *[F.min(c).alias(f"{c}_lo") for c in columns],
-        *[F.max(c).alias(f"{c}_hi") for c in columns],
+        *[F.count(finite[c]).alias(f"{c}_finite") for c in columns],
+        *[F.count_if(F.col(c) == F.lit(-INFINITY)).alias(f"{c}_least") for c in columns],
+        *[F.count_if(F.col(c) == F.lit(INFINITY)).alias(f"{c}_most") for c in columns],
+        *[F.min(finite[c]).alias(f"{c}_lo") for c in columns],
+        *[F.max(finite[c]).alias(f"{c}_hi") for c in columns],
     ).first()
     if max(sizes[f"{c}_n"] for c in columns) <= direct_rows:
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])
@@ -57,20 +83,26 @@ def quantiles(
     for c in columns:
         top = sizes[f"{c}_n"] - 1
         ranks[c] = [(math.floor(p * top), math.ceil(p * top), p * top) for p in probabilities]
-    wanted_bins = [
-        _Bin(c, sizes[f"{c}_lo"], sizes[f"{c}_hi"], 0, rank)
-        for c in columns
-        if sizes[f"{c}_n"] > 0
-        for rank in sorted({r for low, high, _ in ranks[c] for r in (low, high)})
-    ]
-    found = _select(numbers, wanted_bins, values_per_bin, bins)
+    found, wanted_bins = {}, []
+    for c in columns:
+        least, n, most = (sizes[f"{c}_{part}"] for part in ("least", "finite", "most"))
+        for rank in {r for low, high, _ in ranks[c] for r in (low, high)}:
+            if least <= rank < least + n:
+                wanted_bins.append(_Bin(c, sizes[f"{c}_lo"], sizes[f"{c}_hi"], least, rank))
+            elif rank < least:
+                found[c, rank] = -INFINITY
+            else:
+                found[c, rank] = INFINITY if rank < least + n + most else math.nan
+    found.update(_select(numbers, wanted_bins, values_per_bin, bins))
     out = {}
     for c in columns:
         if sizes[f"{c}_n"] == 0:
             out[c] = [None] * len(probabilities)
             continue
         out[c] = [
-            found[c, low] + (found[c, high] - found[c, low]) * (at - low)
+            found[c, low]
+            if low == high or found[c, low] == found[c, high]
+            else (high - at) * found[c, low] + (at - low) * found[c, high]
             for low, high, at in ranks[c]
         ]
     return out
@@ -118,15 +150,17 @@ def _in_ranges(numbers: DataFrame, ranges) -> DataFrame:
 
 def _histogram(numbers: DataFrame, ranges, bins: int):
     """Per range its bins in order: smallest and largest value, rows, distinct values."""
-    table = numbers.sparkSession.createDataFrame(
-        [(i, float(low), float(high)) for i, (_, low, high) in enumerate(ranges)],
-        "range int, low double, high double",
-    )
-    # Halving both ends keeps the width finite over the whole double range.
-    share = (F.col("value") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2)
-    slot = F.least(F.floor(share * bins), F.lit(bins - 1)).alias("slot")
+    steps = []
+    for i, (_, low, high) in enumerate(ranges):
+        first, last, shift = _key(low), _key(high), 0
+        while (last >> shift) - (first >> shift) >= bins:
+            shift += 1
+        steps.append((i, shift, first >> shift))
+    table = numbers.sparkSession.createDataFrame(steps, "range int, shift int, first long")
+    slot = (F.expr("shiftright(key, shift)") - F.col("first")).alias("slot")
     per_slot = (
         _in_ranges(numbers, ranges)
+        .withColumn("key", _keys("value"))
         .join(F.broadcast(table), "range")
         .groupBy("range", slot)
         .agg(

@@ -41,6 +41,23 @@ def test_quantiles(spark, direct_rows):
     assert medians(df, ["empty", "constant"]) == {"empty": None, "constant": 7.5}
 
 
+def test_quantiles_of_infinities_agree_on_both_paths(spark):
+    """Before, the path for many rows never ended on these."""
+    wide = np.r_[RNG.normal(0, 1, 900), RNG.normal(0, 1, 300) * 1e300, RNG.normal(0, 1, 300) * 1e-310]
+    columns = {
+        "infinite": np.r_[wide, np.full(300, -np.inf), np.full(200, np.inf)],
+        "nan": np.r_[wide, np.full(400, np.nan), np.full(100, np.inf)],
+        "none_finite": np.r_[np.full(1000, -np.inf), np.full(1000, np.nan)],
+    }
+    rows = [tuple(map(float, r)) for r in zip(*columns.values())]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in columns)).repartition(3)
+    asked = [*PROBABILITIES, 0.1499, 0.15, 0.75, 0.8003, 0.95]
+    direct = quantiles(df, list(columns), asked)
+    for name, found in quantiles(df, list(columns), asked, 0, values_per_bin=20, bins=16).items():
+        np.testing.assert_array_equal(found, direct[name])
+    assert direct["infinite"][0] == -np.inf and np.isnan(direct["nan"][5])
+
+
 def test_shape(spark):
     df = frame(spark, v=[1, 2, 4, 9])
     row = profile.shape(df, ["v"]).first()
