@@ -171,6 +171,25 @@ def stream_features(spark, sf_dir):
     return present(spark.read.parquet(output).drop("event_date", "aqi"))
 
 
+@query("stream_feature_averages", "")
+def stream_feature_averages(spark, sf_dir):
+    """An exponential average kept up to date on series longer than the look-back."""
+    path = hourly_files(spark, sf_dir, "average-source")
+    schema = spark.read.parquet(path).schema
+    history, output = scratch(spark, "history"), scratch(spark, "averages")
+
+    def average(rows):
+        return windows.ema(rows, "aqi", ["series_key"], ["datetime"], (24,), longest=HOURLY_GRID_ROWS)
+
+    started = stateful.incremental_features(
+        ingest.table_stream(spark, path, schema, files_per_batch=1), history, output,
+        scratch(spark, "averages-checkpoint"), ["series_key"], "datetime", average, lookback=24,
+        averages=lambda rows: average(rows.select("series_key", "datetime", "aqi")).drop("aqi"),
+    )
+    started.awaitTermination()
+    return present(spark.read.parquet(output).drop("event_date", "aqi"))
+
+
 def _ema_oracle() -> str:
     from airloom.queries.series import ema_ctes
 
@@ -180,4 +199,4 @@ def _ema_oracle() -> str:
         FROM src s JOIN ema24 a USING (series_key, n)"""
 
 
-ORACLES["stream_ema"] = _ema_oracle()
+ORACLES["stream_ema"] = ORACLES["stream_feature_averages"] = _ema_oracle()

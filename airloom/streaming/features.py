@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -15,6 +16,8 @@ from airloom.operators.windows import newest_rows
 from airloom.session import materialise
 from airloom.sources.tables import upsert_days
 
+EMA_NAME = re.compile(r"_ema_\d+h$")
+
 
 def incremental_features(
     stream: DataFrame,
@@ -26,6 +29,7 @@ def incremental_features(
     compute: Callable[[DataFrame], DataFrame],
     lookback: int = 2160,
     lookback_days: int | None = None,
+    averages: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Keep a feature table up to date from an observation stream.
 
@@ -33,8 +37,13 @@ def incremental_features(
     computed again for every row from the oldest changed time of its series on,
     since later rows look back on the changed ones, with ``lookback`` earlier
     rows as context.  Both tables are keyed upserts, so a repeated batch
-    changes nothing.  ``lookback_days`` prunes the history to recent partitions
-    where the series are known to have no longer gaps.
+    changes nothing.  ``lookback_days`` prunes the history to recent partitions;
+    where they hold too few rows of a changed series, the whole history is read.
+
+    Exponential averages (columns named ``…_ema_…h``) look back on every row.
+    ``averages`` gives them, with keys and time, from the whole history of the
+    changed series, of which it should select the columns it needs; without
+    it, ``compute`` gets that history if it makes such columns.
     """
     spark = stream.sparkSession
 
@@ -44,19 +53,30 @@ def incremental_features(
             return
         upsert_days(fresh, history, [*keys, time], time)
         changed = fresh.groupBy(*keys).agg(F.min(time).alias("_since"))
-        stored = spark.read.parquet(history).drop("event_date")
+        whole = spark.read.parquet(history)
+        rows = whole.drop("event_date").join(changed, list(keys))
+        earlier = rows.filter(F.col(time) < F.col("_since"))
+        after = rows.filter(F.col(time) >= F.col("_since"))
         if lookback_days is not None:
             oldest = fresh.agg(F.min(time)).first()[0]
             limit = F.lit(oldest) - F.make_dt_interval(F.lit(lookback_days))
-            stored = (
-                spark.read.parquet(history)
-                .filter(F.col("event_date") >= F.to_date(limit))
-                .drop("event_date")
-            )
-        rows = stored.join(changed, list(keys))
-        after = rows.filter(F.col(time) >= F.col("_since"))
-        before = newest_rows(rows.filter(F.col(time) < F.col("_since")), keys, [time], lookback)
+            recent = whole.filter(F.col("event_date") >= F.to_date(limit)).drop("event_date")
+            recent = recent.join(changed, list(keys))
+            after = recent.filter(F.col(time) >= F.col("_since"))
+            recent = recent.filter(F.col(time) < F.col("_since"))
+            enough = recent.groupBy(*keys).count().filter(F.col("count") >= lookback)
+            if changed.join(enough, list(keys), "left_anti").isEmpty():
+                earlier = recent
+        before = newest_rows(earlier, keys, [time], lookback)
         computed = compute(before.unionByName(after).drop("_since"))
+        if averages is not None:
+            full = averages(rows.drop("_since"))
+            names = computed.columns
+            own = [c for c in full.columns if c not in (*keys, time)]
+            computed = computed.drop(*own).join(full, [*keys, time], "left")
+            computed = computed.select(*names, *[c for c in own if c not in names])
+        elif any(EMA_NAME.search(c) for c in computed.columns):
+            computed = compute(rows.drop("_since"))
         affected = computed.join(changed, list(keys)).filter(F.col(time) >= F.col("_since"))
         upsert_days(affected.drop("_since"), output, [*keys, time], time)
 

@@ -78,6 +78,31 @@ def test_incremental_features_with_late_rows(spark, tmp_path):
             got[f"aqi_lag_{k}h"].astype(float), pdf.groupby("k")["v"].shift(k))
 
 
+@pytest.mark.parametrize("settings", [{}, {"lookback_days": 1}, {"averages": True, "lookback_days": 1}])
+def test_incremental_averages_look_back_over_all_rows(spark, tmp_path, settings):
+    """Long gaps: the average stands on rows far before the look-back."""
+    data = [r for r in rows(400, missing=range(40, 300)) if not 300 <= (r[1] - dt.datetime(2024, 1, 1)).total_seconds() / 3600 < 350]
+    land(spark, str(tmp_path / "in"), [data[:400], data[400:660], data[660:]])
+    paths = [str(tmp_path / p) for p in ("history", "out", "c")]
+
+    def average(df):
+        return windows.ema(df, "aqi", ["series_key"], ["datetime"], (24,))
+
+    def compute(df):
+        return windows.lags(average(df), ["aqi"], ["series_key"], ["datetime"], (24,))
+
+    if "averages" in settings:
+        settings = settings | {"averages": lambda df: average(df.select("series_key", "datetime", "aqi")).drop("aqi")}
+    stream = ingest.table_stream(spark, str(tmp_path / "in"), SCHEMA, files_per_batch=1)
+    finish(features.incremental_features(
+        stream, *paths, ["series_key"], "datetime", compute, lookback=24, **settings))
+    order = ["series_key", "datetime"]
+    got = spark.read.parquet(paths[1]).toPandas().sort_values(order)
+    whole = compute(spark.createDataFrame(data, SCHEMA)).toPandas().sort_values(order)
+    for c in ("aqi_ema_24h", "aqi_lag_24h"):
+        np.testing.assert_allclose(got[c].astype(float), whole[c].astype(float), rtol=1e-9)
+
+
 def test_window_means_in_batch_and_alerts(spark):
     from airloom.functions import bands
 
