@@ -225,13 +225,18 @@ SIDES_SQL = """a AS (SELECT user_id, hour(ts) AS hour, max(value) AS aqi, min(va
                  count(*)::BIGINT AS readings FROM events WHERE event_type = 'click' GROUP BY 1, 2)"""
 
 
-def sides(spark, sf_dir):
+# Views against every other row, so that no event is left out.
+ALL_SIDES_SQL = SIDES_SQL.replace("event_type = 'click'", "event_type IS DISTINCT FROM 'view'")
+REST = "NOT (event_type <=> 'view')"
+
+
+def sides(spark, sf_dir, rest="event_type = 'click'"):
     events = table(spark, sf_dir, "events")
     by = ["user_id", F.hour("ts").alias("hour")]
     first = events.filter("event_type = 'view'").groupBy(*by).agg(
         F.max("value").alias("aqi"), F.min("value").alias("pm25")
     )
-    second = events.filter("event_type = 'click'").groupBy(*by).agg(
+    second = events.filter(rest).groupBy(*by).agg(
         F.max(F.when(F.col("value") > 20, F.col("value"))).alias("aqi"),
         F.count(F.lit(1)).cast("double").alias("readings"),
     )
@@ -264,8 +269,8 @@ def source_merge_overwriting(spark, sf_dir):
     f"""WITH {SIDES_SQL} SELECT user_id, 'station' AS name, {R('24.5')} AS latitude,
         {doubles(aqi='coalesce(b.aqi, a.aqi)', readings='readings')} FROM a FULL JOIN b USING (user_id, hour)""",
 )
-def combined_snapshot(spark, sf_dir):
-    first, second = sides(spark, sf_dir)
+def combined_snapshot(spark, sf_dir, rest="event_type = 'click'"):
+    first, second = sides(spark, sf_dir, rest)
     merged = joins.merge_sources(first, second, ["user_id", "hour"])
     record = joins.snapshot(
         merged, {"name": "station", "latitude": 24.5}, ["user_id", "readings"], ["aqi", "pm25"]
@@ -275,6 +280,36 @@ def combined_snapshot(spark, sf_dir):
     )
 
 
+@query(
+    "source_merge_all",
+    f"WITH {ALL_SIDES_SQL} SELECT user_id, hour, {doubles(aqi='coalesce(b.aqi, a.aqi)', pm25='pm25', readings='readings')} "
+    "FROM a FULL JOIN b USING (user_id, hour)",
+)
+def source_merge_all(spark, sf_dir):
+    first, second = sides(spark, sf_dir, REST)
+    return present(joins.merge_sources(first, second, ["user_id", "hour"]))
+
+
+@query(
+    "source_merge_overwriting_all",
+    f"WITH {ALL_SIDES_SQL} SELECT user_id, hour, "
+    + doubles(aqi="CASE WHEN readings IS NOT NULL THEN b.aqi ELSE a.aqi END", pm25="pm25", readings="readings")
+    + " FROM a FULL JOIN b USING (user_id, hour)",
+)
+def source_merge_overwriting_all(spark, sf_dir):
+    first, second = sides(spark, sf_dir, REST)
+    return present(joins.merge_sources(first, second, ["user_id", "hour"], null_overwrites=True))
+
+
+@query(
+    "combined_snapshot_all",
+    f"""WITH {ALL_SIDES_SQL} SELECT user_id, 'station' AS name, {R('24.5')} AS latitude,
+        {doubles(aqi='coalesce(b.aqi, a.aqi)', readings='readings')} FROM a FULL JOIN b USING (user_id, hour)""",
+)
+def combined_snapshot_all(spark, sf_dir):
+    return combined_snapshot(spark, sf_dir, REST)
+
+
 @query(
     "apply_reading",
     f"""SELECT e.event_id, {R('e.value - r.value')} AS above_current FROM events e,
@@ -432,18 +467,27 @@ def stored_days(spark, sf_dir):
     f"""SELECT event_id, {R('value')} AS value, NULL::DOUBLE AS doubled, 1::BIGINT AS version FROM events WHERE event_type = 'view'
         UNION ALL SELECT event_id, {R('value')}, {R('value * 2')}, 2 FROM events WHERE event_type = 'click'""",
 )
-def versioned_union(spark, sf_dir):
+def versioned_union(spark, sf_dir, rest="event_type = 'click'"):
     """Two versions of a feature table, the second with one more column."""
     import uuid
 
     root = f"{shared_folder(spark)}/airloom/versions-{uuid.uuid4().hex}"
     df = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     tables.insert_version(df.filter("event_type = 'view'").drop("event_type"), root, 1)
-    second = df.filter("event_type = 'click'").drop("event_type")
+    second = df.filter(rest).drop("event_type")
     tables.insert_version(second.withColumn("doubled", F.col("value") * 2), root, 2)
     return present(tables.read_all_versions(spark, root))
 
 
+@query(
+    "versioned_union_all",
+    f"""SELECT event_id, {R('value')} AS value, NULL::DOUBLE AS doubled, 1::BIGINT AS version FROM events WHERE event_type = 'view'
+        UNION ALL SELECT event_id, {R('value')}, {R('value * 2')}, 2 FROM events WHERE event_type IS DISTINCT FROM 'view'""",
+)
+def versioned_union_all(spark, sf_dir):
+    return versioned_union(spark, sf_dir, REST)
+
+
 @query(
     "upsert",
     f"""SELECT event_id, {R("CASE WHEN event_type = 'view' THEN value + 1 ELSE value END")} AS value FROM events""",

@@ -174,3 +174,10 @@ def test_golden_row(spark):
         assert out[f"aqi_rolling_mean_{k}h"] == 100 and out[f"aqi_rolling_std_{k}h"] is None
         assert out[f"aqi_rolling_range_{k}h"] == 0 and out[f"pm25_lag_{k}h"] is None
     assert out["aqi_ema_24h"] == 100 and out["rolling_mean_2160h"] == 100
+
+
+def test_tree_queries_measure_every_fold(spark):
+    from airloom.queries import learning
+
+    rows = learning.QUERIES["random_forest"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r.fold for r in rows) == [0, 1, 2, 3, 4]
