@@ -196,7 +196,9 @@ def mix_report(docs: DataFrame, **settings) -> DataFrame:
 def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **settings) -> DataFrame:
     """The mix as documents: a row a document and round, its text cut to the words drawn.
 
-    A document drawn whole keeps its text as it is. ``n_chars`` is counted anew.
+    A document drawn whole keeps its text as it is. ``n_chars`` is counted anew. The rows are
+    range partitioned and sorted by (shard, place): the mix is their order. A document whose
+    blocks are in several shards stands whole where the first of its places is.
     """
     c = F.col
     folder = Written(docs.sparkSession, "mixing")
@@ -210,9 +212,10 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **settings)
         .agg(
             F.sum("words").alias("taken"),
             F.array_sort(F.collect_list(F.struct("block", "words"))).alias("blocks"),
+            F.min(F.struct("shard", "place")).alias("stand"),
         )
         .groupBy("_id")
-        .agg(F.collect_list(F.struct("copy", "round", "taken", "blocks")).alias("_draws"))
+        .agg(F.collect_list(F.struct("copy", "round", "taken", "blocks", "stand")).alias("_draws"))
     )
     same = W.partitionBy("_id").orderBy("source", "_size")
     numbered = (
@@ -238,4 +241,11 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **settings)
     )
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*[f"`{name}`" for name in docs.columns])
+    names = [f"`{name}`" for name in docs.columns]
+    stands = out.select(
+        *names, c("_draw.stand.shard").alias("_shard"), c("_draw.stand.place").alias("_place")
+    )
+    return (
+        stands.repartitionByRange("_shard", "_place").sortWithinPartitions("_shard", "_place")
+        .select(*names)
+    )

@@ -123,6 +123,29 @@ def test_mix_of_awkward_rows(awkward, no_docs):
     assert sorted(map(str, rows)) == sorted(map(str, again))
 
 
+def test_shards_hold_the_quotas_of_the_tree(spark, make_docs):
+    rows = [(i, f"word{i} " * (i % 9 + 1), "en", "abc"[i % 3]) for i in range(300)]
+    docs = make_docs(rows)
+    folder = mixing.Written(spark, "test")
+    sizes = folder.keep(mixing.sized(docs))
+    targets = folder.keep(mixing.source_targets(sizes))
+    drawn = mixing.draw(sizes, targets, folder, block_words=3, shards=8).collect()
+    source = {r[0]: r[3] for r in rows}
+    blocks = [(r.doc_id, r.copy, r.block, r.round) for r in drawn]
+    assert len(set(blocks)) == len(blocks)
+    held = np.zeros((3, 8), int)
+    for r in drawn:
+        held["abc".index(source[r.doc_id]), r.shard] += 1
+    assert (held == mixing.split_quotas(held.sum(axis=1), 8)).all()
+    # The rows of the mix stand in the order of their first places.
+    first = {}
+    for r in drawn:
+        at = (r.doc_id, r.round)
+        first[at] = min(first.get(at, (99, 0)), (r.shard, r.place))
+    mixed = mixing.mixed_documents(docs, block_words=3, shards=8)
+    assert [r.doc_id for r in mixed.collect()] == [d for d, _ in sorted(first, key=first.get)]
+
+
 def test_mixed_documents_hold_the_words_taken(documents, awkward):
     for docs in (documents, awkward):
         mixed = mixing.mixed_documents(docs)
