@@ -34,7 +34,6 @@ UNIT_WORDS = 4
 SAMPLE_PER_LANGUAGE = 4000
 SMOOTHING = 0.5
 ROUNDS, CLOSE = 40, 1e-3
-LEAST_SHARE = 0.5
 
 
 def trigrams(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -223,8 +222,8 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, train(docs))
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = LEAST_SHARE) -> DataFrame:
-    """Documents whose language was found: not ``und``, and one language for ``least`` of it.
+def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
+    """Documents in which any language was found: those ``predict`` does not call ``und``.
 
     With nothing to learn from, every text with a letter stays. The text's own row is filtered where it is read: nothing is joined or shuffled.
     """
@@ -237,7 +236,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float = LEAST_SHARE) -
             found = np.zeros((batch.num_rows, 1))
             if len(logs):
                 found = infer(*unit_likelihoods(data, offsets, logs), batch.num_rows)
-            kept = pa.array(found.max(axis=1) >= least)
+            kept = pa.array(found.max(axis=1) > 0)
             yield batch.filter(kept) if len(logs) else batch
 
     return docs.where(F.col("text").rlike(r"\p{L}")).mapInArrow(keep, docs.schema)

@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
 columns of ``docs``. ``run`` writes each result as Parquet and hands it to the next stage.
 
-* language ID: documents without a letter, and those of which no language makes up half, go;
+* language ID: documents in which no language is found, such as those without a letter, go;
 * exact de-duplication: of texts equal but for white space, the longest, then smallest id stays;
 * near duplicates: of each group linked at 80 % of shared five-word shingles one stays;
 * mixing: documents are drawn to their sources' targets, in whole or cut to the word, and where

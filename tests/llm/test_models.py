@@ -74,6 +74,19 @@ def test_languages_of_mixed_texts(spark, make_docs):
     assert 0.5 < found[1].score < 0.95 and 0.5 < found[2].score < 0.95
 
 
+def test_mixed_texts_are_kept_without_a_language_for_half(spark, make_docs):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = languages.train(docs)
+    texts = docs.where("lang is not null and length(text) > 400").dropDuplicates(["lang"])
+    cut = [r.text[:300] for r in texts.orderBy("lang").select("text").collect()][:4]
+    mixed = make_docs([(1, " ".join(cut)), (2, "12 34 !!")])
+    found = {r.doc_id: r for r in languages.predict(mixed, model).collect()}
+    assert 0 < found[1].score < 0.5 and found[2].lang_pred == "und"
+    assert [r.doc_id for r in languages.keep_identified(mixed, model).collect()] == [1]
+    said = languages.predict(docs, model).where("lang_pred != 'und'").count()
+    assert languages.keep_identified(docs, model).count() == said
+
+
 def test_languages_of_awkward_rows(awkward, no_docs):
     found = languages.identify(awkward).collect()
     assert len(found) == len(AWKWARD) and all(0 <= r.score <= 1 for r in found)
