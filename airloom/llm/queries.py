@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from airloom.llm import (
     chat,
+    divergence,
     exact,
     languages,
     mixing,
@@ -143,6 +144,53 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+OP12 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+t AS (
+  SELECT row, lang, source, term, count(*) AS n
+  FROM (SELECT row, lang, source, unnest(terms) AS term FROM d) GROUP BY ALL),
+kept AS (
+  SELECT lang, term, sum(n)::HUGEINT AS n FROM t GROUP BY lang, term HAVING count(*) >= {divergence.LEAST_DOCS}),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(n) AS total FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (
+  SELECT lang, source, term, sum(t.n)::HUGEINT AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+s AS (
+  SELECT g.lang, g.source, coalesce(sum(n), 0)::HUGEINT AS total
+  FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT s.lang, s.source, kept.term, coalesce(c.n, 0) AS n,
+         1 + {divergence.SCALE} * (coalesce(c.n, 0) + 1) // (s.total + v.v) AS p
+  FROM s JOIN kept ON s.lang = kept.lang JOIN v ON v.lang = s.lang
+  LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = kept.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(f.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+    FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) f
+  ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+q AS (
+  SELECT kept.lang, term, 1 + {divergence.SCALE} * (kept.n + 1) // (v.total + v.v) AS q
+  FROM kept JOIN v ON v.lang = kept.lang),
+terms AS (
+  SELECT p.lang, p.source, p.term AS item, (p.p - q) * (p.p - q) // q AS value
+  FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE p.n > 0 AND p.p > q),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+  FROM (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+        UNION ALL SELECT lang, source, 'term', item, value FROM terms))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM r WHERE part = 'pair' OR rank <= {divergence.TOP}
+"""
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_neardup": op2_neardup,
@@ -154,5 +202,6 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_chat": op9_chat,
     "op10_suffixes": op10_suffixes,
+    "op12_divergence": op12_divergence,
 }
-ORACLES = {"op3_exact_dedup": OP3, "op7_mixing": OP7, "op9_chat": OP9}
+ORACLES = {"op3_exact_dedup": OP3, "op7_mixing": OP7, "op9_chat": OP9, "op12_divergence": OP12}
