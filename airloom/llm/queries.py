@@ -11,6 +11,7 @@ from airloom.llm import (
     divergence,
     exact,
     languages,
+    lexical,
     mixing,
     neardup,
     neighbours,
@@ -191,6 +192,38 @@ SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
 FROM r WHERE part = 'pair' OR rank <= {divergence.TOP}
 """
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13 = rf"""
+WITH lower_case AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS big, 'abcdefghijklmnopqrstuvwxyz' AS small),
+d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), big, small), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents, lower_case),
+i AS (
+  SELECT row_number() OVER () AS item, item_id,
+         regexp_extract_all(translate(coalesce(text, ''), big, small), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM benchmark, lower_case),
+q AS (SELECT item, item_id, term, count(*) AS times FROM (SELECT item, item_id, unnest(terms) AS term FROM i) GROUP BY ALL),
+s AS (SELECT count(*) AS n, sum(len(terms))::BIGINT AS l FROM d WHERE len(terms) > 0),
+p AS (
+  SELECT row, doc_id, len, term, count(*) AS tf
+  FROM (SELECT row, doc_id, len(terms) AS len, unnest(terms) AS term FROM d) GROUP BY ALL),
+w AS (
+  SELECT term, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s),
+f AS (
+  SELECT item, item_id, row, doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len * n) // l))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN p USING (term), s GROUP BY ALL),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM f WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= {lexical.TOP}
+"""
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_neardup": op2_neardup,
@@ -203,5 +236,6 @@ QUERIES = {
     "op9_chat": op9_chat,
     "op10_suffixes": op10_suffixes,
     "op12_divergence": op12_divergence,
+    "op13_lexical": op13_lexical,
 }
-ORACLES = {"op3_exact_dedup": OP3, "op7_mixing": OP7, "op9_chat": OP9, "op12_divergence": OP12}
+ORACLES = {"op3_exact_dedup": OP3, "op7_mixing": OP7, "op9_chat": OP9, "op12_divergence": OP12, "op13_lexical": OP13}
