@@ -10,6 +10,7 @@ from airloom.llm import (
     chat,
     divergence,
     exact,
+    extraction,
     languages,
     lexical,
     mixing,
@@ -145,6 +146,10 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -235,6 +240,7 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_chat": op9_chat,
     "op10_suffixes": op10_suffixes,
+    "op11_extraction": op11_extraction,
     "op12_divergence": op12_divergence,
     "op13_lexical": op13_lexical,
 }
