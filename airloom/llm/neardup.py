@@ -1,29 +1,35 @@
 """Near-duplicate detection: MinHash bands, verified links, connected components.
 
-1. One pass over the texts: the set of distinct word shingles of each document, its
-   size, a digest of the set, the minima of many universal hash functions as band keys, and
-   one byte of each minimum for later verification.
-2. Documents with equal sets form a class by digest; its smallest doc_id speaks for it.
-3. Band rows (key, document) are sorted by key; only buckets of two or more stay.
-4. Links are looked for in rounds. The first compares each document with the smallest one it
-   shares any bucket with: at most one pair a document. Components of the verified links
-   are found, and only buckets that still hold several components go on. Each next round takes
-   eight times as many pivots from such a bucket, those of its largest component first, and
-   compares them with the members of other components. A tight group, however large, is one
-   component after the first rounds and is never expanded into pairs; a bucket is done
-   when it is one component or each of its members has been a pivot, so no link is lost.
-5. A pair is verified by its minima first (far below the threshold: dropped) and then on the
-   full shingle sets.
-6. Components by alternating large-star and small-star steps.
+1. One pass over the texts: the set of distinct word shingles of each row, its size, a
+   digest of the set, the minima of many universal hash functions as band keys, and one byte
+   of each minimum for later verification. Every row is a node of its own.
+2. Nodes with equal sets form a class by digest; the first of them speaks for it.
+3. Band rows (key, node) are sorted by key; only buckets of two or more stay.
+4. Each node is compared with the first one it shares any bucket with: at most one pair a
+   node. The components of these links hold most copies of a text, however many they are, and
+   only buckets that still hold several components stay open.
+5. Open buckets of at most ``SMALL`` nodes give their pairs across components. The nodes of
+   larger ones are joined by the rarest of their shingles, which loses no pair. A shingle that
+   stands in one component only cannot be shared with another; of a set of n with p shingles
+   left, a link needs at least ceil(percent n / 100) of them, so the first that two linked
+   sets share is among the p - ceil(percent n / 100) + 1 rarest of each, and so far from the
+   end of both that the overlap is still possible. Members below the threshold thus fall
+   apart on their own shingles, and all pairs of a bucket are never made.
+6. A pair is verified by its minima first (if it comes from a bucket), then on the full sets of
+   hashes, and a link on the words themselves.
+7. Components by alternating large-star and small-star steps; rows with one doc_id are linked.
 
 With 48 bands of 5 a pair at a threshold of 0.85 shares no band with a probability of 6e-13,
-one at 0.8 with 5e-9.
+one at 0.8 with 5e-9; agreement of minima six standard errors below the threshold rules a pair
+of a small bucket out, about one linked pair in 1e9.
 
 Defined results: a text without words (null, empty, blank) has an empty set, n_shingles 0,
 and is linked with nothing. Fewer words than a shingle are one shingle. Rows that repeat a
-doc_id are one node: linked if any of their texts is. A null doc_id joins the class of its
-equals but has no links of its own and is never kept. An empty table gives an empty result.
-Extra columns are ignored.
+doc_id are one document, linked with all that any of its texts is linked with. A row without
+doc_id is linked like any other, has the smallest doc_id of its component, or null where there
+is none, and is not kept in the report; ``keep_one_of_each`` keeps one text of a component without
+doc_id. Texts of any length are read whole. An empty table gives an empty result. Extra columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -44,8 +50,10 @@ PERCENT = 85
 BANDS, ROWS = 48, 5
 # Standard errors below the threshold at which the agreement of minima rules a pair out.
 MARGIN = 6
-# Pivots of an open bucket in the second round, and by how much their number grows.
-GROWTH = 8
+# Largest open bucket whose pairs are made; larger ones are joined by rare shingles.
+SMALL = 8
+# A longer word is hashed by BLAKE2b; a set of fewer shingles is told by the words themselves.
+LONG_WORD, FEW = 64, 16
 SEED = 11
 MULTIPLIER = 0x9E3779B97F4A7C15
 
@@ -85,6 +93,9 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * down[starts]
     hashes ^= (ends - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        digest = hashlib.blake2b(low[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        hashes[i] = int.from_bytes(digest, "little")
     return mix(hashes), np.searchsorted(offsets, starts, side="right") - 1
 
 
@@ -110,6 +121,14 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> l
     return sets
 
 
+def real_shingles(text: bytes, words: int) -> set[tuple[bytes, ...]]:
+    """The distinct shingles as words."""
+    found = text.lower().split()  # of bytes: A-Z alone, and the white space of words
+    if len(found) < words:
+        return {tuple(found)} if found else set()
+    return set(zip(*(found[k:] for k in range(words)), strict=False))
+
+
 def minima(shingles: np.ndarray, slopes: np.ndarray, shifts: np.ndarray) -> np.ndarray:
     """The smallest value of each hash function a x + b (modulo 2^32) over the set."""
     x = (shingles ^ (shingles >> np.uint64(32))).astype(np.uint32)
@@ -128,40 +147,46 @@ def functions(count: int = BANDS * ROWS) -> tuple[np.ndarray, np.ndarray]:
 
 
 def features(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, band keys and one byte of every minimum."""
+    """node, doc_id, text, n_shingles, digest of the set, band keys and one byte of every minimum."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slopes, shifts = functions()
         salt = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)).reshape(BANDS, ROWS) | np.uint64(1)
         for batch in slices(batches, most=1 << 20):
-            sets = shingle_sets(*texts_of(batch), words)
+            data, offsets = texts_of(batch)
+            sets = shingle_sets(data, offsets, words)
             digest, bands, bytes_of = [], [], []
-            for s in sets:
+            for i, s in enumerate(sets):
                 if not len(s):
                     digest.append(None), bands.append(None), bytes_of.append(None)
                     continue
+                told = hashlib.blake2b(s.tobytes(), digest_size=16)
+                if len(s) < FEW:
+                    real = real_shingles(data[offsets[i] : offsets[i + 1]].tobytes(), words)
+                    told.update(b"\0".join(b" ".join(x) for x in sorted(real)))
                 least = minima(s, slopes, shifts)
                 keys = (least.reshape(BANDS, ROWS).astype(np.uint64) * salt).sum(axis=1, dtype=np.uint64)
-                digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                digest.append(told.digest())
                 bands.append(mix(keys + np.arange(BANDS, dtype=np.uint64)).tobytes())
                 bytes_of.append((least >> np.uint32(7)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(digest, pa.binary()), pa.array(bands, pa.binary()),
-                    pa.array(bytes_of, pa.binary()),
+                    batch.column("node"), batch.column("doc_id"), batch.column("text"),
+                    pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()),
+                    pa.array(bands, pa.binary()), pa.array(bytes_of, pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "digest", "bands", "minima"],
+                ["node", "doc_id", "text", "n_shingles", "digest", "bands", "minima"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, digest binary, bands binary, minima binary"
+    rows = docs.select(F.monotonically_increasing_id().alias("node"), "doc_id", "text")
+    return rows.mapInArrow(
+        run, f"node long, doc_id {kind}, text string, n_shingles long, digest binary, bands binary, minima binary"
     )
 
 
 def band_rows(found: DataFrame) -> DataFrame:
-    """(key, node) for every band; of equal sets in one batch only the smallest doc_id."""
+    """(key, node) for every band; of equal sets in one batch only the first node."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,8 +204,7 @@ def band_rows(found: DataFrame) -> DataFrame:
             )
 
     return (
-        found.where("digest is not null and doc_id is not null")
-        .select(F.col("doc_id").cast("long").alias("node"), "digest", "bands")
+        found.where("digest is not null").select("node", "digest", "bands")
         .mapInArrow(run, "key long, node long")
     )
 
@@ -249,16 +273,28 @@ def similar(pairs: DataFrame, minima_of: DataFrame, percent: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs with 100 x intersection >= percent x union of their full shingle sets."""
+    """Pairs with 100 x intersection >= percent x union of their full shingle sets.
+
+    Sets are compared by their hashes first; what is then linked is compared by its words.
+    """
+
+    def enough(one: int, other: int, both: int) -> bool:
+        return both > 0 and 100 * both >= percent * (one + other - both)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "left", most=1 << 20):
-            lefts = shingle_sets(*texts_of(batch, "left"), words)
-            rights = shingle_sets(*texts_of(batch, "right"), words)
+            sides = [texts_of(batch, side) for side in ("left", "right")]
+            hashed = [shingle_sets(*side, words) for side in sides]
             linked = []
-            for s, t in zip(lefts, rights, strict=True):
-                both = len(s) + len(t) - len(np.union1d(s, t))
-                linked.append(both > 0 and 100 * both >= percent * (len(s) + len(t) - both))
+            for i, (s, t) in enumerate(zip(*hashed, strict=True)):
+                same = enough(len(s), len(t), len(s) + len(t) - len(np.union1d(s, t)))
+                if same:
+                    s, t = (
+                        real_shingles(data[offsets[i] : offsets[i + 1]].tobytes(), words)
+                        for data, offsets in sides
+                    )
+                    same = enough(len(s), len(t), len(s & t))
+                linked.append(same)
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("left"))
@@ -268,6 +304,55 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     )
 
 
+def across_components(nodes: DataFrame, texts: DataFrame, words: int, percent: int, folder: Written) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` (node, component) that may be linked and are of two components.
+
+    Every such pair of linked nodes is among them; see step 5 above.
+    """
+    c = F.col
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, most=1 << 20):
+            sets = shingle_sets(*texts_of(batch), words)
+            n = np.array([len(s) for s in sets], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)),
+                    *(pa.array(np.repeat(batch.column(x).to_numpy(), n)) for x in ("node", "component")),
+                    pa.array(np.repeat(n, n)),
+                ],
+                ["shingle", "node", "component", "n"],
+            )
+
+    rows = folder.keep(
+        nodes.join(texts, "node").select("node", "component", "text")
+        .mapInArrow(run, "shingle long, node long, component long, n long")
+    )
+    public = (
+        rows.groupBy("shingle").agg(
+            F.count(F.lit(1)).alias("holders"), F.min("component").alias("low"), F.max("component").alias("high")
+        ).where("low != high").select("shingle", "holders")
+    )
+    of_node = W.partitionBy("node")
+    rarest = (
+        rows.join(public, "shingle")
+        .withColumn("place", F.row_number().over(of_node.orderBy("holders", "shingle")))
+        .withColumn("left", F.count(F.lit(1)).over(of_node) - c("place") + 1)
+        # So many are left from here on; a link needs as many and a share of the set.
+        .where(c("left") * 100 >= c("n") * percent)
+        .select("shingle", "node", "component", "n", "left")
+    )
+    rarest = folder.keep(rarest)
+    one, other = rarest.alias("one"), rarest.alias("other")
+    return one.join(
+        other,
+        (c("one.shingle") == c("other.shingle")) & (c("one.component") < c("other.component"))
+        & (F.least("one.left", "other.left") * (100 + percent) >= (c("one.n") + c("other.n")) * percent),
+    ).select(
+        F.least("one.node", "other.node").alias("a"), F.greatest("one.node", "other.node").alias("b")
+    ).distinct()
+
+
 def settled(stars: DataFrame) -> bool:
     """Whether each node points at one other, which points nowhere: one shuffle."""
     ends = stars.select("u", F.lit(1).alias("out"), F.lit(0).alias("into")).union(
@@ -308,92 +393,91 @@ def components(edges: DataFrame, folder: Written) -> DataFrame:
     return stars.select(c("u").alias("node"), c("v").alias("component"))
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document."""
+def grouped(docs: DataFrame, words: int, percent: int, folder: Written) -> DataFrame:
+    """node, doc_id, text, n_shingles, component and component_id (its smallest doc_id) of every row."""
     c = F.col
-    folder = Written(docs.sparkSession, "neardup")
     found = folder.keep(features(docs, words))
     classes = folder.keep(
         found.where("digest is not null").groupBy("digest")
-        .agg(F.min("doc_id").alias("speaker"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1 and speaker is not null").select("digest", "speaker")
+        .agg(F.min("node").alias("speaker"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1").select("digest", "speaker")
     )
-    spoken_for = (
-        found.select("doc_id", "digest").join(classes, "digest").where("doc_id != speaker")
-        .select(c("doc_id").cast("long").alias("node")).distinct()
+    members = found.select("node", "doc_id", "digest").join(classes, "digest", "left").select(
+        "node", "doc_id", F.coalesce("speaker", "node").alias("speaker")
     )
+    members = folder.keep(members)
+    spoken_for = members.where("node != speaker").select("node")
     buckets = folder.keep(shared_buckets(band_rows(found)).join(spoken_for, "node", "left_anti"))
     nodes = buckets.select("node").distinct()
-    minima_of = folder.keep(
-        found.where("digest is not null").select(c("doc_id").cast("long").alias("node"), "minima")
-        .join(nodes, "node", "left_semi")
-    )
-    texts = folder.keep(
-        docs.select(c("doc_id").cast("long").alias("node"), "text").join(nodes, "node", "left_semi")
-    )
-    # A pivot may be spoken for by an equal: the smallest left in the bucket takes its place.
+    minima_of = folder.keep(found.select("node", "minima").join(nodes, "node", "left_semi"))
+    texts = folder.keep(found.select("node", "text").join(nodes, "node", "left_semi"))
+    # A pivot may be spoken for by an equal: the first left in the bucket takes its place.
     first = buckets.groupBy("key").agg(F.min("node").alias("pivot"))
-    pairs = folder.keep(
+    pairs = (
         buckets.drop("pivot").join(first, "key").where("node != pivot").groupBy("node")
         .agg(F.min("pivot").alias("a")).select("a", c("node").alias("b"))
     )
-    tested, used, part_of, pivots = pairs, None, None, GROWTH
-    while True:
-        new = folder.keep(verified(similar(pairs, minima_of, percent), texts, words, percent))
-        if part_of is None:
-            part_of = components(new, folder)
-        elif not new.isEmpty():
-            # The stars found so far connect what all earlier links do.
-            stars = part_of.select(c("node").alias("a"), c("component").alias("b"))
-            part_of = components(stars.union(new.select("a", "b")), folder)
-        labelled = (
-            buckets.select("key", "node").join(part_of, "node", "left")
-            .withColumn("component", F.coalesce("component", "node"))
-        )
-        mixed = labelled.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
-        ).where("low != high").select("key")
-        # A bucket that is one component stays one: only the others go on.
-        open_rows = folder.keep(labelled.join(mixed, "key", "left_semi"))
-        buckets = open_rows.select("key", "node")
-        largest = open_rows.withColumn(
-            "size", F.count(F.lit(1)).over(W.partitionBy("key", "component"))
-        )
-        if used is not None:
-            largest = largest.join(used.withColumn("was", F.lit(True)), ["key", "node"], "left")
-        else:
-            largest = largest.withColumn("was", F.lit(None).cast("boolean"))
-        unused = largest.where("was is null").withColumn(
-            "nth", F.row_number().over(W.partitionBy("key").orderBy(c("size").desc(), "node"))
-        )
-        chosen = folder.keep(unused.where(c("nth") <= pivots).select("key", "node", "component"))
-        if chosen.isEmpty():
-            break
-        across = open_rows.select("key", c("node").alias("other"), c("component").alias("theirs"))
-        pairs = folder.keep(
-            chosen.join(across, "key").where("component != theirs")
-            .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-            .distinct().join(tested, ["a", "b"], "left_anti")
-        )
-        # Written tables side by side: earlier rounds are not written again.
-        tested = tested.union(pairs)
-        marked = chosen.select("key", "node")
-        used = marked if used is None else used.union(marked)
-        pivots *= GROWTH
-    return (
-        found.select("doc_id", "n_shingles", "digest")
-        .join(classes, "digest", "left")
-        .withColumn("speaker", F.coalesce("speaker", "doc_id"))
-        .join(part_of.withColumnRenamed("node", "speaker"), "speaker", "left")
-        .withColumn("component_id", F.coalesce("component", "speaker"))
-        .select(
-            "doc_id", "n_shingles", "component_id",
-            F.coalesce(c("doc_id") == c("component_id"), F.lit(False)).alias("kept"),
-        )
+    # The texts of a document that has several are linked.
+    several = (
+        members.where("doc_id is not null").groupBy("doc_id")
+        .agg(F.min("speaker").alias("a"), F.max("speaker").alias("high")).where("a != high")
+    )
+    same_id = members.join(several, "doc_id").where("speaker != a").select("a", c("speaker").alias("b")).distinct()
+    links = folder.keep(verified(similar(pairs, minima_of, percent), texts, words, percent).union(same_id))
+    part_of = components(links, folder)
+    labelled = (
+        buckets.select("key", "node").join(part_of, "node", "left")
+        .withColumn("component", F.coalesce("component", "node"))
+    )
+    mixed = labelled.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")
+    ).where("low != high").select("key", "n")
+    # A bucket that is one component stays one: only the others go on.
+    still_open = folder.keep(labelled.join(mixed, "key"))
+    small = still_open.where(c("n") <= SMALL)
+    one, other = small.alias("one"), small.alias("other")
+    pairs = one.join(
+        other, (c("one.key") == c("other.key")) & (c("one.component") < c("other.component"))
+    ).select(F.least("one.node", "other.node").alias("a"), F.greatest("one.node", "other.node").alias("b")).distinct()
+    large = still_open.where(c("n") > SMALL).select("node", "component").distinct()
+    pairs = similar(pairs, minima_of, percent).union(
+        across_components(large, texts, words, percent, folder)
+    ).distinct()
+    more = folder.keep(verified(pairs, texts, words, percent))
+    if not more.isEmpty():
+        # The stars found so far connect what all earlier links do.
+        stars = part_of.select(c("node").alias("a"), c("component").alias("b"))
+        part_of = components(stars.union(more), folder)
+    joined = members.join(part_of.withColumnRenamed("node", "speaker"), "speaker", "left").select(
+        "node", "doc_id", F.coalesce("component", "speaker").alias("component")
+    )
+    named = joined.groupBy("component").agg(
+        F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n")
+    ).where("n > 1").select("component", "component_id")
+    return folder.keep(
+        joined.join(named, "component", "left")
+        .withColumn("component_id", F.coalesce("component_id", "doc_id"))
+        .join(found.select("node", "n_shingles", F.when(c("doc_id").isNull(), F.sha2(F.coalesce("text", F.lit("")), 256)).alias("unnamed")), "node")
     )
 
 
-def keep_one_of_each(docs: DataFrame, **settings) -> DataFrame:
-    """The documents that stay: the smallest doc_id of every group, all columns as they were."""
-    kept = near_duplicates(docs, **settings).where("kept").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept.distinct(), F.col("doc_id") == F.col("_kept"), "left_semi")
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every document."""
+    found = grouped(docs, words, percent, Written(docs.sparkSession, "neardup"))
+    return found.select(
+        "doc_id", "n_shingles", "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
+    )
+
+
+def keep_one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The documents that stay, all columns as they were: of every group the rows with the smallest
+    doc_id, of a group without any doc_id the rows with one of its texts."""
+    found = grouped(docs, words, percent, Written(docs.sparkSession, "neardup"))
+    named = found.where("doc_id = component_id").select("doc_id", F.lit(None).cast("string").alias("unnamed"))
+    others = found.where("component_id is null").groupBy("component").agg(F.min("unnamed").alias("unnamed"))
+    kept = named.union(others.select(F.lit(None).cast(docs.schema["doc_id"].dataType), "unnamed")).distinct()
+    unnamed = F.when(docs["doc_id"].isNull(), F.sha2(F.coalesce(docs["text"], F.lit("")), 256))
+    return docs.join(
+        kept, docs["doc_id"].eqNullSafe(kept["doc_id"]) & unnamed.eqNullSafe(kept["unnamed"]), "left_semi"
+    )
