@@ -1,6 +1,7 @@
 """Exact, near and byte-level de-duplication against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 from collections import defaultdict
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airloom.llm import exact, neardup, suffixes
+from airloom.llm.common import Written
 
 from .conftest import AWKWARD
 
@@ -122,7 +124,52 @@ def test_near_duplicates_of_awkward_rows(awkward, no_docs):
     assert neardup.near_duplicates(no_docs).count() == 0
     kept = neardup.keep_one_of_each(awkward)
     assert kept.columns == awkward.columns
-    assert {r.doc_id for r in kept.collect()} == {d for d, r in of.items() if r.kept}
+    assert {r.doc_id for r in kept.collect()} == {d for d, r in of.items() if r.kept} | {None}
+
+
+def test_near_duplicates_of_rows_with_one_id(make_docs):
+    """A document with several texts is linked with all that any of them is linked with."""
+    x, y = (" ".join(f"{c}{i}" for i in range(40)) for c in "xy")
+    found = neardup.near_duplicates(make_docs([(3, x), (7, x), (7, y), (8, y + " more"), (9, None), (9, y)])).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(3, 3), (7, 3), (8, 3), (9, 3)}
+    rows = [(None, x), (None, x + " more"), (None, y), (None, None), (5, "some other words that stand alone here")]
+    kept = [r.text for r in neardup.keep_one_of_each(make_docs(rows)).collect()]
+    assert len(kept) == 4 and len({x, x + " more"} & set(kept)) == 1 and {y, None} <= set(kept)
+
+
+def test_words_are_not_told_by_a_hash_that_collides(make_docs):
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    found = neardup.near_duplicates(make_docs([(1, word), (2, other), (3, f"p q r s {word}"), (4, f"p q r s {other}")]))
+    assert all(r.kept for r in found.collect())
+
+
+@pytest.mark.parametrize("percent", [85, 80])
+def test_near_duplicates_of_a_large_loose_group(make_docs, percent):
+    """Copies of one text at all distances: many share bands and are not linked."""
+    rng, rows = random.Random(percent), []
+    base = [f"w{i}" for i in range(120)]
+    for d in range(300):
+        words = list(base)
+        for _ in range(rng.randrange(9)):
+            at = rng.randrange(len(words) - 1)
+            words[at : at + rng.randrange(1, 3)] = [f"w{rng.randrange(10**6)}"] if rng.random() < 0.5 else []
+        rows.append((d, " ".join(words)))
+    rows += [(1000 + d, " ".join(f"v{(d * 7 + i) % 400}" for i in range(90))) for d in range(60)]
+    docs = make_docs(rows)
+    assert near_rows(neardup.near_duplicates(docs, percent=percent)) == near_by_hand(rows, percent)
+    spark = docs.sparkSession
+    # All pairs across components that are linked are among the candidates, and few others.
+    sets = {d: shingles(t) for d, t in rows}
+    links = {(a, b) for a, b in itertools.combinations(sorted(sets), 2)
+             if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+    nodes = spark.createDataFrame([(d, d) for d in sets], "node long, component long")
+    texts = docs.select(F.col("doc_id").alias("node"), "text")
+    found = neardup.across_components(nodes, texts, 5, percent, Written(spark, "test"))
+    pairs = {(r.a, r.b) for r in found.collect()}
+    assert links <= pairs and len(pairs) < 2 * len(links) + 300
 
 
 def removed_by_hand(rows, length):
