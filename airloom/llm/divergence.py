@@ -181,6 +181,11 @@ def price_block(counts: pa.Table, groups: pa.Table) -> pa.Table:
             out["part"] += ["term"] * len(best)
             out["item"] += [names[k].decode() for k in found[best]]
             out["value"] += worth[best].tolist()
+    # Terms of the block that no source of the task has are at level 0 of all.
+    absent = max((r["terms"] for r in known), default=0) - len(names)
+    if absent:
+        p = np.concatenate([shares(np.zeros(1, np.int64), r["total"], r["vocabulary"]) for r in known])
+        value += absent * price(p[:, None], p[None, :])
     for i, r in enumerate(known):
         others = [j for j, o in enumerate(known) if j != i and (alone or o["tile"] != r["tile"])]
         out["source"] += [sources[i]] * len(others)
@@ -198,15 +203,14 @@ def audit(docs: DataFrame, top: int = TOP) -> DataFrame:
         raise ValueError(f"top is 1 to {TOP}")
     folder = Written(docs.sparkSession, "divergence")
     counts = folder.keep(term_counts(docs))
-    vocabulary = (
+    vocabulary = folder.keep(
         counts.where("term != ''").groupBy("lang", "term")
         .agg(F.sum("docs").alias("docs"), F.sum("n").alias("of_term"))
         .where(F.col("docs") >= LEAST_DOCS).drop("docs")
     )
     kept = folder.keep(counts.drop("docs").join(vocabulary, ["lang", "term"]))
-    of_lang = (
-        kept.groupBy("lang", "term").agg(F.sum("n").alias("n")).groupBy("lang")
-        .agg(F.count(F.lit(1)).alias("vocabulary"), F.sum("n").alias("of_lang"))
+    of_lang = vocabulary.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("vocabulary"), F.sum("of_term").alias("of_lang")
     )
     all_groups = counts.where("term = ''").select("lang", "source")
     zero, tile = F.lit(0).cast("long"), F.pmod(F.xxhash64("source"), F.col("tiles")).cast("int")
@@ -222,14 +226,19 @@ def audit(docs: DataFrame, top: int = TOP) -> DataFrame:
     # A row goes to every pair of tiles that holds its own: one pair, unless sources are many.
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
     pair = [F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j")]
+    block = F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int").alias("block")
+    sizes = folder.keep(
+        vocabulary.join(languages, "lang").select("lang", block).groupBy("lang", "block")
+        .agg(F.count(F.lit(1)).alias("terms"))
+    )
     dealt = (
-        kept.join(languages, "lang").withColumn("tile", tile)
-        .withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int"))
+        kept.join(languages, "lang").withColumn("tile", tile).withColumn("block", block)
         .select("*", other).select("lang", "block", *pair, "source", "term", "n", "of_term")
     )
     spread = (
-        groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("*", other)
-        .select("lang", "block", *pair, "tile", "source", "total", "vocabulary", "of_lang")
+        groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .join(sizes, ["lang", "block"], "left").na.fill(0, ["terms"]).select("*", other)
+        .select("lang", "block", *pair, "tile", "source", "total", "vocabulary", "of_lang", "terms")
     )
     key = ("lang", "block", "i", "j")
     priced = folder.keep(
@@ -246,5 +255,5 @@ def audit(docs: DataFrame, top: int = TOP) -> DataFrame:
         priced.where("part = 'term'").withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= top)
     )
-    folder.drop(counts, kept, languages, groups)
+    folder.drop(counts, vocabulary, kept, languages, groups, sizes)
     return pairs.unionByName(terms.select(*pairs.columns)).select("lang", "source", "part", "item", "value", "rank")

@@ -101,7 +101,7 @@ class Postings:
         self.doc, self.docs = doc[order], docs
         self.impact = impact[order] if len(order) else np.zeros(1, np.int64)
         terms, begin = np.unique(term[order], return_index=True)
-        end = np.append(begin[1:], len(order))
+        end = np.append(begin[1:], len(order))[: len(terms)]
         self.lists = {int(t): (int(a), int(b)) for t, a, b in zip(terms, begin, end, strict=True)}
         best = [np.arange(max(1, len(order)), dtype=np.int32)]
         longest = max((b - a for a, b in self.lists.values()), default=0)
