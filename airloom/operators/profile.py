@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from itertools import combinations_with_replacement
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airloom.functions.bands import shape_labels
 from airloom.functions.calendar import WEEKDAY_NAMES
-from airloom.operators.quantiles import quantiles
+from airloom.operators.quantiles import quantiles, quantiles_with
 
 HISTOGRAM_BINS = 50
 QUARTILES = (0.25, 0.5, 0.75)
@@ -69,30 +70,28 @@ def completeness(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     )
 
 
+DESCRIPTION = "column_name string, count long, mean double, std double, min double, q25 double, median double, q75 double, max double"
+
+
 def describe(df: DataFrame, columns: Sequence[str], **limits) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per column.
 
-    The quartiles are a few numbers per column and enter as literals.
+    Everything but the quartiles' brackets is one aggregate, whose one row is laid out here.
     """
-    quarter = quantiles(df, columns, QUARTILES, **limits)
-    wide = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.count(c).alias("count"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("std"),
-                F.min(F.col(c).cast("double")).alias("min"),
-                *[
-                    F.lit(q).cast("double").alias(name)
-                    for q, name in zip(quarter[c], ("q25", "median", "q75"))
-                ],
-                F.max(F.col(c).cast("double")).alias("max"),
-            ).alias(c)
-            for c in columns
+    wanted = []
+    for i, name in enumerate(columns):
+        x = F.col(f"`{name}`")
+        number = x.cast("double")
+        wanted += [
+            F.count(x).alias(f"n{i}"), F.avg(x).cast("double").alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
+            F.min(number).alias(f"min{i}"), F.max(number).alias(f"max{i}"),
         ]
-    )
-    return wide.select(F.inline(F.array(*[F.col(c) for c in columns])))
+    quarter, row = quantiles_with(df, columns, QUARTILES, wanted, **limits)
+    rows = [
+        (name, row[f"n{i}"], row[f"mean{i}"], row[f"std{i}"], row[f"min{i}"], *quarter[name], row[f"max{i}"])
+        for i, name in enumerate(columns)
+    ]
+    return df.sparkSession.createDataFrame(rows, DESCRIPTION)
 
 
 def shape(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -112,64 +111,83 @@ def shape(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.select("*", skew.alias("skew_label"), tails.alias("tail_label"))
 
 
+PAIR_SUMS = "x int, y int, n long, sx double, sy double, xx double, yy double, xy double, lx double, hx double, ly double, hy double"
+
+
+def pair_sums(numbers: DataFrame, centre: Sequence[float]) -> DataFrame:
+    """Sums over the rows in which both columns of a pair (x <= y, by number) are present.
+
+    A task holds its matrices of counts, sums and products of deviations from ``centre`` and
+    adds every batch to them by matrix products of (present, deviation); at its end it gives
+    one row a pair. What is planned does not depend on the number of pairs.
+    """
+    middle, width = np.array(centre, float), len(centre)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, sums, squares, products = (np.zeros((width, width)) for _ in range(4))
+        low, high = np.full((width, width), np.inf), np.full((width, width), -np.inf)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            raw = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            there = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns])
+            present, off = there.astype(float), np.where(there, raw - middle, 0.0)
+            n += present.T @ present
+            sums += off.T @ present
+            squares += (off * off).T @ present
+            products += off.T @ off
+            # Extremes of x where y is present: once for each way of being present.
+            ways, which = np.unique(there, axis=1, return_inverse=True)
+            for k in range(ways.shape[1]):
+                rows = ways[:, k]
+                if rows.any():
+                    of = np.flatnonzero(which == k)
+                    part, ok = raw[rows], there[rows]
+                    low[:, of] = np.minimum(low[:, of], np.where(ok, part, np.inf).min(axis=0)[:, None])
+                    high[:, of] = np.maximum(high[:, of], np.where(ok, part, -np.inf).max(axis=0)[:, None])
+        x, y = np.triu_indices(width)
+        columns = [
+            pa.array(x, pa.int32()), pa.array(y, pa.int32()), pa.array(n[x, y].astype(np.int64)),
+            *(pa.array(m) for m in (
+                sums[x, y], sums[y, x], squares[x, y], squares[y, x], products[x, y],
+                low[x, y], high[x, y], low[y, x], high[y, x],
+            )),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in PAIR_SUMS.split(", ")])
+
+    return numbers.mapInArrow(run, PAIR_SUMS)
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson correlations (x, y, r), both triangles.
 
-    A first pass finds the mean of every column and which have missing values.
-    The second sums products of deviations from those means, so nothing cancels;
-    columns without missing values share their sums over all pairs.  Each task
-    ships one partial row, and the single row of sums is finished here.  A column
-    that is constant over a pair's rows has no correlation.
+    A first pass finds the mean of every column, the second the sums of products of
+    deviations from the means, so nothing cancels (see ``pair_sums``). A column that is
+    constant over a pair's rows has no correlation. NaN and infinities of a pair give NULL.
     """
-    if len(columns) <= 2:
-        raise ValueError("a correlation matrix needs more than two columns")
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    facts = numbers.agg(
-        *[F.avg(c).alias(f"{c}_mean") for c in columns],
-        *[F.count_if(F.col(c).isNull()).alias(f"{c}_gone") for c in columns],
-    ).first()
-    centre = {c: facts[f"{c}_mean"] or 0.0 for c in columns}
-    gappy = {c for c in columns if facts[f"{c}_gone"]}
-
-    sums: dict[str, Column] = {}
-
-    def total(name: str, x: Column, needed: set[str], how=F.sum) -> str:
-        """Label of one aggregate over the rows in which all ``needed`` are present."""
-        label = f"{name} where {' and '.join(sorted(needed & gappy))}"
-        if label not in sums:
-            for c in sorted(needed & gappy):
-                x = F.when(F.col(c).isNotNull(), x)
-            sums[label] = how(x)
-        return label
-
-    pairs = list(combinations_with_replacement(columns, 2))
-    parts = {}
-    for x, y in pairs:
-        pair = {x, y}
-        dx, dy = (F.col(c) - F.lit(centre[c]) for c in (x, y))
-        parts[x, y] = (
-            total("rows", F.lit(1), pair, F.count),
-            total(f"sum {x}", dx, pair),
-            total(f"sum {y}", dy, pair),
-            total(f"square {x}", dx * dx, pair),
-            total(f"square {y}", dy * dy, pair),
-            total(f"product {x} {y}", dx * dy, pair),
-            *[total(f"{e.__name__} {c}", F.col(c), pair, e) for c in (x, y) for e in (F.min, F.max)],
-        )
-    row = numbers.agg(*[x.alias(label) for label, x in sums.items()]).first()
-    cells = []
-    for (x, y), labels in parts.items():
-        n, sx, sy, xx, yy, xy, *ends = (row[label] for label in labels)
-        r = None
-        if n and ends[0] < ends[1] and ends[2] < ends[3]:
-            both, vx, vy = xy - sx * sy / n, xx - sx * sx / n, yy - sy * sy / n
-            scale = math.sqrt(max(vx, 0.0)) * math.sqrt(max(vy, 0.0))
-            if x == y:
-                r = 1.0
-            elif scale > 0:
-                r = min(1.0, max(-1.0, both / scale))
-        cells += [(a, b, r) for a, b in dict.fromkeys([(x, y), (y, x)])]
-    return df.sparkSession.createDataFrame(cells, "x string, y string, r double")
+    if not columns:
+        raise ValueError("a correlation matrix needs columns")
+    c = F.col
+    numbers = df.select(*[c(f"`{name}`").cast("double").alias(name) for name in columns])
+    means = numbers.agg(*[F.avg(f"`{name}`").alias(f"m{i}") for i, name in enumerate(columns)]).first()
+    centre = [m if m is not None and math.isfinite(m) else 0.0 for m in means]
+    together = [F.sum(name).alias(name) for name in ("n", "sx", "sy", "xx", "yy", "xy")]
+    together += [F.min(name).alias(name) for name in ("lx", "ly")] + [F.max(name).alias(name) for name in ("hx", "hy")]
+    sums = pair_sums(numbers, centre).groupBy("x", "y").agg(*together)
+    spread = F.sqrt(F.greatest(c("xx") - c("sx") * c("sx") / c("n"), F.lit(0.0))) * F.sqrt(
+        F.greatest(c("yy") - c("sy") * c("sy") / c("n"), F.lit(0.0))
+    )
+    r = F.when(c("x") == c("y"), 1.0).when(
+        spread > 0, F.least(F.lit(1.0), F.greatest(F.lit(-1.0), (c("xy") - c("sx") * c("sy") / c("n")) / spread))
+    )
+    varied = (c("n") > 0) & (c("lx") < c("hx")) & (c("ly") < c("hy")) & (F.abs("xx") + F.abs("yy") < F.lit(math.inf))
+    names = F.array(*[F.lit(name) for name in columns])
+    cells = sums.select("x", "y", F.when(varied, r).alias("r"))
+    both = F.array(F.struct("x", "y"), F.struct(c("y").alias("x"), c("x").alias("y")))
+    ways = F.when(c("x") == c("y"), F.slice(both, 1, 1)).otherwise(both)
+    return cells.select(F.explode(ways).alias("way"), "r").select(
+        F.get(names, "way.x").alias("x"), F.get(names, "way.y").alias("y"), "r"
+    )
 
 
 def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFrame:

@@ -1,200 +1,174 @@
-"""Exact quantiles of whole columns with bounded memory.
-
-``percentile`` keeps every distinct value of a group in one task.  That is used
-while the row count is known to be small.  Beyond it the values are located by
-counting: NaN and the infinities by their counts, the finite values by a
-histogram per column that finds the bins that hold the wanted ranks.  The bins
-are equal steps of the values' 64 bits and are refined until each holds few
-enough distinct values (or a single one, after six rounds of 4,096 bins at the
-latest); only those values are ranked.  Each round is one scan with map-side
-combined counts, and the driver holds a few numbers per wanted rank.
-
-Both ways give the same: NaN is the largest value, and between two values ``percentile``'s
-own interpolation is used.
+"""Exact quantiles of whole columns with bounded memory, in two scans.
+
+``percentile`` keeps every distinct value of a column in one task. Here it is given the column
+clipped to a narrow bracket around each wanted rank: values below the bracket count as its
+lower end, those above as its upper end, so ranks stay what they are and only the distinct
+values inside are kept. The brackets come from one aggregate of mergeable quantile sketches
+over all columns. The scan that takes the percentiles also counts the rows on both sides, which
+proves that each bracket holds its rank; one that does not is made wider and taken again.
+
+A column of at most ``direct_rows`` rows is not clipped. Where a bracket would hold more than
+``direct_rows`` rows, it is sketched again within itself, two scans for each factor of
+``accuracy`` / 4. Both ways give what ``percentile`` gives: NaN is the largest value, missing values are
+left out, and values between two ranks are interpolated.
 """
 
 from __future__ import annotations
 
 import math
-import struct
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
-DIRECT_ROWS = 2_000_000
-BINS = 4096
-VALUES_PER_BIN = 10_000
-INFINITY = float("inf")
+DIRECT_ROWS = 1_000_000
+# Relative rank error of a sketch is one in this.
+ACCURACY = 10_000
+INFINITY, NAN = math.inf, math.nan
+LARGEST = 1.7976931348623157e308
 
 
-def _key(value: float) -> int:
-    """The bits of a finite value as a whole number, in the order of the values."""
-    bits = struct.unpack("<q", struct.pack("<d", value + 0.0))[0]
-    return bits if bits >= 0 else bits ^ (2**63 - 1)
+@dataclass
+class _Bracket:
+    """Values among which the rank of one probability lies, ends included."""
 
+    low: float = -INFINITY
+    high: float = NAN
+    slack: float = 0.0  # share of the ranks on either side that is allowed for
+    inside: int = 0  # rows that may lie within
 
-@F.pandas_udf(LongType())
-def _keys(values: pd.Series) -> pd.Series:
-    bits = (values.to_numpy(dtype=np.float64) + 0.0).view(np.int64)
-    return pd.Series(np.where(bits >= 0, bits, bits ^ np.int64(2**63 - 1)))
+    def clip(self, x: Column) -> Column:
+        if self.low == -INFINITY and math.isnan(self.high):
+            return x
+        return F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(self.low)), F.lit(self.high)))
 
+    def holds(self, x: Column) -> Column:
+        return (x >= F.lit(self.low)) & (x <= F.lit(self.high))
+
+
+def _finite(x: Column) -> Column:
+    """In the order of the values, without what a sketch cannot rank."""
+    return F.when(F.isnan(x) | (x == F.lit(INFINITY)), F.lit(LARGEST)).when(
+        x == F.lit(-INFINITY), F.lit(-LARGEST)
+    ).otherwise(x)
 
-@dataclass
-class _Bin:
-    """Finite values in [low, high] of one column that hold a wanted rank."""
 
-    column: str
-    low: float
-    high: float
-    below: int  # rows smaller than ``low``
-    rank: int
+def _ends(low: float, high: float) -> tuple[float, float]:
+    """What lies at the ends of the finite values may be infinite or no number."""
+    return (-INFINITY if low <= -LARGEST else low), (NAN if high >= LARGEST else high)
+
+
+def _ranks(p: float, n: int) -> tuple[int, int]:
+    at = p * (n - 1)
+    return max(0, math.floor(at) - 1), min(n - 1, math.ceil(at) + 1)
+
+
+def _sketched(
+    numbers: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int, slack: float
+) -> tuple[dict[str, int], dict[tuple[str, float], _Bracket]]:
+    """Rows of each column and a bracket for each probability: one scan."""
+    wanted = F.array(*[F.lit(min(1.0, max(0.0, q))) for p in probabilities for q in (p - slack, p + slack)])
+    row = numbers.agg(
+        *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
+        *[F.percentile_approx(_finite(F.col(c)), wanted, accuracy).alias(f"q{i}") for i, c in enumerate(columns)],
+    ).first()
+    sizes, brackets = {}, {}
+    for i, c in enumerate(columns):
+        sizes[c] = row[f"n{i}"]
+        for k, p in enumerate(probabilities):
+            if sizes[c]:
+                low, high = _ends(*row[f"q{i}"][2 * k : 2 * k + 2])
+                brackets[c, p] = _Bracket(low, high, slack, math.ceil(4 * slack * sizes[c]))
+    return sizes, brackets
+
+
+def _counted(x: Column, b: _Bracket) -> list[Column]:
+    """Rows below the bracket and rows up to its end."""
+    return [F.count_if(x < F.lit(b.low)), F.count_if(x <= F.lit(b.high))]
+
+
+def _narrower(numbers: DataFrame, sizes, brackets: dict, accuracy: int) -> bool:
+    """Sketch the brackets within themselves: two scans. False if none became narrower."""
+    keys = list(brackets)
+    row = numbers.agg(
+        *[x.alias(f"{side}{i}") for i, key in enumerate(keys)
+          for side, x in zip("ab", _counted(F.col(key[0]), brackets[key]), strict=True)]
+    ).first()
+    step, sketches = 2 / accuracy, []
+    for i, (c, p) in enumerate(keys):
+        below, inside = row[f"a{i}"], row[f"b{i}"] - row[f"a{i}"]
+        low, high = ((rank - below) / max(1, inside) for rank in _ranks(p, sizes[c]))
+        ends = F.array(*[F.lit(min(1.0, max(0.0, q))) for q in (low - step, high + step)])
+        held = F.when(brackets[c, p].holds(F.col(c)), _finite(F.col(c)))
+        sketches.append(F.percentile_approx(held, ends, accuracy).alias(f"q{i}"))
+        brackets[c, p].inside = math.ceil(4 * step * inside) + 1
+    row, changed = numbers.agg(*sketches).first(), False
+    for i, key in enumerate(keys):
+        if row[f"q{i}"] is None:
+            continue
+        b = brackets[key]
+        low, high = _ends(*row[f"q{i}"])
+        moved = low > b.low or high < b.high or (math.isnan(b.high) and not math.isnan(high))
+        changed |= moved
+        if moved:
+            b.low = max(b.low, low)
+            b.high = high if math.isnan(b.high) or high < b.high else b.high
+    return changed
+
+
+def quantiles_with(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], wanted: Sequence[Column] = (),
+    direct_rows: int = DIRECT_ROWS, accuracy: int = ACCURACY,
+) -> tuple[dict[str, list[float | None]], Row]:
+    """Linearly interpolated quantiles per column, and a row of the ``wanted`` aggregates of ``df``.
+
+    The wanted aggregates, by names of their own, are taken in the quantiles' last scan.
+    """
+    inner = [f"_quantile_{i}" for i in range(len(columns))]
+    numbers = df.select("*", *[F.col(f"`{c}`").cast("double").alias(x) for c, x in zip(columns, inner, strict=True)])
+    slack = 2 / accuracy
+    if not columns:
+        return {}, numbers.agg(F.count(F.lit(1)).alias("_rows"), *wanted).first()
+    sizes, brackets = _sketched(numbers, inner, probabilities, accuracy, slack)
+    open_ = set(brackets)
+    for key in brackets:
+        if sizes[key[0]] <= direct_rows:
+            brackets[key] = _Bracket()
+    while True:
+        wide = {k: b for k, b in brackets.items() if b.inside > direct_rows}
+        while wide and _narrower(numbers, sizes, wide, accuracy):
+            wide = {k: b for k, b in wide.items() if b.inside > direct_rows}
+        exprs, checks = [], []
+        for i, (c, p) in enumerate(sorted(open_)):
+            exprs.append(F.percentile(brackets[c, p].clip(F.col(c)), F.lit(float(p))).alias(f"_p{i}"))
+            if brackets[c, p].slack:
+                below, up_to = _counted(F.col(c), brackets[c, p])
+                checks += [below.alias(f"_a{i}"), up_to.alias(f"_b{i}")]
+        row = numbers.agg(F.count(F.lit(1)).alias("_rows"), *exprs, *checks, *wanted).first()
+        found = {key: row[f"_p{i}"] for i, key in enumerate(sorted(open_))}
+        missed = []
+        for i, (c, p) in enumerate(sorted(open_)):
+            at = p * (sizes[c] - 1)
+            if brackets[c, p].slack and not (row[f"_a{i}"] <= math.floor(at) and row[f"_b{i}"] > math.ceil(at)):
+                missed.append((c, p))
+        if not missed:
+            return {
+                c: [found.get((x, p)) for p in probabilities] for c, x in zip(columns, inner, strict=True)
+            }, row
+        # A sketch was further off than it promises: all brackets again, twice as wide.
+        slack *= 2
+        _, again = _sketched(numbers, inner, probabilities, accuracy, slack)
+        for key in missed:
+            brackets[key] = again[key] if slack < 0.5 else _Bracket()
 
 
 def quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    direct_rows: int = DIRECT_ROWS,
-    values_per_bin: int = VALUES_PER_BIN,
-    bins: int = BINS,
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
+    direct_rows: int = DIRECT_ROWS, accuracy: int = ACCURACY,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column; missing values are left out, NaN is largest."""
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    finite = {c: F.when(F.abs(c) < F.lit(INFINITY), F.col(c)) for c in columns}
-    sizes = numbers.agg(
-        *[F.count(c).alias(f"{c}_n") for c in columns],
-        *[F.count(finite[c]).alias(f"{c}_finite") for c in columns],
-        *[F.count_if(F.col(c) == F.lit(-INFINITY)).alias(f"{c}_least") for c in columns],
-        *[F.count_if(F.col(c) == F.lit(INFINITY)).alias(f"{c}_most") for c in columns],
-        *[F.min(finite[c]).alias(f"{c}_lo") for c in columns],
-        *[F.max(finite[c]).alias(f"{c}_hi") for c in columns],
-    ).first()
-    if max(sizes[f"{c}_n"] for c in columns) <= direct_rows:
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = numbers.agg(*[F.percentile(c, wanted).alias(c) for c in columns]).first()
-        return {c: list(row[c]) if row[c] else [None] * len(probabilities) for c in columns}
-
-    ranks = {}
-    for c in columns:
-        top = sizes[f"{c}_n"] - 1
-        ranks[c] = [(math.floor(p * top), math.ceil(p * top), p * top) for p in probabilities]
-    found, wanted_bins = {}, []
-    for c in columns:
-        least, n, most = (sizes[f"{c}_{part}"] for part in ("least", "finite", "most"))
-        for rank in {r for low, high, _ in ranks[c] for r in (low, high)}:
-            if least <= rank < least + n:
-                wanted_bins.append(_Bin(c, sizes[f"{c}_lo"], sizes[f"{c}_hi"], least, rank))
-            elif rank < least:
-                found[c, rank] = -INFINITY
-            else:
-                found[c, rank] = INFINITY if rank < least + n + most else math.nan
-    found.update(_select(numbers, wanted_bins, values_per_bin, bins))
-    out = {}
-    for c in columns:
-        if sizes[f"{c}_n"] == 0:
-            out[c] = [None] * len(probabilities)
-            continue
-        out[c] = [
-            found[c, low]
-            if low == high or found[c, low] == found[c, high]
-            else (high - at) * found[c, low] + (at - low) * found[c, high]
-            for low, high, at in ranks[c]
-        ]
-    return out
-
-
-def _select(
-    numbers: DataFrame, open_bins: list[_Bin], values_per_bin: int, bins: int
-) -> dict[tuple[str, int], float]:
-    found: dict[tuple[str, int], float] = {}
-    while open_bins:
-        pending = []
-        for b in open_bins:
-            if b.low == b.high:
-                found[b.column, b.rank] = b.low
-            else:
-                pending.append(b)
-        if not pending:
-            break
-        ranges = sorted({(b.column, b.low, b.high) for b in pending})
-        counts = _histogram(numbers, ranges, bins)
-        open_bins, few = [], []
-        for b in pending:
-            below = b.below
-            for low, high, n, distinct in counts[b.column, b.low, b.high]:
-                if b.rank < below + n:
-                    part = _Bin(b.column, low, high, below, b.rank)
-                    (few if distinct <= values_per_bin else open_bins).append(part)
-                    break
-                below += n
-        found.update(_rank_values(numbers, few))
-    return found
-
-
-def _in_ranges(numbers: DataFrame, ranges) -> DataFrame:
-    """Long form (range number, value) of the values inside the given ranges."""
-    entries = [
-        F.when(
-            F.col(c).between(F.lit(low), F.lit(high)),
-            F.struct(F.lit(i).alias("range"), F.col(c).alias("value")),
-        )
-        for i, (c, low, high) in enumerate(ranges)
-    ]
-    return numbers.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
-
-
-def _histogram(numbers: DataFrame, ranges, bins: int):
-    """Per range its bins in order: smallest and largest value, rows, distinct values."""
-    steps = []
-    for i, (_, low, high) in enumerate(ranges):
-        first, last, shift = _key(low), _key(high), 0
-        while (last >> shift) - (first >> shift) >= bins:
-            shift += 1
-        steps.append((i, shift, first >> shift))
-    table = numbers.sparkSession.createDataFrame(steps, "range int, shift int, first long")
-    slot = (F.expr("shiftright(key, shift)") - F.col("first")).alias("slot")
-    per_slot = (
-        _in_ranges(numbers, ranges)
-        .withColumn("key", _keys("value"))
-        .join(F.broadcast(table), "range")
-        .groupBy("range", slot)
-        .agg(
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
-            F.count(F.lit(1)).alias("n"),
-            F.approx_count_distinct("value").alias("distinct"),
-        )
-        .collect()  # at most ``bins`` rows per wanted rank
-    )
-    out = {r: [] for r in ranges}
-    for row in sorted(per_slot, key=lambda r: (r["range"], r["slot"])):
-        out[ranges[row["range"]]].append((row["low"], row["high"], row["n"], row["distinct"]))
-    return out
-
-
-def _rank_values(numbers: DataFrame, few: list[_Bin]) -> dict[tuple[str, int], float]:
-    if not few:
-        return {}
-    ranges = sorted({(b.column, b.low, b.high) for b in few})
-    # Distinct values with their counts: copies collapse before the shuffle.
-    counted = _in_ranges(numbers, ranges).groupBy("range", "value").count().collect()
-    values = {r: [] for r in ranges}
-    for row in counted:
-        values[ranges[row["range"]]].append((row["value"], row["count"]))
-    found = {}
-    for b in few:
-        seen = b.below
-        for value, n in sorted(values[b.column, b.low, b.high]):
-            seen += n
-            if b.rank < seen:
-                found[b.column, b.rank] = value
-                break
-    return found
+    return quantiles_with(df, columns, probabilities, (), direct_rows, accuracy)[0]
 
 
 def medians(df: DataFrame, columns: Sequence[str], **limits) -> dict[str, float | None]:

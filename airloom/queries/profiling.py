@@ -94,9 +94,9 @@ def describe(spark, sf_dir):
 
 @query("describe_by_counting", DESCRIBE_SQL)
 def describe_by_counting(spark, sf_dir):
-    """The same with the quantile search used where a column is too long to hold."""
+    """The same with the brackets used where a column is too long to hold."""
     df = table(spark, sf_dir, "lineitem")
-    return present(profile.describe(df, LINE_COLUMNS, direct_rows=0, values_per_bin=50, bins=256))
+    return present(profile.describe(df, LINE_COLUMNS, direct_rows=1000, accuracy=100))
 
 
 def shape_sql(c: str, frm: str) -> str:
@@ -113,26 +113,32 @@ def shape_stats(spark, sf_dir):
     return present(profile.shape(table(spark, sf_dir, "events"), ["value", "event_id"]))
 
 
-CORR_COLUMNS = ("aqi", "pm25", "pm10", "no2", "o3", "wind_direction_10m", "fixed")
+CORR_COLUMNS = (
+    "temperature_2m", "relative_humidity_2m", "precipitation", "wind_speed_10m", "wind_direction_10m",
+    "pressure_msl", "cloud_cover", "aqi", "pm25", "pm10", "no2", "o3", "fixed",
+)
+# Every third hour lacks its humidity, every seventh its pressure.
+CORR_FROM = f"""(SELECT * REPLACE (CASE WHEN hour(datetime) % 3 = 0 THEN NULL ELSE relative_humidity_2m END AS relative_humidity_2m,
+        CASE WHEN hour(datetime) % 7 = 0 THEN NULL ELSE pressure_msl END AS pressure_msl), 1.0::DOUBLE AS fixed FROM h)"""
 
 
 def corr_sql() -> str:
-    frm = "(SELECT *, 1.0::DOUBLE AS fixed FROM h)"
     cells = []
     for x in CORR_COLUMNS:
         for y in CORR_COLUMNS:
             # A constant column has no correlation.
             r = "max(NULL::DOUBLE)" if "fixed" in (x, y) else f"corr({x}, {y})"
-            cells.append(f"SELECT '{x}' AS x, '{y}' AS y, {R(r)} AS r FROM {frm}")
-    return f"WITH h AS ({HOURLY_SQL}) " + " UNION ALL ".join(cells)
+            cells.append(f"SELECT '{x}' AS x, '{y}' AS y, {R(r)} AS r FROM g")
+    return f"WITH h AS ({HOURLY_SQL}), g AS MATERIALIZED {CORR_FROM} " + " UNION ALL ".join(cells)
 
 
 @query("correlation_matrix", corr_sql())
 def correlation_matrix(spark, sf_dir):
-    """Numeric columns of the hourly observations, one of them constant."""
+    """All numeric columns of the hourly observations, two with gaps and one constant."""
     rows = hourly(spark, sf_dir).withColumn("fixed", F.lit(1.0))
-    columns = [c for c in profile.numeric_columns(rows) if c in CORR_COLUMNS]
-    return present(profile.correlation_matrix(rows, columns))
+    for name, every in (("relative_humidity_2m", 3), ("pressure_msl", 7)):
+        rows = rows.withColumn(name, F.when(F.hour("datetime") % every != 0, F.col(name)))
+    return present(profile.correlation_matrix(rows, profile.numeric_columns(rows)))
 
 
 @query(

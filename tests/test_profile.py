@@ -20,8 +20,8 @@ def frame(spark, **columns):
 PROBABILITIES = [0.0, 0.05, 0.25, 0.5, 0.9, 1.0]
 
 
-@pytest.mark.parametrize("direct_rows", [10**6, 0])
-def test_quantiles(spark, direct_rows):
+@pytest.mark.parametrize("direct_rows, accuracy", [(10**6, 10000), (300, 20), (0, 8)])
+def test_quantiles(spark, direct_rows, accuracy):
     columns = {
         "spread": np.r_[RNG.normal(0, 1, 1990), [1e12, -1e15] * 5],
         # A third of all rows share one value, the rest lie in a sliver.
@@ -31,7 +31,7 @@ def test_quantiles(spark, direct_rows):
         "empty": np.full(2000, np.nan),
     }
     df = frame(spark, **columns).repartition(3)
-    found = quantiles(df, list(columns), PROBABILITIES, direct_rows, values_per_bin=20, bins=16)
+    found = quantiles(df, list(columns), PROBABILITIES, direct_rows, accuracy)
     for name, x in columns.items():
         x = x[~np.isnan(x)]
         if not len(x):
@@ -43,6 +43,7 @@ def test_quantiles(spark, direct_rows):
 
 def test_quantiles_of_infinities_agree_on_both_paths(spark):
     """Before, the path for many rows never ended on these."""
+    limits = {"direct_rows": 100, "accuracy": 25}
     wide = np.r_[RNG.normal(0, 1, 900), RNG.normal(0, 1, 300) * 1e300, RNG.normal(0, 1, 300) * 1e-310]
     columns = {
         "infinite": np.r_[wide, np.full(300, -np.inf), np.full(200, np.inf)],
@@ -53,11 +54,29 @@ def test_quantiles_of_infinities_agree_on_both_paths(spark):
     df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in columns)).repartition(3)
     asked = [*PROBABILITIES, 0.1499, 0.15, 0.75, 0.8003, 0.95]
     direct = quantiles(df, list(columns), asked)
-    for name, found in quantiles(df, list(columns), asked, 0, values_per_bin=20, bins=16).items():
+    for name, found in quantiles(df, list(columns), asked, **limits).items():
         np.testing.assert_array_equal(found, direct[name])
     assert direct["infinite"][0] == -np.inf and np.isnan(direct["nan"][5])
 
 
+def test_quantiles_of_more_rows_than_are_held(spark):
+    """Beyond the limit with the settings as they are, infinities and NaN included."""
+    n = 2_000_001
+    x = (F.col("id") * 7919 % n).cast("double")
+    x = F.when(F.col("id") == 3, F.lit(float("inf"))).when(F.col("id") == 4, F.lit(float("-inf"))).when(F.col("id") == 5, F.lit(float("nan"))).otherwise(x)
+    df = spark.range(n).select(x.alias("x"), F.lit(1.5).alias("same"), (F.col("id") % 3).alias("few"))
+    wanted = np.arange(n, dtype=float)
+    for i in (3, 4, 5):
+        wanted[i * 7919 % n] = {3: np.inf, 4: -np.inf, 5: np.nan}[i]
+    wanted = np.sort(wanted)
+    found = quantiles(df, ["x", "same", "few"], [0.0, 0.25, 0.5, 0.9, 1.0])
+    places = [0, (n - 1) // 4, (n - 1) // 2]
+    np.testing.assert_array_equal(found["x"][:3], wanted[places])
+    at = 0.9 * (n - 1)
+    np.testing.assert_allclose(found["x"][3], np.interp(at, [int(at), int(at) + 1], wanted[int(at) : int(at) + 2]))
+    assert np.isnan(found["x"][4]) and found["same"] == [1.5] * 5 and found["few"] == [0, 0, 1, 2, 2]
+
+
 def test_shape(spark):
     df = frame(spark, v=[1, 2, 4, 9])
     row = profile.shape(df, ["v"]).first()
@@ -74,6 +93,24 @@ def test_ols(spark):
     assert profile.ols_trend(frame(spark, x=[1, 1], y=[1, 2]), "x", "y").first().slope is None
 
 
+def test_correlations_of_many_columns_with_gaps(spark):
+    """148 columns against pandas; what is planned grows with the columns, not with their pairs."""
+    data = RNG.normal(0, 1, (60, 148)) + 1e6
+    data[:, 1::2] = data[:, ::2] * 0.5 + RNG.normal(0, 1, (60, 74))
+    data[RNG.random(data.shape) < 0.1] = np.nan
+    data[:, 5] = 4.0
+    wide = pd.DataFrame(data, columns=[f"c{i}" for i in range(148)])
+    df = frame(spark, **wide).repartition(3)
+    out = profile.correlation_matrix(df, df.columns)
+    found = out.toPandas().pivot(index="x", columns="y", values="r").loc[wide.columns, wide.columns]
+    expected = wide.corr()
+    expected.loc["c5"] = expected["c5"] = np.nan
+    np.testing.assert_allclose(found.to_numpy(float), expected.to_numpy(), atol=1e-7)
+    few = profile.correlation_matrix(df.select("c0", "c1", "c2"), ["c0", "c1", "c2"])
+    size = lambda d: len(d._jdf.queryExecution().optimizedPlan().toString())
+    assert size(out) - size(few) < 148 * 400
+
+
 def test_correlations(spark):
     df = frame(spark, x=[1, 2, 3, 4], y=[2, np.nan, 7, 1], z=[5, 5, 5, 5])
     found = {(r.x, r.y): r.r for r in profile.correlation_matrix(df, ["x", "y", "z"]).collect()}
