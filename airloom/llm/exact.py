@@ -9,8 +9,11 @@ document moves once, as distinct chunks, and afterwards as eight bytes a chunk.
 
 Defined results: a null text counts as empty, and all empty texts are equal. Rows that
 repeat a ``doc_id`` each count as a row of the group. A row without ``doc_id`` counts in
-its group and is never the one that stays. Extra columns are ignored. An empty table
-gives an empty result.
+its group and is never the one that stays in the report; ``keep_one_of_each`` keeps one row of
+a group without any doc_id, its longest. Of rows equal in doc_id and normalised text the
+longest stays, then the first by text, then by the other columns. Texts of any length are
+read whole. Extra columns are ignored, whatever their names. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -99,28 +102,37 @@ def exact_groups(
     by_length = rows.groupBy("recipe", "length").agg(
         F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")
     )
-    groups = by_length.groupBy("recipe").agg(
-        F.max_by("first", F.when(F.col("first").isNotNull(), F.col("length"))).alias("keep_id"), F.sum("n").alias("group_size")
+    # Groups of one need no partner. Written, so that the join can split a large group's rows.
+    groups = folder.keep(
+        by_length.groupBy("recipe").agg(
+            F.max_by("first", F.when(F.col("first").isNotNull(), F.col("length"))).alias("keep_id"),
+            F.sum("n").alias("group_size"),
+        ).where("group_size > 1")
     )
     # Recipes are equal exactly when the texts are; identical lists join on their hash first.
-    return rows.join(groups, "recipe").select(
-        "doc_id", "keep_id", "group_size",
-        (F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False))).alias("kept"),
+    keep_id = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
+    return rows.join(groups, "recipe", "left").select(
+        "doc_id", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1)).alias("group_size"),
+        (F.coalesce(F.col("doc_id") == keep_id, F.lit(False))).alias("kept"),
         F.col("digest").alias("text_sha256"),
     )
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The documents that stay, all columns as they were; of repeated rows one stays."""
-    kept = exact_groups(docs).where("kept").select(
-        F.col("doc_id").alias("_kept"), F.col("text_sha256").alias("_digest")
+    groups = exact_groups(docs)
+    kept = groups.where("kept or keep_id is null").select(
+        F.when(F.col("kept"), F.col("doc_id")).alias("kept"), F.col("text_sha256").alias("digest")
+    ).distinct()
+    others = [docs[f"`{name}`"] for name in docs.columns if name != "text"]
+    rows = docs.select(
+        docs["doc_id"].alias("id"), F.sha2(normalised(docs["text"]), 256).alias("norm"),
+        F.length(docs["text"]).alias("length"), docs["text"].alias("words"),
+        F.to_json(F.struct(*others)).alias("rest"), F.struct(*[f"`{name}`" for name in docs.columns]).alias("row"),
     )
-    same = W.partitionBy("_id", "_norm").orderBy(F.length("text").desc())
+    same = W.partitionBy("id", "norm").orderBy(F.col("length").desc(), "words", "rest")
     return (
-        docs.withColumn("_id", F.col("doc_id"))
-        .withColumn("_norm", F.sha2(normalised(F.col("text")), 256))
-        .join(kept.distinct(), (F.col("_id") == F.col("_kept")) & (F.col("_norm") == F.col("_digest")), "left_semi")
-        .withColumn("_nth", F.row_number().over(same))
-        .where("_nth = 1")
-        .select(*[f"`{name}`" for name in docs.columns])
+        rows.join(kept, rows["id"].eqNullSafe(kept["kept"]) & (rows["norm"] == kept["digest"]), "left_semi")
+        .withColumn("nth", F.row_number().over(same))
+        .where("nth = 1").select("row.*")
     )

@@ -13,9 +13,10 @@ Only one row a source reaches the driver (its number of blocks drawn), and the p
 back holds sources x shards numbers.
 
 Defined results: a null text has no words and is never drawn; a null source is a source of
-its own, last in order; rows that repeat a doc_id are documents of their own. Without any
-word all targets are 0. An empty table gives an empty result. Extra columns are ignored by
-``draw`` and kept by ``mixed_documents``.
+its own, last in order; rows that repeat a doc_id are documents of their own, told apart by
+source, size and a hash of the text. Without any word all targets are 0. Texts of any length
+are read whole. An empty table gives an empty result. Extra columns, whatever their names, are
+ignored by ``draw`` and kept as they are by ``mixed_documents``.
 """
 
 from __future__ import annotations
@@ -95,9 +96,14 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int = SEED) -> np.ndarra
 
 def sized(docs: DataFrame) -> DataFrame:
     """doc_id, copy (numbers the rows that share a doc_id), source, size."""
-    rows = docs.select("doc_id", "source", words_in(F.col("text")).alias("size"))
-    same = W.partitionBy("doc_id").orderBy("source", "size")
-    return rows.withColumn("copy", F.row_number().over(same))
+    rows = docs.select("doc_id", "source", words_in(F.col("text")).alias("size"), told_apart(docs))
+    same = W.partitionBy("doc_id").orderBy("source", "size", "hash")
+    return rows.withColumn("copy", F.row_number().over(same)).drop("hash")
+
+
+def told_apart(docs: DataFrame) -> Column:
+    """Puts rows that share doc_id, source and size in an order that every run finds again."""
+    return F.xxhash64(docs["text"]).alias("hash")
 
 
 def same_source(a: DataFrame, b: DataFrame) -> Column:
@@ -208,44 +214,39 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **settings)
     # Draws are gathered by id, so that the texts are shuffled once, by id alone.
     no_id = F.lit(-(2**63))
     draws = (
-        drawn.groupBy(F.coalesce("doc_id", no_id).alias("_id"), "copy", "round")
+        drawn.groupBy(F.coalesce("doc_id", no_id).alias("of_id"), "copy", "round")
         .agg(
             F.sum("words").alias("taken"),
             F.array_sort(F.collect_list(F.struct("block", "words"))).alias("blocks"),
             F.min(F.struct("shard", "place")).alias("stand"),
         )
-        .groupBy("_id")
-        .agg(F.collect_list(F.struct("copy", "round", "taken", "blocks", "stand")).alias("_draws"))
-    )
-    same = W.partitionBy("_id").orderBy("source", "_size")
-    numbered = (
-        docs.withColumn("_id", F.coalesce("doc_id", no_id))
-        .withColumn("_size", words_in(c("text"))).withColumn("_copy", F.row_number().over(same))
-    )
+        .groupBy("of_id")
+        .agg(F.collect_list(F.struct("copy", "round", "taken", "blocks", "stand")).alias("draws"))
+    )
+    columns = [f"`{name}`" for name in docs.columns]
+    same = W.partitionBy("id").orderBy("source", "size", "hash")
+    numbered = docs.select(
+        F.coalesce(docs["doc_id"], no_id).alias("id"), docs["source"].alias("source"),
+        docs["text"].alias("text"), words_in(docs["text"]).alias("size"), told_apart(docs),
+        F.struct(*columns).alias("row"),
+    ).withColumn("number", F.row_number().over(same))
     words = F.expr(r"regexp_extract_all(text, r'[\x20\x09-\x0D]*[^\x20\x09-\x0D]+', 0)")
     cut = F.array_join(
         F.flatten(
-            F.transform(
-                "_draw.blocks",
-                lambda b: F.slice(c("_words"), b["block"] * block_words + 1, b["words"]),
-            )
+            F.transform("draw.blocks", lambda b: F.slice(c("words"), b["block"] * block_words + 1, b["words"]))
         ),
         "",
     )
-    part = c("_draw.taken") < c("_size")
+    part = c("draw.taken") < c("size")
     out = (
-        numbered.join(draws, "_id")
-        .withColumn("_draw", F.explode(F.filter("_draws", lambda d: d["copy"] == c("_copy"))))
-        .withColumn("_words", F.when(part, words))
+        numbered.join(draws, c("id") == c("of_id"))
+        .withColumn("draw", F.explode(F.filter("draws", lambda d: d["copy"] == c("number"))))
+        .withColumn("words", F.when(part, words))
         .withColumn("text", F.when(part, cut).otherwise(c("text")))
+        .withColumn("row", c("row").withField("text", c("text")))
     )
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    names = [f"`{name}`" for name in docs.columns]
-    stands = out.select(
-        *names, c("_draw.stand.shard").alias("_shard"), c("_draw.stand.place").alias("_place")
-    )
-    return (
-        stands.repartitionByRange("_shard", "_place").sortWithinPartitions("_shard", "_place")
-        .select(*names)
-    )
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("row", c("row").withField("n_chars", F.length("text").cast(kind)))
+    stands = out.select("row", c("draw.stand.shard").alias("shard"), c("draw.stand.place").alias("place"))
+    return stands.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place").select("row.*")

@@ -451,14 +451,19 @@ def grouped(docs: DataFrame, words: int, percent: int, folder: Written) -> DataF
     joined = members.join(part_of.withColumnRenamed("node", "speaker"), "speaker", "left").select(
         "node", "doc_id", F.coalesce("component", "speaker").alias("component")
     )
-    named = joined.groupBy("component").agg(
-        F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n")
-    ).where("n > 1").select("component", "component_id")
-    return folder.keep(
+    # Written, so that the join can split the rows of a large component.
+    named = folder.keep(
+        joined.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1").select("component", "component_id")
+    )
+    unnamed = F.when(c("doc_id").isNull(), F.sha2(F.coalesce("text", F.lit("")), 256)).alias("unnamed")
+    out = folder.keep(
         joined.join(named, "component", "left")
         .withColumn("component_id", F.coalesce("component_id", "doc_id"))
-        .join(found.select("node", "n_shingles", F.when(c("doc_id").isNull(), F.sha2(F.coalesce("text", F.lit("")), 256)).alias("unnamed")), "node")
+        .join(found.select("node", "n_shingles", unnamed), "node")
     )
+    folder.drop(found, classes, members, buckets, minima_of, texts, links, still_open, more, named)
+    return out
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
