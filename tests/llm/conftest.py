@@ -3,7 +3,10 @@ import pytest
 SF_DIR = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars int"
 # Names the operators use inside; extra columns must not disturb them.
-CLASHING = ("_id", "_norm", "_copy", "part", "n", "rank", "key", "digest", "node", "kept", "words")
+CLASHING = (
+    "_id", "_norm", "_copy", "part", "n", "rank", "key", "digest", "node", "kept", "words", "_nth", "_kept", "_digest",
+    "_size", "_words", "_draw", "_draws", "_shard", "_place", "row", "draw", "size", "component_id", "unnamed", "id", "rest",
+)
 
 
 @pytest.fixture(scope="session")
