@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.ml.base import Model
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,13 +94,43 @@ class AdaBoostR2:
         return AdaBoostR2Model(trees, votes)
 
 
-class AdaBoostR2Model:
-    def __init__(self, trees: list, votes: list[float]):
-        self.trees, self.votes = trees, votes
+class AdaBoostR2Model(Model, MLWritable, MLReadable):
+    """Trees and their votes; saved as one folder a tree beside the metadata."""
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        kept = df.columns
+    def __init__(self, trees: list = (), votes: list[float] = ()):
+        super().__init__()
+        self.trees, self.votes = list(trees), list(votes)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        df, kept = dataset, dataset.columns
         for i, tree in enumerate(self.trees):
             df = tree.copy({tree.predictionCol: f"_guess_{i}"}).transform(df)
         guesses = F.array(*[F.col(f"_guess_{i}") for i in range(len(self.trees))])
         return df.select(*kept, weighted_median(guesses, self.votes).alias("prediction"))
+
+    def write(self) -> MLWriter:
+        return _Writer(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _Reader()
+
+
+class _Writer(MLWriter):
+    def __init__(self, model: AdaBoostR2Model):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(
+            self.model, path, self.sparkSession, extraMetadata={"votes": self.model.votes}
+        )
+        for i, tree in enumerate(self.model.trees):
+            tree.write().save(f"{path}/trees/{i}")
+
+
+class _Reader(MLReader):
+    def load(self, path: str) -> AdaBoostR2Model:
+        votes = DefaultParamsReader.loadMetadata(path, self.sparkSession)["votes"]
+        trees = [DecisionTreeRegressionModel.load(f"{path}/trees/{i}") for i in range(len(votes))]
+        return AdaBoostR2Model(trees, votes)

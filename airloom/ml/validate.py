@@ -108,10 +108,13 @@ class Fitted:
         return self.model.transform(self.stages.transform(df))
 
     def save(self, path: str) -> None:
-        if not hasattr(self.model, "write"):
-            raise TypeError(f"{type(self.model).__name__} keeps its rows and is not saved")
         PipelineModel([*self.stages.stages, self.model]).write().overwrite().save(path)
 
+    @classmethod
+    def load(cls, path: str) -> Fitted:
+        *stages, model = PipelineModel.load(path).stages
+        return cls(PipelineModel(stages), model)
+
 
 def cross_validate(
     df: DataFrame,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from airloom.functions.atmosphere import ESTIMATE_POLLUTANTS, estimate_columns
 from airloom.ml.models import MODELS
-from airloom.ml.validate import train_best
+from airloom.ml.validate import Fitted, score, train_best
 from airloom.operators import ranges
 from airloom.operators.joins import dedup_latest
 from airloom.operators.windows import ema
@@ -86,8 +86,29 @@ def training(
     tables.write_results(results, f"{model_path}/results")
     score = results.filter(F.col("model") == best).first()
     metrics = {"rmse": score["rmse_mean"], "mae": score["mae_mean"], "r2": score["r2_mean"]}
-    if not hasattr(fitted.model, "write"):
-        raise TypeError(f"{best} has no writer, so it is not registered")
-    fitted.save(f"{model_path}/{best}")
-    version = tables.register_model(spark, registry, best, metrics, "best of the comparison")
+    version = save_and_register(spark, fitted, registry, model_path, best, metrics, "best of the comparison")
     return {"best_model": best, "version": version, "n_features": len(columns), **metrics}
+
+
+def save_and_register(
+    spark: SparkSession, fitted: Fitted, registry: str, model_path: str, name: str,
+    metrics: Mapping[str, float], description: str = "",
+) -> int:
+    """Save a model in a folder of its own version, then register it; returns the version."""
+    version = tables.free_version(spark, registry, name)
+    path = f"{model_path}/{name}/version={version}"
+    fitted.save(path)
+    return tables.register_model(spark, registry, name, metrics, description, path, version)
+
+
+def load_model(spark: SparkSession, registry: str, name: str, version: int | None = None) -> Fitted:
+    """A registered model, the newest of its name unless a version is given."""
+    return Fitted.load(tables.registered_path(spark, registry, name, version))
+
+
+def scoring(
+    spark: SparkSession, features: DataFrame, registry: str, name: str, version: int | None = None,
+    leave_out: Sequence[str] = (SERIES, "event_date"),
+) -> DataFrame:
+    """Predictions of a registered model beside the feature rows."""
+    return score(features, load_model(spark, registry, name, version), training_columns(features, leave_out))

@@ -208,7 +208,7 @@ def knn(spark, sf_dir):
 @query("knn_by_cells", NEAREST_SQL)
 def knn_by_cells(spark, sf_dir):
     """The search used where the training rows are too many to broadcast."""
-    return predicted_by_neighbours(spark, sf_dir, broadcast_values=0, pivots=16, chunk_rows=400)
+    return predicted_by_neighbours(spark, sf_dir, broadcast_values=0, fan=16, leaf_rows=200, chunk_rows=400)
 
 
 # --- trees and comparison ---------------------------------------------------

@@ -47,6 +47,7 @@ REGISTRY = T.StructType(
         T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
         T.StructField("registered_at", T.TimestampType()),
         T.StructField("description", T.StringType()),
+        T.StructField("model_path", T.StringType()),
     ]
 )
 

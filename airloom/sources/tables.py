@@ -163,15 +163,36 @@ def next_version(registry: DataFrame) -> DataFrame:
     )
 
 
+def registered(spark: SparkSession, path: str) -> DataFrame:
+    """All registry entries; none where nothing was registered yet."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path):
+        return spark.read.schema(REGISTRY).parquet(path)
+    return spark.createDataFrame([], REGISTRY)
+
+
+def free_version(spark: SparkSession, path: str, name: str) -> int:
+    known = registered(spark, path).filter(F.col("model_name") == name)
+    return known.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0] + 1
+
+
 def register_model(
-    spark: SparkSession, path: str, name: str, metrics: Mapping[str, float], description: str = ""
+    spark: SparkSession, path: str, name: str, metrics: Mapping[str, float], description: str = "",
+    model_path: str | None = None, version: int | None = None,
 ) -> int:
     """Append a registry entry under the next version of ``name``; returns it."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    known = 0
-    if hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path):
-        entries = spark.read.schema(REGISTRY).parquet(path).filter(F.col("model_name") == name)
-        known = entries.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
-    row = (name, known + 1, dict(metrics), dt.datetime.now(dt.timezone.utc), description)
+    version = version or free_version(spark, path, name)
+    row = (name, version, dict(metrics), dt.datetime.now(dt.timezone.utc), description, model_path)
     spark.createDataFrame([row], REGISTRY).write.mode("append").parquet(path)
-    return known + 1
+    return version
+
+
+def registered_path(spark: SparkSession, path: str, name: str, version: int | None = None) -> str:
+    """Where a registered model lies: the version asked for, or the newest."""
+    entries = registered(spark, path).filter((F.col("model_name") == name) & F.col("model_path").isNotNull())
+    if version is not None:
+        entries = entries.filter(F.col("version") == version)
+    found = entries.agg(F.max_by("model_path", "version")).first()[0]
+    if found is None:
+        raise FileNotFoundError(f"no saved {name}, version {version or 'any'}, in {path}")
+    return found

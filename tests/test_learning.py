@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from airloom.ml import explain, forecast, models, validate
@@ -116,7 +117,7 @@ def brute(train, labels, queries, k=5):
     return np.array(out)
 
 
-@pytest.mark.parametrize("settings", [{}, {"broadcast_values": 0, "pivots": 12, "chunk_rows": 40}])
+@pytest.mark.parametrize("settings", [{}, {"broadcast_values": 0, "fan": 4, "leaf_rows": 12, "chunk_rows": 9}])
 def test_neighbours(rows, settings):
     matrix = VectorAssembler(inputCols=NAMES, outputCol="features").transform(rows.withColumnRenamed("y", "label"))
     train = matrix.filter("id < 250").unionByName(matrix.filter("id = 7"))
@@ -126,6 +127,44 @@ def test_neighbours(rows, settings):
     np.testing.assert_allclose(out.sort_values("id")["prediction"], expected, rtol=1e-9)
 
 
+def test_neighbours_compare_fewer_pairs_than_all(spark):
+    """Twice as many rows and queries: the compared pairs grow far less than fourfold."""
+    points = np.random.default_rng(5).random((4000, 2))
+    pairs = {}
+    for n in (2000, 4000):
+        df = spark.createDataFrame([(float(a), float(b), float(a + b)) for a, b in points[:n]], "a double, b double, label double")
+        matrix = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+        model = NearestNeighbours(5, broadcast_values=0, fan=8, leaf_rows=100).fit(matrix)
+        assert model.nodes.filter("leaf").agg(F.max("n")).first()[0] <= 100
+        queries = matrix.select(F.monotonically_increasing_id().alias("query"), vector_to_array("features").alias("x"))
+        sizes = model.nodes.filter("leaf").select("cell", "n")
+        pairs[n] = model.visits(queries).join(sizes, "cell").agg(F.sum("n")).first()[0]
+    assert pairs[4000] < 2.8 * pairs[2000] and pairs[4000] < 4000 * 4000 / 8
+
+
+def test_neighbours_of_equal_rows(spark):
+    """Rows that cannot be told apart stay one leaf and are searched in chunks."""
+    df = spark.createDataFrame([(1.0, float(i % 2)) for i in range(300)] + [(2.0, 5.0)], "a double, label double")
+    matrix = VectorAssembler(inputCols=["a"], outputCol="features").transform(df)
+    model = NearestNeighbours(3, broadcast_values=0, fan=4, leaf_rows=20, chunk_rows=50).fit(matrix)
+    found = {r.a: r.prediction for r in model.transform(matrix.select("a", "features").distinct()).collect()}
+    assert 0 <= found[1.0] <= 1 and found[2.0] == 5.0
+
+
+@pytest.mark.parametrize("name", ["Ridge", "AdaBoost", "KNN", "KNN by cells"])
+def test_saved_models_score_as_before(rows, tmp_path, name):
+    factory = {
+        "Ridge": models.ridge, "AdaBoost": lambda train: AdaBoostR2(rounds=3), "KNN": models.nearest_neighbours,
+        "KNN by cells": lambda train: NearestNeighbours(5, broadcast_values=0, fan=4, leaf_rows=40),
+    }[name]
+    clean = labelled(rows, "y", NAMES, keep=["id"])
+    fitted = validate.fit(clean, column_medians(clean, NAMES), factory)
+    fitted.save(str(tmp_path / "m"))
+    again = validate.Fitted.load(str(tmp_path / "m"))
+    before, after = (dict(m.transform(clean).select("id", "prediction").collect()) for m in (fitted, again))
+    assert before == pytest.approx(after, rel=1e-12) and len(before) == N
+
+
 def test_weighted_median(spark):
     df = spark.createDataFrame([([3.0, 1.0, 2.0],)], "p array<double>")
     assert df.select(weighted_median(F.col("p"), [1.0, 1.0, 1.0])).first()[0] == 2.0

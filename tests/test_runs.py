@@ -92,8 +92,14 @@ def test_training_registers(spark, clean, tmp_path):
     chosen = {"Ridge": models.ridge, "LightGBM": None}
     out = runs.training(spark, stored, str(tmp_path / "r"), str(tmp_path / "m"), models=chosen, folds=2)
     assert out["best_model"] == "Ridge" and out["version"] == 1 and out["n_features"] == 100
-    assert PipelineModel.load(str(tmp_path / "m" / "Ridge")) is not None
+    assert PipelineModel.load(str(tmp_path / "m" / "Ridge" / "version=1")) is not None
     assert tables.read_table(spark, str(tmp_path / "r")).count() == 1
+    again = runs.training(spark, stored, str(tmp_path / "r"), str(tmp_path / "m"), models=chosen, folds=2)
+    assert again["version"] == 2
+    scored = runs.scoring(spark, stored, str(tmp_path / "r"), "Ridge", 1)
+    assert scored.filter("prediction IS NULL").count() == 0 and scored.count() == stored.count()
+    with pytest.raises(FileNotFoundError):
+        runs.load_model(spark, str(tmp_path / "r"), "Ridge", 3)
 
 
 def test_transformers_save_and_run(spark, clean, tmp_path):
