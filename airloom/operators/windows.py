@@ -278,23 +278,32 @@ def change_rate(
 def ema(
     df: DataFrame, column: str, keys: Sequence[str], order: Sequence[str],
     spans: Sequence[int] = EMA_SPANS,
-    rows_per_cut: int = ROWS_PER_CUT, longest: int | None = None,
+    rows_per_cut: int = ROWS_PER_CUT, longest: int | None = None, carry: DataFrame | None = None,
 ) -> DataFrame:
     """Exponential average, recursive form, alpha = 2 / (span + 1).
 
     Every earlier observation counts.  Over missing values the last average
     stands and the next observation's weight grows with the gap; before the
     first value the average is missing.
+
+    ``carry`` goes on where earlier rows ended: per series (``keys``) the average of each
+    span, ``mean_<span>``, and ``gap``, the rows from the last observation to the first row here.
     """
+    if carry is not None:
+        states = carry.select(
+            *keys, F.col("gap").alias("_carry_gap"), *[F.col(f"mean_{s}").alias(f"_carry_{s}") for s in spans]
+        )
+        df = df.join(states, list(keys), "left") if keys else df.crossJoin(F.broadcast(states))
     arranged = arrange(df, keys, order, rows_per_cut, longest).position("_pos")
-    return add_ema(arranged, column, spans).rows.drop("_cut", "_pos")
+    out = add_ema(arranged, column, spans, carried=carry is not None).rows
+    return out.drop("_cut", "_pos", *([] if carry is None else states.drop(*keys).columns))
 
 
 def add_ema(
     arranged: Arranged, column: str, spans: Sequence[int] = EMA_SPANS,
-    block: int = EMA_BLOCK,
+    block: int = EMA_BLOCK, carried: bool = False,
 ) -> Arranged:
-    """EMA columns on arranged rows that carry ``_pos``."""
+    """EMA columns on arranged rows that have ``_pos`` and, if ``carried``, the carry's columns."""
     kept = arranged.rows.columns
     names = {span: f"{column}_ema_{span}h" for span in spans}
     rows = arranged.rows.selectExpr(
@@ -303,12 +312,13 @@ def add_ema(
     )
     # Missing rows form a partition of their own, so lags see observations only.
     if arranged.cuts <= 1:
-        rows = _composed(rows, arranged.window("_gone"), spans, arranged.longest, "_x")
+        starts = {span: _start("_pos", span, carried) for span in spans}
+        rows = _composed(rows, arranged.window("_gone"), spans, arranged.longest, starts)
         average = {span: F.col(f"_q_{span}") for span in spans}
     else:
         seen = Window.partitionBy(*arranged.keys, "_block", "_gone").orderBy("_pos")
         rows = _composed(rows, seen, spans, block, None)
-        rows = _with_block_starts(rows, arranged, spans, block)
+        rows = _with_block_starts(rows, arranged, spans, block, carried)
         average = {
             s: F.col(f"_p_{s}") * F.col(f"_start_{s}") + F.col(f"_q_{s}") for s in spans
         }
@@ -318,7 +328,49 @@ def add_ema(
         out = out.replace(materialise(out.rows, "ema"))
     for span in spans:
         out = out.last_known(f"_y_{span}", names[span])
-    return out.replace(out.rows.select(*kept, *names.values()))
+    shown = [
+        F.coalesce(names[s], f"_carry_{s}").alias(names[s]) if carried else F.col(names[s]) for s in spans
+    ]
+    return out.replace(out.rows.select(*kept, *shown))
+
+
+def _start(position: str, span: int, carried: bool) -> str:
+    """SQL for the average at a series' first observation."""
+    if not carried:
+        return "_x"
+    p, q = _step("_x", f"(_carry_gap + {position})", span)
+    return f"IF(_carry_{span} IS NULL, _x, {p} * _carry_{span} + {q})"
+
+
+def day_states(
+    averaged: DataFrame, column: str, keys: Sequence[str], time: str,
+    spans: Sequence[int] = EMA_SPANS, carry: DataFrame | None = None,
+) -> DataFrame:
+    """What each day leaves behind of each series: keys, event_date, ``time`` of its last row,
+    ``n`` rows, ``gap`` and ``mean_<span>``; ``averaged`` are rows with their averages, and
+    ``carry`` is what they were computed from.
+    """
+    keys, c = list(keys), F.col
+    in_day = Window.partitionBy(*keys, "event_date").orderBy(time)
+    days = (
+        averaged.withColumn("event_date", F.to_date(time)).withColumn("_nth", F.row_number().over(in_day))
+        .groupBy(*keys, "event_date").agg(
+            F.max(time).alias(time), F.count(F.lit(1)).alias("n"),
+            F.max(F.when(c(column).isNotNull(), c("_nth"))).alias("_seen"),
+            *[F.max_by(f"{column}_ema_{s}h", time).alias(f"mean_{s}") for s in spans],
+        )
+    )
+    if carry is None:
+        days = days.withColumn("_carry_gap", F.lit(None).cast("long"))
+    else:
+        days = days.join(carry.select(*keys, c("gap").alias("_carry_gap")), keys, "left")
+    by_day = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("event_date").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = F.sum("n").over(by_day)
+    days = days.withColumn("_rows", so_far).withColumn(
+        "_last_seen", F.last(c("_rows") - c("n") + c("_seen"), ignorenulls=True).over(by_day)
+    )
+    gap = F.when(c("_last_seen").isNotNull(), c("_rows") - c("_last_seen") + 1).otherwise(c("_carry_gap") + c("_rows"))
+    return days.select(*keys, "event_date", time, "n", gap.alias("gap"), *[f"mean_{s}" for s in spans])
 
 
 def _step(x: str, gap: str, span: int) -> tuple[str, str]:
@@ -329,7 +381,7 @@ def _step(x: str, gap: str, span: int) -> tuple[str, str]:
 
 
 def _composed(
-    rows: DataFrame, w: WindowSpec, spans: Sequence[int], length: int, first: str | None
+    rows: DataFrame, w: WindowSpec, spans: Sequence[int], length: int, first: dict[int, str] | None
 ) -> DataFrame:
     """Adds ``_p`` and ``_q`` per span: all steps of the window up to each row.
 
@@ -339,7 +391,7 @@ def _composed(
     steps = []
     for span in spans:
         p, q = _step("_x", "_gap", span)
-        start = ("1D", "0D") if first is None else ("0D", first)
+        start = ("1D", "0D") if first is None else ("0D", first[span])
         steps.append(f"IF(_gap IS NULL, {start[0]}, {p}) AS _p_{span}")
         steps.append(f"IF(_gap IS NULL, {start[1]}, {q}) AS _q_{span}")
     return _doubled(rows.selectExpr("*", *steps), w, spans, length)
@@ -371,7 +423,7 @@ def _doubled(rows: DataFrame, w: WindowSpec, spans: Sequence[int], length: int)
 
 
 def _with_block_starts(
-    rows: DataFrame, arranged: Arranged, spans: Sequence[int], block: int
+    rows: DataFrame, arranged: Arranged, spans: Sequence[int], block: int, carried: bool = False
 ) -> DataFrame:
     """Adds ``_start``: the average at the first observation of each row's block.
 
@@ -382,12 +434,14 @@ def _with_block_starts(
     blocks = rows.filter("NOT _gone").groupBy(*keys, "_block").agg(
         F.min("_pos").alias("_first"), F.min_by("_x", "_pos").alias("_x"),
         F.max("_pos").alias("_last"),
+        # The carry is the same in all rows of a series.
+        *[F.max(x).alias(x) for x in (["_carry_gap", *[f"_carry_{s}" for s in spans]] if carried else [])],
         *[F.max_by(f"_{f}_{s}", "_pos").alias(f"_{f}_{s}") for s in spans for f in ("p", "q")],
     ).withColumn("_gap", F.col("_first") - F.lag("_last").over(w))
     for s in spans:
         p, q = _step("_x", "_gap", s)
         blocks = blocks.selectExpr(
-            "*", f"IF(_gap IS NULL, 0D, {p}) AS _a_{s}", f"IF(_gap IS NULL, _x, {q}) AS _b_{s}"
+            "*", f"IF(_gap IS NULL, 0D, {p}) AS _a_{s}", f"IF(_gap IS NULL, {_start('_first', s, carried)}, {q}) AS _b_{s}"
         ).withColumns({
             f"_p_{s}": F.expr(f"_p_{s} * _a_{s}"), f"_q_{s}": F.expr(f"_q_{s} + _p_{s} * _b_{s}"),
         })

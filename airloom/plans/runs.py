@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from airloom.ml.validate import Fitted, score, train_best
 from airloom.operators import ranges
 from airloom.operators.joins import dedup_latest
 from airloom.operators.windows import ema
+from airloom.plans.carry import Carry, refreshed
 from airloom.plans.features import feature_frame, training_columns
 from airloom.schemas import SERIES, TARGET, TIME, nan_to_null, observation_rules, validate
 from airloom.sources import payloads, tables
@@ -75,6 +76,24 @@ def incremental(rows: DataFrame, end: dt.datetime, hours: int = 24, output: str
     return features
 
 
+def refresh(
+    spark: SparkSession, fresh: DataFrame, history: str, states: str, output: str | None = None,
+    compute: Callable[[DataFrame], DataFrame] = feature_frame, lookback: int = ranges.LOOKBACK_ROWS,
+) -> DataFrame:
+    """Bring stored observations and features up to date with newly arrived rows, late ones included.
+
+    The averages go on from the ``states`` by day kept beside the ``history``; of it only the
+    changed days and those that lags and windows look back on are read.
+    """
+    tables.upsert_days(fresh, history, [SERIES, TIME], TIME)
+    changed = fresh.groupBy(SERIES).agg(F.min(TIME).alias("_since"))
+    carry = Carry(states, [SERIES], TIME, TARGET)
+    out = refreshed(spark.read.parquet(history), changed, carry, lookback, compute)
+    if output is not None:
+        tables.upsert_days(out, output, [SERIES, TIME], TIME)
+    return out
+
+
 def training(
     spark: SparkSession, features: DataFrame, registry: str, model_path: str,
     order: Sequence[str] = (TIME, SERIES), models: Mapping = MODELS, folds: int = 5,

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from airloom.functions import bands
 from airloom.operators import windows
 from airloom.operators.cuts import HOURLY_GRID_ROWS
+from airloom.plans import runs
+from airloom.plans.carry import Carry
 from airloom.queries.common import HOURLY_SQL, R, TS, hourly, present, table
 from airloom.queries.shaping import level_case
 from airloom.session import shared_folder
@@ -171,32 +173,60 @@ def stream_features(spark, sf_dir):
     return present(spark.read.parquet(output).drop("event_date", "aqi"))
 
 
+def averaged(rows):
+    """Lags and exponential averages of one series column."""
+    out = windows.lags(rows, ["aqi"], ["series_key"], ["datetime"], (24,), longest=HOURLY_GRID_ROWS)
+    return windows.ema(out, "aqi", ["series_key"], ["datetime"], longest=HOURLY_GRID_ROWS)
+
+
+def late_and_rest(spark, sf_dir):
+    """Hourly observations and, apart, those of the first half that arrive late."""
+    rows = hourly(spark, sf_dir).select("series_key", "datetime", "aqi")
+    first, last = rows.agg(F.min("datetime"), F.max("datetime")).first()
+    early = F.col("datetime") < F.lit(first + (last - first) / 2)
+    late = early & (F.pmod(F.unix_seconds(F.col("datetime").cast("timestamp")) / 3600, F.lit(97)) == 0)
+    return rows.filter(early & ~late), rows.filter(~early), rows.filter(late)
+
+
 @query("stream_feature_averages", "")
 def stream_feature_averages(spark, sf_dir):
-    """An exponential average kept up to date on series longer than the look-back."""
-    path = hourly_files(spark, sf_dir, "average-source")
+    """Averages kept up to date from states by day, on series longer than the look-back, with late rows."""
+    path = scratch(spark, "average-source")
+    parts = late_and_rest(spark, sf_dir)
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
     schema = spark.read.parquet(path).schema
-    history, output = scratch(spark, "history"), scratch(spark, "averages")
-
-    def average(rows):
-        return windows.ema(rows, "aqi", ["series_key"], ["datetime"], (24,), longest=HOURLY_GRID_ROWS)
-
+    history, output, states = (scratch(spark, x) for x in ("history", "averages", "states"))
     started = stateful.incremental_features(
         ingest.table_stream(spark, path, schema, files_per_batch=1), history, output,
-        scratch(spark, "averages-checkpoint"), ["series_key"], "datetime", average, lookback=24,
-        averages=lambda rows: average(rows.select("series_key", "datetime", "aqi")).drop("aqi"),
+        scratch(spark, "averages-checkpoint"), ["series_key"], "datetime", averaged, lookback=24,
+        carry=Carry(states, ["series_key"], "datetime", "aqi"),
     )
     started.awaitTermination()
     return present(spark.read.parquet(output).drop("event_date", "aqi"))
 
 
+@query("incremental_carry", "")
+def incremental_carry(spark, sf_dir):
+    """The same by refresh runs: the stored half, the newer half, then the late rows."""
+    history, output, states = (scratch(spark, x) for x in ("history", "features", "states"))
+    for fresh in late_and_rest(spark, sf_dir):
+        runs.refresh(spark, fresh, history, states, output, averaged, lookback=24)
+    return present(spark.read.parquet(output).drop("event_date", "aqi"))
+
+
 def _ema_oracle() -> str:
     from airloom.queries.series import ema_ctes
 
     return f"""WITH RECURSIVE src AS MATERIALIZED (SELECT series_key, datetime, aqi AS x,
         row_number() OVER (PARTITION BY series_key ORDER BY datetime) AS n FROM ({HOURLY_SQL})), {ema_ctes('src')}
-        SELECT s.series_key, {TS('s.datetime')} AS datetime, {R('a.y')} AS aqi_ema_24h
-        FROM src s JOIN ema24 a USING (series_key, n)"""
+        SELECT s.series_key, {TS('s.datetime')} AS datetime, COLUMNS FROM src s JOIN ema24 a USING (series_key, n)
+        JOIN ema168 b USING (series_key, n)"""
 
 
-ORACLES["stream_ema"] = ORACLES["stream_feature_averages"] = _ema_oracle()
+ORACLES["stream_ema"] = _ema_oracle().replace("COLUMNS", f"{R('a.y')} AS aqi_ema_24h")
+ORACLES["stream_feature_averages"] = ORACLES["incremental_carry"] = _ema_oracle().replace(
+    "COLUMNS",
+    f"{R('lag(s.x, 24) OVER (PARTITION BY s.series_key ORDER BY s.datetime)')} AS aqi_lag_24h, "
+    f"{R('a.y')} AS aqi_ema_24h, {R('b.y')} AS aqi_ema_168h",
+)

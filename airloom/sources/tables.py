@@ -121,22 +121,37 @@ def upsert(
 ) -> DataFrame:
     """Table with the incoming rows in place of those with the same key.
 
-    Repeating the same batch leaves the table unchanged.
+    Of incoming rows with one key the newest by ``order`` counts, and among equals the one
+    whose columns sort last. Repeating the same batch leaves the table unchanged.
     """
-    fresh = latest(incoming, keys, order) if order else incoming.dropDuplicates(list(keys))
+    fresh = _one_each(incoming, keys, order)
     return existing.join(fresh.select(*keys), list(keys), "left_anti").unionByName(
         fresh, allowMissingColumns=True
     )
 
 
-def upsert_days(df: DataFrame, path: str, keys: Sequence[str], time: str = "datetime") -> None:
+def _one_each(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the newest by ``order``, among equals the one whose columns sort last.
+
+    The choice does not depend on how the rows are dealt to tasks.
+    """
+    rest = [name for name, kind in df.dtypes if name not in keys and name not in order and "map" not in kind]
+    if not order and not rest:
+        return df.dropDuplicates(list(keys))
+    return latest(df, keys, [*order, *rest])
+
+
+def upsert_days(
+    df: DataFrame, path: str, keys: Sequence[str], time: str = "datetime", order: Sequence[str] = ()
+) -> None:
     """Idempotent upsert into a table partitioned by day.
 
-    Only the days the batch touches are read and rewritten (dynamic partition
+    Of rows with one key the newest by ``order`` counts, an ingest number for example, and
+    among equals the one whose columns sort last. Only the days the batch touches are read and rewritten (dynamic partition
     overwrite); the new content is materialised before the old is replaced.
     """
     spark = df.sparkSession
-    fresh = df.withColumn("event_date", F.to_date(time)).dropDuplicates(list(keys))
+    fresh = _one_each(df.withColumn("event_date", F.to_date(time)), keys, order)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     if hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path):
         days = fresh.select("event_date").distinct()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -13,12 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from airloom.operators.windows import newest_rows
+from airloom.plans.carry import Carry, refreshed
 from airloom.session import materialise
 from airloom.sources.tables import upsert_days
 
-EMA_NAME = re.compile(r"_ema_\d+h$")
-
-
 def incremental_features(
     stream: DataFrame,
     history: str,
@@ -29,7 +26,9 @@ def incremental_features(
     compute: Callable[[DataFrame], DataFrame],
     lookback: int = 2160,
     lookback_days: int | None = None,
+    carry: Carry | None = None,
     averages: Callable[[DataFrame], DataFrame] | None = None,
+    unbounded: bool = False,
 ) -> StreamingQuery:
     """Keep a feature table up to date from an observation stream.
 
@@ -40,10 +39,10 @@ def incremental_features(
     changes nothing.  ``lookback_days`` prunes the history to recent partitions;
     where they hold too few rows of a changed series, the whole history is read.
 
-    Exponential averages (columns named ``…_ema_…h``) look back on every row.
-    ``averages`` gives them, with keys and time, from the whole history of the
-    changed series, of which it should select the columns it needs; without
-    it, ``compute`` gets that history if it makes such columns.
+    Features that look back on every row, such as exponential averages, need one of:
+    ``carry``, where the averages of one column are kept as states by day, so that only the days
+    looked back on are read; ``averages``, which gives them, with keys and time, from the whole
+    history of the changed series; or ``unbounded``, with which ``compute`` gets that history.
     """
     spark = stream.sparkSession
 
@@ -54,6 +53,9 @@ def incremental_features(
         upsert_days(fresh, history, [*keys, time], time)
         changed = fresh.groupBy(*keys).agg(F.min(time).alias("_since"))
         whole = spark.read.parquet(history)
+        if carry is not None:
+            upsert_days(refreshed(whole, changed, carry, lookback, compute), output, [*keys, time], time)
+            return
         rows = whole.drop("event_date").join(changed, list(keys))
         earlier = rows.filter(F.col(time) < F.col("_since"))
         after = rows.filter(F.col(time) >= F.col("_since"))
@@ -67,16 +69,17 @@ def incremental_features(
             enough = recent.groupBy(*keys).count().filter(F.col("count") >= lookback)
             if changed.join(enough, list(keys), "left_anti").isEmpty():
                 earlier = recent
-        before = newest_rows(earlier, keys, [time], lookback)
-        computed = compute(before.unionByName(after).drop("_since"))
+        if unbounded:
+            computed = compute(rows.drop("_since"))
+        else:
+            before = newest_rows(earlier, keys, [time], lookback)
+            computed = compute(before.unionByName(after).drop("_since"))
         if averages is not None:
             full = averages(rows.drop("_since"))
             names = computed.columns
             own = [c for c in full.columns if c not in (*keys, time)]
             computed = computed.drop(*own).join(full, [*keys, time], "left")
             computed = computed.select(*names, *[c for c in own if c not in names])
-        elif any(EMA_NAME.search(c) for c in computed.columns):
-            computed = compute(rows.drop("_since"))
         affected = computed.join(changed, list(keys)).filter(F.col(time) >= F.col("_since"))
         upsert_days(affected.drop("_since"), output, [*keys, time], time)
 

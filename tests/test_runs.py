@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from airloom.functions.calendar import add_time_features
 from airloom.ml import models
+from airloom.operators import windows
 from airloom.plans import runs
 from airloom.plans.transformers import (
     CyclicalTimeEncoder, FeatureEngineer, LagFeatureGenerator, RollingFeatureGenerator,
@@ -85,6 +86,50 @@ def test_incremental_average_looks_back_over_all_rows(spark, clean):
         assert row[1] is not None and row[1:3] == pytest.approx(row[3:5], rel=1e-12)
 
 
+@pytest.mark.parametrize("cut", [1_000_000, 50])
+def test_averages_go_on_from_a_carry(spark, cut):
+    """Any split of a series gives the averages of the whole, also in pieces and from a missing start."""
+    x = [None, None, 3.0, None, 5.0, 1.0, None, None, 8.0, *[float(i % 7) for i in range(150)], None, 4.0]
+    data = [(s, START + dt.timedelta(hours=i), v if s == "a" else None if i < 100 else v) for s in "ab" for i, v in enumerate(x)]
+    df = spark.createDataFrame(data, "series_key string, datetime timestamp, aqi double")
+    whole = {tuple(r)[:2]: r.aqi_ema_24h for r in windows.ema(df, "aqi", ["series_key"], ["datetime"], (24,)).collect()}
+    for day in (1, 3, 6):
+        at = F.lit(START + dt.timedelta(days=day))
+        first, state, out = df.filter(F.col("datetime") < at), None, {}
+        for part in (first, df.filter(F.col("datetime") >= at)):
+            averaged = windows.ema(part, "aqi", ["series_key"], ["datetime"], (24,), rows_per_cut=cut, carry=state)
+            out |= {tuple(r)[:2]: r.aqi_ema_24h for r in averaged.collect()}
+            days = windows.day_states(averaged, "aqi", ["series_key"], "datetime", (24,), state)
+            state = days.groupBy("series_key").agg(F.max_by("gap", "datetime").alias("gap"), F.max_by("mean_24", "datetime").alias("mean_24"))
+        assert out.keys() == whole.keys()
+        for k, v in whole.items():
+            assert (out[k] is None) == (v is None) and (v is None or out[k] == pytest.approx(v, rel=1e-12))
+
+
+def test_refresh_reads_only_the_days_it_looks_back_on(spark, clean, tmp_path):
+    """Rows slipped into an old day are not seen by a refresh of new days; late rows reopen theirs."""
+    paths = [str(tmp_path / p) for p in ("history", "states", "out")]
+
+    def compute(rows):
+        return windows.ema(windows.lags(rows, ["aqi"], ["series_key"], ["datetime"], (24,)), "aqi", ["series_key"], ["datetime"])
+
+    rows = clean.select("series_key", "datetime", "aqi")
+    at = START + dt.timedelta(days=4)
+    late = F.col("datetime") == F.lit(START + dt.timedelta(hours=30))
+    runs.refresh(spark, rows.filter((F.col("datetime") < F.lit(at)) & ~late), *paths, compute, lookback=24)
+    slipped = rows.limit(1).withColumns({"datetime": F.lit(START + dt.timedelta(minutes=5)), "aqi": F.lit(1e9), "event_date": F.to_date(F.lit(START))})
+    slipped.write.mode("append").partitionBy("event_date").parquet(paths[0])
+    runs.refresh(spark, rows.filter(F.col("datetime") >= F.lit(at)), *paths, compute, lookback=24)
+    runs.refresh(spark, rows.filter(late), *paths, compute, lookback=4)
+    got = {tuple(r)[:2]: tuple(r)[2:] for r in spark.read.parquet(paths[2]).drop("event_date").select("series_key", "datetime", "aqi_lag_24h", "aqi_ema_24h", "aqi_ema_168h").collect()}
+    want = compute(rows).select("series_key", "datetime", "aqi_lag_24h", "aqi_ema_24h", "aqi_ema_168h").collect()
+    assert len(got) == len(want)
+    for r in want:
+        if r.datetime >= at:  # the third run looks back on four rows alone
+            assert got[r[0], r[1]] == pytest.approx(tuple(r)[2:], rel=1e-9)
+        assert got[r[0], r[1]][1:] == pytest.approx(tuple(r)[3:], rel=1e-9)
+
+
 def test_training_registers(spark, clean, tmp_path):
     features = runs.historical(clean, START, START + dt.timedelta(hours=HOURS), str(tmp_path / "f"))
     stored = spark.read.parquet(str(tmp_path / "f"))

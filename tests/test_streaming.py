@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airloom.operators import windows
+from airloom.plans.carry import Carry
 from airloom.streaming import features, ingest
 
 SCHEMA = "series_key string, datetime timestamp, aqi double"
@@ -78,7 +79,7 @@ def test_incremental_features_with_late_rows(spark, tmp_path):
             got[f"aqi_lag_{k}h"].astype(float), pdf.groupby("k")["v"].shift(k))
 
 
-@pytest.mark.parametrize("settings", [{}, {"lookback_days": 1}, {"averages": True, "lookback_days": 1}])
+@pytest.mark.parametrize("settings", [{"unbounded": True}, {"carry": True}, {"averages": True, "lookback_days": 1}])
 def test_incremental_averages_look_back_over_all_rows(spark, tmp_path, settings):
     """Long gaps: the average stands on rows far before the look-back."""
     data = [r for r in rows(400, missing=range(40, 300)) if not 300 <= (r[1] - dt.datetime(2024, 1, 1)).total_seconds() / 3600 < 350]
@@ -93,6 +94,8 @@ def test_incremental_averages_look_back_over_all_rows(spark, tmp_path, settings)
 
     if "averages" in settings:
         settings = settings | {"averages": lambda df: average(df.select("series_key", "datetime", "aqi")).drop("aqi")}
+    if "carry" in settings:
+        settings = {"carry": Carry(str(tmp_path / "states"), ["series_key"], "datetime", "aqi", (24,))}
     stream = ingest.table_stream(spark, str(tmp_path / "in"), SCHEMA, files_per_batch=1)
     finish(features.incremental_features(
         stream, *paths, ["series_key"], "datetime", compute, lookback=24, **settings))
