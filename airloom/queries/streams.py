@@ -68,20 +68,29 @@ def stream_dedup(spark, sf_dir):
     return present(run_to_end(spark, once, "dedup").drop("ts"))
 
 
-def window_totals(spark, stream, label):
-    """Complete windows written per batch; the last batch holds them all."""
-    out, checkpoint = scratch(spark, label), scratch(spark, f"{label}-checkpoint")
+EVENT_FILES = 6
 
-    def save(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    started = (
-        stream.writeStream.outputMode("complete").foreachBatch(save)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+def timed_events(spark, sf_dir, label, late=None):
+    """The events as a stream of files in the order of their time; ``late`` rows come in the last file."""
+    path = scratch(spark, label)
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
+    first, last = rows.agg(F.min("ts"), F.max("ts")).first()
+    late = F.lit(False) if late is None else late
+    for k in range(EVENT_FILES):
+        begin, end = (first + (last - first) * i / EVENT_FILES for i in (k, k + 1))
+        inside = (F.col("ts") >= F.lit(begin)) & ((F.col("ts") < F.lit(end)) | F.lit(k + 1 == EVENT_FILES))
+        rows.filter(inside & ~late).coalesce(1).write.mode("append").parquet(path)
+    rows.filter(late).coalesce(1).write.mode("append").parquet(path)
+    return ingest.table_stream(spark, path, rows.schema, files_per_batch=1)
+
+
+def window_totals(spark, stream, label):
+    """Windows written as they change, and the query that has run to its end."""
+    out, checkpoint = scratch(spark, label), scratch(spark, f"{label}-checkpoint")
+    started = ingest.keyed_stream(stream, out, checkpoint)
     started.awaitTermination()
-    done = started.lastProgress["batchId"]
-    return spark.read.schema(stream.schema).parquet(f"{out}/batch={done}")
+    return ingest.newest_versions(spark, out, stream.schema, ["event_type", "window_start"]), started
 
 
 @query(
@@ -90,8 +99,9 @@ def window_totals(spark, stream, label):
         count(*)::BIGINT AS n FROM events GROUP BY event_type, date_trunc('hour', ts)""",
 )
 def stream_windows(spark, sf_dir):
-    means = ingest.window_means(event_stream(spark, sf_dir), ["event_type"], "ts", "value")
-    return present(window_totals(spark, means, "windows").drop("window_end"))
+    events = timed_events(spark, sf_dir, "windows-source")
+    means = ingest.window_means(events, ["event_type"], "ts", "value")
+    return present(window_totals(spark, means, "windows")[0].drop("window_end"))
 
 
 @query(
@@ -103,10 +113,27 @@ def stream_windows(spark, sf_dir):
 )
 def stream_sliding_windows(spark, sf_dir):
     """Means of 24 hours, every six hours."""
-    means = ingest.window_means(
-        event_stream(spark, sf_dir), ["event_type"], "ts", "value", "24 hours", "6 hours"
-    )
-    return present(window_totals(spark, means, "sliding").drop("window_end"))
+    events = timed_events(spark, sf_dir, "sliding-source")
+    means = ingest.window_means(events, ["event_type"], "ts", "value", "24 hours", "6 hours")
+    return present(window_totals(spark, means, "sliding")[0].drop("window_end"))
+
+
+@query(
+    "stream_late_rows",
+    f"""WITH e AS (SELECT *, event_id % 50 = 0 AND ts < (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events) AS late FROM events),
+        w AS (SELECT event_type, date_trunc('hour', ts) AS window_start, {R('avg(value)')} AS mean_value, count(*)::BIGINT AS n
+              FROM e WHERE NOT late GROUP BY 1, 2)
+        SELECT event_type, {TS('window_start')} AS window_start, mean_value, n,
+               (SELECT count(DISTINCT (event_type, date_trunc('hour', ts))) FROM e WHERE late)::BIGINT AS dropped FROM w""",
+)
+def stream_late_rows(spark, sf_dir):
+    """Windows of an hour; what comes after the watermark is dropped and counted."""
+    first, last = table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
+    late = (F.col("event_id") % 50 == 0) & (F.col("ts") < F.lit(first + (last - first) / 2))
+    means = ingest.window_means(timed_events(spark, sf_dir, "late-source", late), ["event_type"], "ts", "value")
+    rows, started = window_totals(spark, means, "late")
+    dropped = ingest.late_rows(spark, started).agg(F.sum("dropped")).first()[0]
+    return present(rows.drop("window_end").withColumn("dropped", F.lit(dropped)))
 
 
 @query(
@@ -137,13 +164,16 @@ def stream_payloads(spark, sf_dir):
 
 @query("stream_ema", "")
 def stream_ema(spark, sf_dir):
-    """EMA carried as state over files arriving in time order, equal to the batch EMA."""
-    path = hourly_files(spark, sf_dir, "ema-source")
-    schema = spark.read.parquet(path).schema
-    stream = ingest.table_stream(spark, path, schema, files_per_batch=1)
-    once = ingest.dedup(stream, ["series_key", "datetime"], "datetime", "40 days")
-    out = stateful.stateful_ema(once, "series_key", "datetime", "aqi")
-    return present(run_to_end(spark, out, "ema").drop("recent", "aqi"))
+    """EMA carried as state over files, the last of them late, equal to the batch EMA."""
+    path = scratch(spark, "ema-source")
+    for part in late_and_rest(spark, sf_dir):
+        part.coalesce(1).write.mode("append").parquet(path)
+    stream = ingest.table_stream(spark, path, spark.read.parquet(path).schema, files_per_batch=1)
+    out, checkpoint = scratch(spark, "ema"), scratch(spark, "ema-checkpoint")
+    averages = stateful.stateful_ema(stream, "series_key", "datetime", "aqi", delay="400 days")
+    started = stateful.upsert_stream(averages, out, checkpoint, ["series_key"], "datetime")
+    started.awaitTermination()
+    return present(spark.read.parquet(out).drop("recent", "aqi", "event_date"))
 
 
 @query(

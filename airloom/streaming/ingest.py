@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from airloom.operators.windows import latest
+
 WATERMARK = "2 hours"
 
 
@@ -67,6 +69,41 @@ def write_stream(
     )
 
 
+def keyed_stream(df: DataFrame, path: str, checkpoint: str, mode: str = "update") -> StreamingQuery:
+    """Changed rows of each batch under the batch's number, which a repeated batch replaces.
+
+    In update mode only the windows that a batch changes are written, and those behind the
+    watermark leave the state; ``newest_versions`` reads the table's present content.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        df.writeStream.outputMode(mode).foreachBatch(save)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
+def newest_versions(spark: SparkSession, path: str, schema, keys: Sequence[str]) -> DataFrame:
+    """Of each key the row of its last batch."""
+    rows = spark.read.schema(schema.add("batch", "long") if "batch" not in schema.names else schema).parquet(path)
+    return latest(rows, keys, ["batch"]).drop("batch")
+
+
+def late_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """(batch, operator, dropped, state_rows) of a query: what came too late, and the state's size.
+
+    Windows drop what a task has already added up of one window as one row. A query remembers
+    its last ``spark.sql.streaming.numRecentProgressUpdates`` batches.
+    """
+    rows = [
+        (p["batchId"], o["operatorName"], o["numRowsDroppedByWatermark"], o["numRowsTotal"])
+        for p in query.recentProgress for o in p["stateOperators"]
+    ]
+    return spark.createDataFrame(rows, "batch long, operator string, dropped long, state_rows long")
+
+
 def alert_stream(df: DataFrame, value: str, alert: Column) -> DataFrame:
     """Banner-level alerts of an observation stream, without state."""
     from airloom.functions.bands import is_banner
