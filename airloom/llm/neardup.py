@@ -5,9 +5,11 @@
    of each minimum for later verification. Every row is a node of its own.
 2. Nodes with equal sets form a class by digest; the first of them speaks for it.
 3. Band rows (key, node) are sorted by key; only buckets of two or more stay.
-4. Each node is compared with the first one it shares any bucket with: at most one pair a
-   node. The components of these links hold most copies of a text, however many they are, and
-   only buckets that still hold several components stay open.
+4. Links are looked for by stars: each node is compared with one pivot of its buckets, at
+   first the node that shares the most with others, which is near the middle of its group, and
+   in each further round a random one. Components of the links hold most copies of a text,
+   however many they are, and only buckets that still hold several components stay open.
+   Rounds go on while at least one in ``ENOUGH`` of the pairs is a link.
 5. Open buckets of at most ``SMALL`` nodes give their pairs across components. The nodes of
    larger ones are joined by the rarest of their shingles, which loses no pair. A shingle that
    stands in one component only cannot be shared with another; of a set of n with p shingles
@@ -50,6 +52,8 @@ PERCENT = 85
 BANDS, ROWS = 48, 5
 # Standard errors below the threshold at which the agreement of minima rules a pair out.
 MARGIN = 6
+# A round of stars is followed by another if it links one in so many of its pairs.
+ENOUGH = 20
 # Largest open bucket whose pairs are made; larger ones are joined by rare shingles.
 SMALL = 8
 # A longer word is hashed by BLAKE2b; a set of fewer shingles is told by the words themselves.
@@ -210,43 +214,34 @@ def band_rows(found: DataFrame) -> DataFrame:
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
-    """(key, node, pivot) of the keys with two nodes or more; pivot is the smallest node.
+    """(key, node) of the keys with two nodes or more.
 
     Rows are streamed in the order of their key, so a bucket of any size needs no memory.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = (np.zeros(0, np.int64),) * 3  # the last row: key, node, pivot
+        held = (np.zeros(0, np.int64),) * 2  # the last row: key, node
         joined = False  # whether it has company before it
 
-        def out(keys, nodes, pivots, mask):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(keys[mask]), pa.array(nodes[mask]), pa.array(pivots[mask])],
-                ["key", "node", "pivot"],
-            )
+        def out(keys, nodes, mask):
+            return pa.RecordBatch.from_arrays([pa.array(keys[mask]), pa.array(nodes[mask])], ["key", "node"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             keys = np.concatenate([held[0], batch.column("key").to_numpy()])
             nodes = np.concatenate([held[1], batch.column("node").to_numpy()])
-            fresh = np.concatenate([[True], keys[1:] != keys[:-1]])
-            begin = np.maximum.accumulate(np.where(fresh, np.arange(len(keys)), 0))
-            pivots = nodes[begin]
-            if len(held[0]):
-                pivots[begin == 0] = held[2][0]
-            company = ~fresh
-            company[0] = joined
-            company[:-1] |= ~fresh[1:]
+            company = np.concatenate([[joined], keys[1:] == keys[:-1]])
+            company[:-1] |= keys[1:] == keys[:-1]
             last = len(keys) - 1
             joined = bool(company[last])
-            held = (keys[last:], nodes[last:], pivots[last:])
-            yield out(keys[:-1], nodes[:-1], pivots[:-1], company[:-1])
+            held = (keys[last:], nodes[last:])
+            yield out(keys[:-1], nodes[:-1], company[:-1])
         if joined:
             yield out(*held, np.ones(1, bool))
 
     by_key = rows.repartition("key").sortWithinPartitions("key", "node")
-    return by_key.mapInArrow(run, "key long, node long, pivot long").distinct()
+    return by_key.mapInArrow(run, "key long, node long").distinct()
 
 
 def similar(pairs: DataFrame, minima_of: DataFrame, percent: int) -> DataFrame:
@@ -393,6 +388,33 @@ def components(edges: DataFrame, folder: Written) -> DataFrame:
     return stars.select(c("u").alias("node"), c("v").alias("component"))
 
 
+def stars_of(part_of: DataFrame) -> DataFrame:
+    """Links (a, b) that connect what all links found so far do."""
+    return part_of.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
+def open_buckets(rows: DataFrame, part_of: DataFrame) -> DataFrame:
+    """(key, node, weight, component, n) of the buckets of ``rows`` that hold several components.
+
+    A bucket that is one component stays one, so the others need not be looked at again.
+    """
+    labelled = rows.join(part_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = labelled.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")
+    ).where("low != high").select("key", "n")
+    return labelled.join(mixed, "key").select("key", "node", "weight", "component", "n")
+
+
+def star_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b): each node with the heaviest of its buckets' heaviest nodes, unless of its component."""
+    pivots = rows.groupBy("key").agg(F.max(F.struct("weight", "node", "component")).alias("pivot"))
+    return (
+        rows.join(pivots, "key").where("component != pivot.component").groupBy("node")
+        .agg(F.max("pivot").alias("pivot"))
+        .select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
+    )
+
+
 def grouped(docs: DataFrame, words: int, percent: int, folder: Written) -> DataFrame:
     """node, doc_id, text, n_shingles, component and component_id (its smallest doc_id) of every row."""
     c = F.col
@@ -411,29 +433,30 @@ def grouped(docs: DataFrame, words: int, percent: int, folder: Written) -> DataF
     nodes = buckets.select("node").distinct()
     minima_of = folder.keep(found.select("node", "minima").join(nodes, "node", "left_semi"))
     texts = folder.keep(found.select("node", "text").join(nodes, "node", "left_semi"))
-    # A pivot may be spoken for by an equal: the first left in the bucket takes its place.
-    first = buckets.groupBy("key").agg(F.min("node").alias("pivot"))
-    pairs = (
-        buckets.drop("pivot").join(first, "key").where("node != pivot").groupBy("node")
-        .agg(F.min("pivot").alias("a")).select("a", c("node").alias("b"))
-    )
     # The texts of a document that has several are linked.
     several = (
         members.where("doc_id is not null").groupBy("doc_id")
         .agg(F.min("speaker").alias("a"), F.max("speaker").alias("high")).where("a != high")
     )
-    same_id = members.join(several, "doc_id").where("speaker != a").select("a", c("speaker").alias("b")).distinct()
-    links = folder.keep(verified(similar(pairs, minima_of, percent), texts, words, percent).union(same_id))
-    part_of = components(links, folder)
-    labelled = (
-        buckets.select("key", "node").join(part_of, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
+    part_of = components(
+        members.join(several, "doc_id").where("speaker != a").select("a", c("speaker").alias("b")).distinct(), folder
     )
-    mixed = labelled.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")
-    ).where("low != high").select("key", "n")
-    # A bucket that is one component stays one: only the others go on.
-    still_open = folder.keep(labelled.join(mixed, "key"))
+    # A node that shares large buckets with many others is near the middle of its group.
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    weights = buckets.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("weight"))
+    still_open = folder.keep(open_buckets(buckets.join(weights, "node").select("key", "node", "weight"), part_of))
+    turn = 0
+    while True:
+        pairs = folder.keep(star_pairs(still_open))
+        more = folder.keep(verified(similar(pairs, minima_of, percent), texts, words, percent))
+        part_of = components(stars_of(part_of).union(more), folder)
+        turn += 1
+        weight = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 40))
+        following = folder.keep(open_buckets(still_open.select("key", "node", weight.alias("weight")), part_of))
+        folder.drop(still_open)
+        still_open = following
+        if more.count() * ENOUGH <= pairs.count():
+            break
     small = still_open.where(c("n") <= SMALL)
     one, other = small.alias("one"), small.alias("other")
     pairs = one.join(
@@ -445,9 +468,7 @@ def grouped(docs: DataFrame, words: int, percent: int, folder: Written) -> DataF
     ).distinct()
     more = folder.keep(verified(pairs, texts, words, percent))
     if not more.isEmpty():
-        # The stars found so far connect what all earlier links do.
-        stars = part_of.select(c("node").alias("a"), c("component").alias("b"))
-        part_of = components(stars.union(more), folder)
+        part_of = components(stars_of(part_of).union(more), folder)
     joined = members.join(part_of.withColumnRenamed("node", "speaker"), "speaker", "left").select(
         "node", "doc_id", F.coalesce("component", "speaker").alias("component")
     )
@@ -462,7 +483,7 @@ def grouped(docs: DataFrame, words: int, percent: int, folder: Written) -> DataF
         .withColumn("component_id", F.coalesce("component_id", "doc_id"))
         .join(found.select("node", "n_shingles", unnamed), "node")
     )
-    folder.drop(found, classes, members, buckets, minima_of, texts, links, still_open, more, named)
+    folder.drop(found, classes, members, buckets, minima_of, texts, still_open, more, named)
     return out
 
 
