@@ -55,11 +55,11 @@ def permuted_columns(
 ) -> DataFrame:
     """Beside each feature the value of another row, ``_other_<feature>``.
 
-    Rows are put in hash order and every row takes its successor's values; the
-    last one takes the first one's.  That is a permutation without a local sort
+    Rows are put in the order of a hash of seed and key, and every row takes its successor's
+    values; the last one takes the first one's.  That is a permutation without a local sort
     of everything.
     """
-    mixed = df.withColumn("_mix", F.xxhash64(F.col(key), F.lit(seed)))
+    mixed = df.withColumn("_mix", F.md5(F.concat_ws(":", F.lit(seed), F.col(key)).cast("binary")))
     arranged = arrange(mixed, [], ["_mix", key], rows_per_cut)
     first = arranged.rows.agg(
         F.min_by(F.struct(*features), F.struct("_mix", key)).alias("_first")
@@ -78,16 +78,28 @@ def permuted_columns(
     )
 
 
+def swapped_rows(rows: DataFrame, features: Sequence[str], label: str = LABEL) -> DataFrame:
+    """Each row as it is (``feature`` NULL) and once per feature with that one's other value."""
+    versions = [F.struct(F.lit(None).cast("string").alias("feature"), *[F.col(c) for c in features])]
+    versions += [
+        F.struct(F.lit(one).alias("feature"), *[F.col(f"_other_{c}" if c == one else c).alias(c) for c in features])
+        for one in features
+    ]
+    return rows.select(label, F.explode(F.array(*versions)).alias("_row")).select(label, "_row.*")
+
+
 def permutation_importance(
     df: DataFrame, fitted, features: Sequence[str], key: str, model: str, seed: int = 42
 ) -> DataFrame:
-    """Increase of the RMSE when one feature's values are permuted."""
-    spark = df.sparkSession
+    """Increase of the RMSE when one feature's values are permuted.
+
+    Every row is scored with each feature swapped in turn, in one job; the errors are one
+    aggregate by feature.
+    """
     rows = permuted_columns(df, features, key, seed)
-    base = error_metrics(fitted.transform(df)).first()["rmse"]
-    out = []
-    for feature in features:
-        swapped = rows.withColumn(feature, F.col(f"_other_{feature}")).select(*features, LABEL)
-        worse = error_metrics(fitted.transform(swapped)).first()["rmse"]
-        out.append((model, feature, worse - base))
-    return spark.createDataFrame(out, IMPORTANCE_SCHEMA)
+    errors = error_metrics(fitted.transform(swapped_rows(rows, features)), ["feature"]).select("feature", "rmse")
+    base = errors.filter("feature IS NULL").select(F.col("rmse").alias("base"))
+    worse = errors.filter("feature IS NOT NULL").crossJoin(F.broadcast(base))  # one row
+    return worse.select(
+        F.lit(model).alias("model"), "feature", (F.col("rmse") - F.col("base")).alias("importance")
+    )

@@ -76,8 +76,8 @@ class Carry:
             .filter(F.col("event_date") < F.to_date("_since"))
             .withColumn("_later", F.coalesce(F.sum("n").over(back), F.lit(0))).filter(F.col("_later") < rows)
         )
-        oldest = needed.agg(F.min("event_date")).first()[0]
-        return oldest or changed.agg(F.min(F.to_date("_since"))).first()[0]
+        since = changed.select(F.to_date("_since").alias("event_date"))
+        return needed.select("event_date").union(since).agg(F.min("event_date")).first()[0]
 
     def average(self, rows: DataFrame, state: DataFrame | None, longest: int | None = None) -> DataFrame:
         """``rows`` (from the start of each series' first changed day on) with their averages."""

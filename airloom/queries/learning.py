@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airloom.ml import explain, forecast, models, validate
+from airloom.ml.boost import AdaBoostR2
 from airloom.ml.neighbours import NearestNeighbours
 from airloom.ml.prepare import LABEL, column_medians, labelled, standard_scale
 from airloom.operators import reshape, windows
 from airloom.operators.cuts import HOURLY_GRID_ROWS
-from airloom.plans.features import training_columns
+from airloom.plans import runs
+from airloom.plans.features import feature_frame, training_columns
 from airloom.queries.common import HOURLY_SQL, R, TS, hourly, present, table
-from airloom.session import materialise
+from airloom.schemas import SERIES
+from airloom.session import materialise, shared_folder
 
 QUERIES, ORACLES = {}, {}
 
@@ -286,6 +290,60 @@ def batch_scores(spark, sf_dir):
     return present(scored.select("series_key", "datetime", "prediction"))
 
 
+@query(
+    "saved_models",
+    " UNION ALL ".join(
+        f"""SELECT '{m}' AS model, {v}::BIGINT AS version, count(*)::BIGINT AS n, count(*)::BIGINT AS alike
+            FROM (SELECT DISTINCT event_type, date_trunc('hour', ts) FROM events)"""
+        for m, v in (("AdaBoost", 1), ("KNN", 1), ("Ridge", 1), ("Ridge", 2))
+    ),
+)
+def saved_models(spark, sf_dir):
+    """Models saved, registered, loaded by name and version, and scored as before they were saved."""
+    rows = materialise(training_rows(spark, sf_dir), "scored")
+    clean = labelled(rows, "aqi", LAGGED)
+    place = f"{shared_folder(spark)}/airloom/models-{uuid.uuid4().hex}"
+    factories = {"AdaBoost": lambda train: AdaBoostR2(rounds=5), "KNN": models.nearest_neighbours, "Ridge": models.ridge}
+    out = []
+    for name, times in (("AdaBoost", 1), ("KNN", 1), ("Ridge", 2)):
+        fitted = validate.fit(clean, column_medians(clean, LAGGED), factories[name])
+        for _ in range(times):
+            version = runs.save_and_register(spark, fitted, f"{place}/registry", place, name, {"n": float(times)})
+            again = runs.load_model(spark, f"{place}/registry", name, version)
+            before, after = (
+                validate.score(rows, m, LAGGED).select("series_key", "datetime", F.col("prediction").alias(p))
+                for m, p in ((fitted, "before"), (again, "after"))
+            )
+            both = before.join(after, ["series_key", "datetime"])
+            out.append(both.agg(
+                F.lit(name).alias("model"), F.lit(version).alias("version"), F.count(F.lit(1)).alias("n"),
+                F.count_if(F.abs(F.col("before") - F.col("after")) < 1e-9).alias("alike"),
+            ))
+    return present(reduce(DataFrame.unionByName, out))
+
+
+@query(
+    "train_and_score",
+    """SELECT event_type AS series_key, 'Ridge' AS model, 1::BIGINT AS version, 100::BIGINT AS features,
+       count(DISTINCT date_trunc('hour', ts))::BIGINT AS scored FROM events GROUP BY 1""",
+)
+def train_and_score(spark, sf_dir):
+    """Observations to features, to a trained and registered model, to its scores."""
+    frame = feature_frame(hourly(spark, sf_dir), longest=HOURLY_GRID_ROWS)
+    place = f"{shared_folder(spark)}/airloom/trained-{uuid.uuid4().hex}"
+    features = materialise(frame, "features")
+    out = runs.training(
+        spark, features, f"{place}/registry", place, models={"Ridge": models.ridge, "XGBoost": None}, leave_out=[SERIES]
+    )
+    scored = runs.scoring(spark, features, f"{place}/registry", out["best_model"], out["version"], [SERIES])
+    return present(
+        scored.groupBy(SERIES).agg(
+            F.lit(out["best_model"]).alias("model"), F.lit(out["version"]).alias("version"),
+            F.lit(out["n_features"]).alias("features"), F.count("prediction").alias("scored"),
+        )
+    )
+
+
 @query("tree_importance")
 def tree_importance(spark, sf_dir):
     clean = labelled(training_rows(spark, sf_dir), "aqi", LAGGED)
@@ -301,6 +359,44 @@ def permutation_importance(spark, sf_dir):
     return present(explain.permutation_importance(keyed, fitted, LAGGED, "row_key", "Ridge"))
 
 
+class Formula:
+    """A linear model with given weights, scored like a fitted one."""
+
+    def __init__(self, weights, intercept):
+        self.weights, self.intercept = weights, intercept
+
+    def transform(self, df):
+        total = reduce(lambda a, b: a + b, [F.col(c) * w for c, w in self.weights.items()])
+        return df.withColumn("prediction", total + self.intercept)
+
+
+LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
+FORMULA = {"l_quantity": 1.5, "l_tax": 20.0, "l_discount": -4.0}
+
+
+def formula_sql(swapped=None) -> str:
+    """RMSE of the formula, one column swapped with the next row's in hash order."""
+    y = " + ".join(f"{w} * {'o_' if c == swapped else ''}{c}" for c, w in FORMULA.items())
+    return f"(SELECT sqrt(avg(power(y - ({y}), 2))) FROM x)"
+
+
+@query(
+    "permutation_importance_linear",
+    f"""WITH k AS (SELECT *, l_extendedprice / 1000 AS y, concat_ws('|', {', '.join(LINE_KEY)}) AS key FROM lineitem),
+        o AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || key), key) AS n, count(*) OVER () AS total FROM k),
+        x AS (SELECT a.*, {', '.join(f'b.{c} AS o_{c}' for c in FORMULA)} FROM o a JOIN o b ON b.n = a.n % a.total + 1) """
+    + " UNION ALL ".join(
+        f"SELECT 'Formula' AS model, '{c}' AS feature, {R(f'{formula_sql(c)} - {formula_sql()}')} AS importance" for c in FORMULA
+    ),
+)
+def permutation_importance_linear(spark, sf_dir):
+    """A model whose errors under swapped columns SQL can say."""
+    rows = table(spark, sf_dir, "lineitem").withColumns({
+        LABEL: F.col("l_extendedprice") / 1000, "row_key": F.concat_ws("|", *LINE_KEY),
+    })
+    return present(explain.permutation_importance(rows, Formula(FORMULA, 0.0), list(FORMULA), "row_key", "Formula"))
+
+
 @query("model_forecast")
 def model_forecast(spark, sf_dir):
     """One, twenty-four and seventy-two hours ahead of each series' newest hour."""
@@ -319,8 +415,6 @@ def model_forecast(spark, sf_dir):
 )
 def count_training_columns(spark, sf_dir):
     """How many columns of the feature frame enter training, and on how many rows."""
-    from airloom.plans.features import feature_frame
-
     frame = feature_frame(hourly(spark, sf_dir), longest=HOURLY_GRID_ROWS)
     chosen = training_columns(frame, leave_out=["series_key"])
     matrix = labelled(frame, "aqi", chosen)
