@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from airloom.functions import atmosphere, bands, calendar
+from airloom.ml import forecast
 from airloom.operators import joins
 from airloom.queries.common import (
     HOURLY_SQL, R, TS, WEATHER_SQL, hourly, present, table, weather_lines,
@@ -315,6 +316,8 @@ def level_case(pick, thresholds=bands.THRESHOLDS) -> str:
 
 
 RAISED = {**bands.THRESHOLDS, "hazardous": 400}
+# Within reach of the observations, so that every level occurs.
+LOWERED = {**bands.THRESHOLDS, "good": 40, "moderate": 60, "unhealthy_sensitive": 80, "unhealthy": 100, "very_unhealthy": 120, "hazardous": 140}
 
 
 @query(
@@ -372,22 +375,21 @@ def banner_alerts(spark, sf_dir):
 
 @query(
     "forecast_alerts",
-    f"""WITH d AS (SELECT CAST(ts AS DATE) AS day, max(value) AS value FROM events GROUP BY 1),
-        l AS (SELECT day, {level_case(lambda e: repr(e[0]), RAISED)} AS level FROM d)
-        SELECT strftime(day, '%Y-%m-%d') AS day,
+    f"""WITH h AS (SELECT series_key, datetime, aqi, row_number() OVER (PARTITION BY series_key ORDER BY datetime DESC) AS back,
+               max(datetime) OVER (PARTITION BY series_key) AS last FROM ({HOURLY_SQL})),
+        f AS (SELECT series_key, last + ahead * INTERVAL 1 HOUR AS t, aqi FROM h, range(1, 73) r(ahead)
+              WHERE back <= 24 AND (ahead - 1) % 24 = 24 - back),
+        d AS (SELECT series_key, CAST(t AS DATE) AS day, max(aqi) AS value FROM f GROUP BY 1, 2),
+        l AS (SELECT *, {level_case(lambda e: repr(e[0]), LOWERED)} AS level FROM d)
+        SELECT series_key, strftime(day, '%Y-%m-%d') AS day, {R('value')} AS highest, level,
                level IN ('hazardous', 'very_unhealthy', 'unhealthy') AS has_alert,
                strftime(day, '%A, %b %d') AS day_name FROM l""",
 )
 def forecast_alerts(spark, sf_dir):
-    days = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day")).agg(
-        F.max("value").alias("value")
-    )
-    level = bands.alert(F.col("value"), RAISED)["level"]
-    return days.select(
-        bands.day_text(F.col("day")).alias("day"),
-        bands.is_banner(level).alias("has_alert"),
-        bands.weekday_text(F.col("day")).alias("day_name"),
-    )
+    """Alerts on the next three days of each series, as the last day's repetition forecasts them."""
+    rows = hourly(spark, sf_dir).select("series_key", "datetime", "aqi")
+    ahead = forecast.seasonal_forecast(rows, "aqi", ["series_key"], "datetime")
+    return present(forecast.daily_alerts(ahead, ["series_key"], "datetime", LOWERED))
 
 
 @query(

@@ -1,5 +1,7 @@
 """Models against numpy; splits, neighbours, boosting, explanation."""
 
+import datetime as dt
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -7,6 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from airloom.functions import bands
 from airloom.ml import explain, forecast, models, validate
 from airloom.ml.boost import AdaBoostR2, weighted_median
 from airloom.ml.neighbours import NearestNeighbours
@@ -220,3 +223,39 @@ def test_tree_queries_measure_every_fold(spark):
 
     rows = learning.QUERIES["random_forest"](spark, "/root/testdata/sf0.001").collect()
     assert sorted(r.fold for r in rows) == [0, 1, 2, 3, 4]
+
+
+def test_forecast_intervals_hold_what_they_promise(spark):
+    """Noise that grows with the horizon: each horizon's interval covers its share of unseen rows."""
+    rng, start, n = np.random.default_rng(8), dt.datetime(2024, 1, 1), 700
+    x, level = [], 50.0
+    for _ in range(n + 60):
+        level = 50 + 0.9 * (level - 50) + rng.normal(0, 2)
+        x.append(level)
+    known = [("s", start + dt.timedelta(hours=i), float(v), float(x[i - 1] if i else v)) for i, v in enumerate(x[:n])]
+    df = spark.createDataFrame(known, "series_key string, datetime timestamp, aqi double, before double")
+    features, keys, order = ["aqi", "before"], ["series_key"], ["datetime"]
+    found = {r.hours_ahead: r for r in forecast.forecast(df, features, "aqi", keys, order, models.ridge, (1, 6), 0.8).collect()}
+    assert found[6].upper - found[6].lower > 1.5 * (found[1].upper - found[1].lower)
+    ahead = forecast.labelled_ahead(df, features, "aqi", keys, order, (1, 6))
+    for h in (1, 6):
+        residuals = forecast.held_out_residuals(ahead, features, "datetime", models.ridge, h, 3).toPandas()["residual"]
+        low, high = found[h].lower - found[h].prediction, found[h].upper - found[h].prediction
+        assert abs(residuals.between(low, high).mean() - 0.8) < 0.01
+        # Rows after the end, predicted as a ridge on everything before would: the width holds there, too.
+        spread = 2 * np.sqrt(sum(0.9 ** (2 * k) for k in range(h)))
+        assert abs((high - low) / (2 * 1.2816 * spread) - 1) < 0.25
+
+
+def test_forecast_days_and_alerts(spark):
+    start = dt.datetime(2024, 1, 1, 0)
+    data = [("s", start + dt.timedelta(hours=i), float(i % 24)) for i in range(60)] + [("t", start, 7.0), ("u", start, None)]
+    df = spark.createDataFrame(data, "series_key string, datetime timestamp, aqi double")
+    out = forecast.seasonal_forecast(df, "aqi", ["series_key"], "datetime", 48).collect()
+    of = {r.datetime: r.prediction for r in out if r.series_key == "s"}
+    assert len(of) == 48 and all(v == t.hour for t, v in of.items())
+    assert [(r.hours_ahead, r.prediction) for r in out if r.series_key == "t"] == [(24, 7.0), (48, 7.0)]
+    alerts = forecast.daily_alerts(df.withColumnRenamed("aqi", "prediction"), ["series_key"], "datetime",
+                                   {**bands.THRESHOLDS, "good": 5, "moderate": 8, "unhealthy_sensitive": 10, "unhealthy": 20, "very_unhealthy": 30, "hazardous": 40})
+    found = {(r.series_key, r.day): (r.highest, r.has_alert) for r in alerts.collect()}
+    assert found["s", "2024-01-01"] == (23.0, True) and found["s", "2024-01-03"] == (11.0, False) and found["u", "2024-01-01"] == (None, False)
