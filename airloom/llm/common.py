@@ -16,6 +16,8 @@ from airloom.session import shared_folder
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
+# Session setting: shuffle files of a query are removed at its end.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,10 +33,18 @@ class Written:
         self.count = 0
 
     def keep(self, df: DataFrame) -> DataFrame:
-        """Write ``df`` once and read it back: cuts the lineage, outlives executors."""
+        """Write ``df`` once and read it back: cuts the lineage, outlives executors.
+
+        The shuffle files behind it go with the end of the write, since the table is what is read.
+        """
         self.count += 1
         path = f"{self.base}/{self.count}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(CLEAN_UP, "false")
+        self.spark.conf.set(CLEAN_UP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(CLEAN_UP, before)
         back = self.spark.read.schema(df.schema).parquet(path)
         back.written_to = path
         return back

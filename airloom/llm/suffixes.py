@@ -22,10 +22,11 @@ per batch of a window or known anchor. The hot anchors, which are sent to every
 most one in ``block / (2 * length - gram)`` occurrences of repeated anchors.
 
 Defined results: a null text is empty; windows never cross documents; a document shorter
-than a window keeps all its bytes. Rows that repeat a doc_id are at the same place, so none
-is earlier than the other and they are judged against other documents alike. A row without
-doc_id is neither compared nor cut. An empty table gives an empty result. Extra columns are
-ignored.
+than a window keeps all its bytes. Rows that repeat a doc_id are one document: equal rows are at the
+same place, so none is earlier than the other; of different texts each is cut at its own
+places, where its bytes start earlier in a smaller doc_id or in one of the document's texts. A row
+without doc_id is neither compared nor cut. Texts of any length are read whole. An empty table
+gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -190,11 +191,11 @@ def repeated_anchors(rows: DataFrame, most: int) -> DataFrame:
     )
 
 
-CONTEXT = "key long, doc long, begin long, size long, at long, context binary"
+CONTEXT = "key long, doc long, version int, begin long, size long, at long, context binary"
 
 
 def windows(
-    raw: bytes, length: int, first: np.ndarray, last: np.ndarray, doc: np.ndarray, begin: np.ndarray
+    raw: bytes, length: int, first: np.ndarray, last: np.ndarray, doc: np.ndarray, version: np.ndarray, begin: np.ndarray
 ) -> list[pa.Array]:
     """The columns of CONTEXT for the windows that start from ``first`` to ``last``.
 
@@ -203,7 +204,7 @@ def windows(
     n = last - first + 1
     of = np.repeat(np.arange(len(n)), n)
     step = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-    doc, place, start = doc[of], begin[of] + step, (first[of] + step).tolist()
+    doc, version, place, start = doc[of], version[of], begin[of] + step, (first[of] + step).tolist()
     digests = b"".join(hashlib.blake2b(raw[p : p + length], digest_size=16).digest() for p in start)
     high, low = np.frombuffer(digests, np.int64).reshape(-1, 2).T
     order = np.lexsort((place, doc, low, high))
@@ -216,7 +217,7 @@ def windows(
     at = np.concatenate([lead, begins])
     size = np.concatenate([np.full(len(lead), length), ends - begins + length])
     return [
-        pa.array(high[at]), pa.array(doc[at]), pa.array(place[at]), pa.array(size, pa.int64()),
+        pa.array(high[at]), pa.array(doc[at]), pa.array(version[at]), pa.array(place[at]), pa.array(size, pa.int64()),
         pa.array(np.full(len(at), -1)),
         pa.array([*(digests[16 * i : 16 * i + 16] for i in lead), *[None] * len(begins)], pa.binary()),
     ]
@@ -242,9 +243,10 @@ def contexts(marked: DataFrame, length: int, gram: int) -> DataFrame:
             chosen = np.isin(name(hashes.copy(), of), name(keys.copy(), owner))
             first, last, anchor, hashes, of = (x[chosen] for x in (first, last, anchor, hashes, of))
             doc = np.asarray(batch.column("doc"), np.int64)[of]
+            version = np.asarray(batch.column("version"), np.int32)[of]
             order = np.lexsort((first - offsets[of], doc))
-            first, last, anchor, hashes, of, doc = (
-                x[order] for x in (first, last, anchor, hashes, of, doc)
+            first, last, anchor, hashes, of, doc, version = (
+                x[order] for x in (first, last, anchor, hashes, of, doc, version)
             )
             end = last + length
             sums, down = prefix_hashes(data)
@@ -256,17 +258,17 @@ def contexts(marked: DataFrame, length: int, gram: int) -> DataFrame:
             again = (doc != doc[lead]) | (begin != begin[lead])
             raw = data.tobytes()
             apart = ~again & np.isin(hashes.view(np.int64), np.asarray(batch.column("hot").flatten(), np.int64))
-            names = ["key", "doc", "begin", "size", "at", "context"]
+            names = ["key", "doc", "version", "begin", "size", "at", "context"]
             if apart.any():
                 yield pa.RecordBatch.from_arrays(
-                    windows(raw, length, first[apart], last[apart], doc[apart], begin[apart]), names
+                    windows(raw, length, first[apart], last[apart], doc[apart], version[apart], begin[apart]), names
                 )
-            first, end, anchor, hashes, doc, begin, again = (
-                x[~apart] for x in (first, end, anchor, hashes, doc, begin, again)
+            first, end, anchor, hashes, doc, version, begin, again = (
+                x[~apart] for x in (first, end, anchor, hashes, doc, version, begin, again)
             )
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(hashes.view(np.int64)), pa.array(doc), pa.array(begin),
+                    pa.array(hashes.view(np.int64)), pa.array(doc), pa.array(version), pa.array(begin),
                     pa.array(end - first), pa.array(anchor - first),
                     pa.array(
                         [None if a else raw[b:e] for a, b, e in zip(again, first, end, strict=True)],
@@ -348,8 +350,9 @@ def common_prefixes(
 class Shard:
     """Windows of one block of contexts in sorted order, each distinct one with its first place."""
 
-    def __init__(self, rows: list[tuple[int, int, bytes]], length: int) -> None:
+    def __init__(self, rows: list[tuple[int, int, bytes, int]], length: int) -> None:
         sizes = np.array([len(r[2]) for r in rows], np.int64)
+        self.version = np.array([r[3] for r in rows], np.int32)
         self.ends = np.cumsum(sizes)
         self.begins = self.ends - sizes
         self.text = np.frombuffer(b"".join(r[2] for r in rows), np.uint8)
@@ -387,13 +390,13 @@ def runs(positions: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def repeated_stretches(rows: DataFrame, length: int, block: int = BLOCK) -> DataFrame:
-    """(doc, begin, end) of every stretch that repeats an earlier one."""
+    """(doc, version, begin, end) of every stretch that repeats an earlier one."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[tuple[int, int, int]] = []
-        pending: list[tuple[int, int, bytes]] = []  # contexts of finished groups of two or more
+        found: list[tuple[int, int, int, int]] = []
+        pending: list[tuple[int, int, bytes, int]] = []  # contexts of finished groups of two or more
         waiting = 0
-        group: list[tuple[int, int, bytes]] = []
+        group: list[tuple[int, int, bytes, int]] = []
         seen: dict[tuple[int, bytes], tuple[int, int]] = {}
         key, group_size = None, 0
 
@@ -403,7 +406,7 @@ def repeated_stretches(rows: DataFrame, length: int, block: int = BLOCK) -> Data
             of = shard.of[begins] if len(begins) else begins
             found.extend(
                 zip(
-                    shard.doc[of].tolist(), (shard.place[of] + begins).tolist(),
+                    shard.doc[of].tolist(), shard.version[of].tolist(), (shard.place[of] + begins).tolist(),
                     (shard.place[of] + ends + length).tolist(), strict=True,
                 )
             )
@@ -416,17 +419,18 @@ def repeated_stretches(rows: DataFrame, length: int, block: int = BLOCK) -> Data
             group, seen, group_size = [], {}, 0
 
         def output() -> pa.RecordBatch:
-            columns = list(zip(*found, strict=True)) or [(), (), ()]
+            columns = list(zip(*found, strict=True)) or [(), (), (), ()]
             found.clear()
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], ["doc", "begin", "end"]
+                [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], ["doc", "version", "begin", "end"]
             )
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("key", "doc", "begin", "size", "at", "context")]
-            for k, doc, begin, size, at, context in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("key", "doc", "version", "begin", "size", "at", "context")]
+            for k, doc, version, begin, size, at, context in zip(*columns, strict=True):
                 if context is None:
-                    found.append((doc, begin, begin + size))
+                    found.append((doc, version, begin, begin + size))
                     continue
                 if k != key:
                     close_group()
@@ -436,9 +440,9 @@ def repeated_stretches(rows: DataFrame, length: int, block: int = BLOCK) -> Data
                         pending, waiting = [], 0
                 lead = seen.setdefault((at, context), (doc, begin))
                 if lead != (doc, begin):
-                    found.append((doc, begin, begin + size))
+                    found.append((doc, version, begin, begin + size))
                 elif at >= 0:
-                    group.append((doc, begin, context))
+                    group.append((doc, begin, context, version))
                     group_size += size
             if found:
                 yield output()
@@ -453,7 +457,7 @@ def repeated_stretches(rows: DataFrame, length: int, block: int = BLOCK) -> Data
         rows.withColumn("spread", spread).repartition("key", "spread").drop("spread")
         .sortWithinPartitions("key", "doc", "begin")
     )
-    return ordered.mapInArrow(run, "doc long, begin long, end long")
+    return ordered.mapInArrow(run, "doc long, version int, begin long, end long")
 
 
 def cut(marked: DataFrame) -> DataFrame:
@@ -507,15 +511,27 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     found = folder.keep(summaries(docs, length, gram))
     again = folder.keep(repeated(anchor_rows(found)))
     keys = repeated_anchors(again, block // (2 * length - gram))
+    # Different texts of one doc_id are told apart by their place among its hashes.
+    several = folder.keep(
+        found.where("doc_id is not null").groupBy(c("doc_id").cast("long").alias("doc"))
+        .agg(F.sort_array(F.collect_set("whole")).alias("wholes")).where(F.size("wholes") > 1)
+    )
     texts = docs.select(c("doc_id").cast("long").alias("doc"), "text")
-    marked = folder.keep(texts.join(keys, "doc"))
-    folder.drop(again)
+    place = F.array_position("wholes", F.sha2(F.coalesce("text", F.lit("")), 256)).cast("int")
+    version = F.when(c("wholes").isNotNull(), place).otherwise(0)
+    marked = folder.keep(
+        texts.join(keys, "doc").join(several, "doc", "left").select("doc", "text", "keys", "hot", version.alias("version"))
+    )
+    folder.drop(again, several)
     stretches = repeated_stretches(contexts(marked, length, gram), length, block)
-    by_doc = stretches.groupBy("doc").agg(
-        F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("stretches")
+    by_doc = folder.keep(
+        stretches.groupBy("doc", "version").agg(
+            F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("stretches")
+        )
     )
-    lost = cut(marked.select("doc", "text").join(by_doc, "doc").select("doc", "text", "stretches"))
-    lost = lost.dropDuplicates(["doc", "whole"])
+    lost = cut(marked.select("doc", "version", "text").join(by_doc, ["doc", "version"]).select("doc", "text", "stretches"))
+    lost = folder.keep(lost.dropDuplicates(["doc", "whole"]))
+    folder.drop(marked, by_doc)
     whole = found.select(c("doc_id"), "n_bytes", c("whole").alias("of_whole"))
     return whole.join(
         lost, (c("doc_id") == c("doc")) & (c("of_whole") == c("whole")), "left"

@@ -227,6 +227,24 @@ def test_repeats_leave_rows_of_one_id_alike(make_docs):
     assert sorted((r.doc_id, r.n_removed) for r in found) == [(1, 0), (2, 400), (2, 400)]
 
 
+def test_repeats_are_cut_from_their_own_text(make_docs):
+    """Different texts of one id: what repeats in one is not cut out of the other."""
+    rng = random.Random(12)
+    a, b = ("".join(rng.choices("abcdefghij", k=400)) for _ in range(2))
+    found = suffixes.remove_repeats(make_docs([(1, a), (2, a), (2, b), (3, "x" + b[:150])])).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed) for r in found) == [(1, 400, 0), (2, 400, 0), (2, 400, 400), (3, 151, 150)]
+    kept = {r.kept_sha256 for r in found if r.doc_id == 2}
+    assert kept == {hashlib.sha256(x).hexdigest() for x in (b"", b.encode())}
+
+
+def test_repeats_in_a_long_text(make_docs):
+    rng = random.Random(13)
+    passage = "".join(rng.choices("abcdefgh ", k=30_000))
+    long = passage + "".join(rng.choices("abcdefgh ", k=40_000)) + passage[:20_000] + "é" * 500
+    rows = [(1, long), (2, "y" + passage[5_000:29_000]), (3, "é" * 300)]
+    assert removed(suffixes.remove_repeats(make_docs(rows))) == removed_by_hand(rows, 100)
+
+
 def test_contexts_of_a_hot_anchor_do_not_meet(make_docs):
     """One passage in every document, with different text around it: block 512 holds 25 contexts."""
     rng = random.Random(4)
@@ -236,6 +254,6 @@ def test_contexts_of_a_hot_anchor_do_not_meet(make_docs):
     assert removed(suffixes.remove_repeats(docs, length=12, gram=4, block=512)) == removed_by_hand(rows, 12)
     again = suffixes.repeated(suffixes.anchor_rows(suffixes.summaries(docs, 12, 4)))
     keys = suffixes.repeated_anchors(again, 25)
-    texts = docs.select(F.col("doc_id").alias("doc"), "text")
+    texts = docs.select(F.col("doc_id").alias("doc"), "text", F.lit(0).alias("version"))
     found = suffixes.contexts(texts.join(F.broadcast(keys), "doc"), 12, 4).where("context is not null")
     assert found.groupBy("key").count().agg(F.max("count")).first()[0] <= 25
