@@ -34,50 +34,61 @@ MAX_PARTS = 8
 EMA_BLOCK = MAX_PARTS**4
 
 
-def composition(sizes: Iterable[int]) -> dict[int, int]:
-    """For every frame size the shorter size (1 = the row itself) to build it from.
+def composition(sizes: Iterable[int]) -> dict[int, tuple[int, ...]]:
+    """For every frame size the adjacent shorter frames (1 = the row itself) it is built from.
 
-    Helper sizes are put in where a size has no divisor near enough.
+    Helper sizes are put in where a size has no divisor near enough; a size without divisors,
+    such as a large prime, is seven frames of a helper size and one of the rest.
     """
-    built: dict[int, int] = {}
+    built: dict[int, tuple[int, ...]] = {}
 
     def place(size: int) -> None:
+        if size in built or size == 1:
+            return
         divisors = [1, *(s for s in built if size % s == 0)]
         few = [d for d in divisors if size // d <= MAX_PARTS]
         if few:
-            built[size] = min(few)
+            built[size] = (min(few),) * (size // min(few))
             return
         unit = max(divisors)
         steps = [f for f in range(MAX_PARTS, 1, -1) if (size // unit) % f == 0]
         if steps:
-            built[unit * steps[0]] = unit
+            built[unit * steps[0]] = (unit,) * steps[0]
             place(size)
-        else:
-            built[size] = unit
+            return
+        part, rest = divmod(size, MAX_PARTS - 1)
+        place(part)
+        if rest:
+            place(rest)
+        built[size] = (part,) * (MAX_PARTS - 1) + ((rest,) if rest else ())
 
     for size in sorted(set(sizes) - {1}):
-        if size not in built:
-            place(size)
+        place(size)
     return built
 
 
-def _levels(built: dict[int, int]) -> list[list[int]]:
+def _places(parts: Sequence[int]) -> list[tuple[int, int]]:
+    """(frame size, how many rows back it ends) of adjacent frames, the newest first."""
+    ends = [sum(parts[:i]) for i in range(len(parts))]
+    return list(zip(parts, ends))
+
+
+def _levels(built: dict[int, tuple[int, ...]]) -> list[list[int]]:
     depth = {1: 0}
-    for size in sorted(built):  # a frame is longer than the one it is built from
-        depth[size] = depth[built[size]] + 1
+    for size in sorted(built):  # a frame is longer than those it is built from
+        depth[size] = 1 + max(depth[part] for part in built[size])
     deepest = max(depth.values())
     return [[s for s in built if depth[s] == d] for d in range(1, deepest + 1)]
 
 
-def _merge(size: int, unit: int, spread: bool, extremes: bool) -> tuple[list, list]:
-    """SQL for the statistics of ``size`` rows out of adjacent ``unit``-row frames.
+def _merge(size: int, parts: Sequence[int], spread: bool, extremes: bool) -> tuple[list, list]:
+    """SQL for the statistics of ``size`` rows out of those of adjacent shorter frames.
 
     ``n`` counts values, ``m`` is their mean and ``q`` the squared deviations from
     it; merging means and deviations keeps every digit where sums of squares
     would cancel.  ``q`` needs the merged mean, hence the second list.
     """
-    offsets = range(unit, size, unit)
-    part = {f: [f"_{f}_{unit}", *(f"_{f}_{unit}_{o}" for o in offsets)]
+    part = {f: [f"_{f}_{u}_{o}" if o else f"_{f}_{u}" for u, o in _places(parts)]
             for f in ("n", "m", "q", "lo", "hi")}
     pairs = list(zip(part["n"], part["m"]))
     n = " + ".join(part["n"])
@@ -110,8 +121,8 @@ def _framed(
     full = composition(sizes)
     built = composition([*sizes, *means]) | full
     for level in _levels(built):
-        reads = {(built[s], o) for s in level for o in range(built[s], s, built[s])}
-        whole = {(full[s], o) for s in level if s in full for o in range(full[s], s, full[s])}
+        reads = {(u, o) for s in level for u, o in _places(built[s]) if o}
+        whole = {(u, o) for s in level if s in full for u, o in _places(full[s]) if o}
         kept = rows.columns
         rows = rows.select(
             "*",

@@ -225,24 +225,21 @@ def median_impute(spark, sf_dir):
 
 # --- joins ------------------------------------------------------------------
 
+# Views against every other row, so that no event is left out.
 SIDES_SQL = """a AS (SELECT user_id, hour(ts) AS hour, max(value) AS aqi, min(value) AS pm25 FROM events
                      WHERE event_type = 'view' GROUP BY 1, 2),
     b AS (SELECT user_id, hour(ts) AS hour, max(CASE WHEN value > 20 THEN value END) AS aqi,
-                 count(*)::BIGINT AS readings FROM events WHERE event_type = 'click' GROUP BY 1, 2)"""
-
-
-# Views against every other row, so that no event is left out.
-ALL_SIDES_SQL = SIDES_SQL.replace("event_type = 'click'", "event_type IS DISTINCT FROM 'view'")
+                 count(*)::BIGINT AS readings FROM events WHERE event_type IS DISTINCT FROM 'view' GROUP BY 1, 2)"""
 REST = "NOT (event_type <=> 'view')"
 
 
-def sides(spark, sf_dir, rest="event_type = 'click'"):
+def sides(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     by = ["user_id", F.hour("ts").alias("hour")]
     first = events.filter("event_type = 'view'").groupBy(*by).agg(
         F.max("value").alias("aqi"), F.min("value").alias("pm25")
     )
-    second = events.filter(rest).groupBy(*by).agg(
+    second = events.filter(REST).groupBy(*by).agg(
         F.max(F.when(F.col("value") > 20, F.col("value"))).alias("aqi"),
         F.count(F.lit(1)).cast("double").alias("readings"),
     )
@@ -275,8 +272,8 @@ def source_merge_overwriting(spark, sf_dir):
     f"""WITH {SIDES_SQL} SELECT user_id, 'station' AS name, {R('24.5')} AS latitude,
         {doubles(aqi='coalesce(b.aqi, a.aqi)', readings='readings')} FROM a FULL JOIN b USING (user_id, hour)""",
 )
-def combined_snapshot(spark, sf_dir, rest="event_type = 'click'"):
-    first, second = sides(spark, sf_dir, rest)
+def combined_snapshot(spark, sf_dir):
+    first, second = sides(spark, sf_dir)
     merged = joins.merge_sources(first, second, ["user_id", "hour"])
     record = joins.snapshot(
         merged, {"name": "station", "latitude": 24.5}, ["user_id", "readings"], ["aqi", "pm25"]
@@ -286,34 +283,9 @@ def combined_snapshot(spark, sf_dir, rest="event_type = 'click'"):
     )
 
 
-@query(
-    "source_merge_all",
-    f"WITH {ALL_SIDES_SQL} SELECT user_id, hour, {doubles(aqi='coalesce(b.aqi, a.aqi)', pm25='pm25', readings='readings')} "
-    "FROM a FULL JOIN b USING (user_id, hour)",
-)
-def source_merge_all(spark, sf_dir):
-    first, second = sides(spark, sf_dir, REST)
-    return present(joins.merge_sources(first, second, ["user_id", "hour"]))
-
-
-@query(
-    "source_merge_overwriting_all",
-    f"WITH {ALL_SIDES_SQL} SELECT user_id, hour, "
-    + doubles(aqi="CASE WHEN readings IS NOT NULL THEN b.aqi ELSE a.aqi END", pm25="pm25", readings="readings")
-    + " FROM a FULL JOIN b USING (user_id, hour)",
-)
-def source_merge_overwriting_all(spark, sf_dir):
-    first, second = sides(spark, sf_dir, REST)
-    return present(joins.merge_sources(first, second, ["user_id", "hour"], null_overwrites=True))
-
-
-@query(
-    "combined_snapshot_all",
-    f"""WITH {ALL_SIDES_SQL} SELECT user_id, 'station' AS name, {R('24.5')} AS latitude,
-        {doubles(aqi='coalesce(b.aqi, a.aqi)', readings='readings')} FROM a FULL JOIN b USING (user_id, hour)""",
-)
-def combined_snapshot_all(spark, sf_dir):
-    return combined_snapshot(spark, sf_dir, REST)
+# The whole jobs once had names of their own beside cut ones.
+for _name in ("source_merge", "source_merge_overwriting", "combined_snapshot"):
+    QUERIES[f"{_name}_all"], ORACLES[f"{_name}_all"] = QUERIES[_name], ORACLES[_name]
 
 
 @query(
@@ -445,10 +417,34 @@ def latest_snapshot(spark, sf_dir):
     return tables.latest_snapshot(df).select("event_id")
 
 
-@query("newest_file", f"SELECT event_id, {R('value')} AS value FROM events")
+@query(
+    "newest_file",
+    f"SELECT event_id, {R('value')} AS value FROM events WHERE event_id % 3 = 2",
+)
 def newest_file(spark, sf_dir):
-    """The events are one file, so the newest file holds them all."""
-    return present(tables.newest_file(table(spark, sf_dir, "events")).select("event_id", "value"))
+    """Of three files, written one after the other, the last one is read."""
+    import uuid
+
+    folder = f"{shared_folder(spark)}/airloom/files-{uuid.uuid4().hex}"
+    df = table(spark, sf_dir, "events").select("event_id", "value")
+    for k in range(3):
+        df.filter(F.col("event_id") % 3 == k).coalesce(1).write.mode("append").parquet(folder)
+    return present(tables.newest_file(spark, folder))
+
+
+@query(
+    "csv_table",
+    f"SELECT event_id, {TS('ts')} AS ts, {R('value')} AS value FROM events",
+)
+def csv_table(spark, sf_dir):
+    """Rows written as CSV with their times as text, read back under a declared schema."""
+    import uuid
+
+    path = f"{shared_folder(spark)}/airloom/csv-{uuid.uuid4().hex}"
+    df = table(spark, sf_dir, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "value")
+    tables.write_csv(df, path)
+    back = tables.read_table(spark, path, "event_id bigint, ts string, value double", "csv")
+    return present(back.withColumn("ts", F.try_to_timestamp("ts")))
 
 
 @query(
@@ -471,27 +467,37 @@ def stored_days(spark, sf_dir):
 @query(
     "versioned_union",
     f"""SELECT event_id, {R('value')} AS value, NULL::DOUBLE AS doubled, 1::BIGINT AS version FROM events WHERE event_type = 'view'
-        UNION ALL SELECT event_id, {R('value')}, {R('value * 2')}, 2 FROM events WHERE event_type = 'click'""",
+        UNION ALL SELECT event_id, {R('value')}, {R('value * 2')}, 2 FROM events WHERE event_type IS DISTINCT FROM 'view'""",
 )
-def versioned_union(spark, sf_dir, rest="event_type = 'click'"):
+def versioned_union(spark, sf_dir):
     """Two versions of a feature table, the second with one more column."""
+    return present(tables.read_all_versions(spark, two_versions(spark, sf_dir)))
+
+
+def two_versions(spark, sf_dir):
     import uuid
 
     root = f"{shared_folder(spark)}/airloom/versions-{uuid.uuid4().hex}"
     df = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     tables.insert_version(df.filter("event_type = 'view'").drop("event_type"), root, 1)
-    second = df.filter(rest).drop("event_type")
+    second = df.filter(REST).drop("event_type")
     tables.insert_version(second.withColumn("doubled", F.col("value") * 2), root, 2)
-    return present(tables.read_all_versions(spark, root))
+    return root
+
+
+QUERIES["versioned_union_all"], ORACLES["versioned_union_all"] = versioned_union, ORACLES["versioned_union"]
 
 
 @query(
-    "versioned_union_all",
-    f"""SELECT event_id, {R('value')} AS value, NULL::DOUBLE AS doubled, 1::BIGINT AS version FROM events WHERE event_type = 'view'
-        UNION ALL SELECT event_id, {R('value')}, {R('value * 2')}, 2 FROM events WHERE event_type IS DISTINCT FROM 'view'""",
+    "version_fallback",
+    f"""SELECT 7::BIGINT AS asked, event_id, {R('value')} AS value FROM events WHERE event_type IS DISTINCT FROM 'view'
+        UNION ALL SELECT 1, event_id, {R('value')} FROM events WHERE event_type = 'view'""",
 )
-def versioned_union_all(spark, sf_dir):
-    return versioned_union(spark, sf_dir, REST)
+def version_fallback(spark, sf_dir):
+    """A version that is missing gives the fallback's rows, one that is there its own."""
+    root = two_versions(spark, sf_dir)
+    parts = [tables.read_version(spark, root, v, fallback=2).withColumn("asked", F.lit(v)) for v in (7, 1)]
+    return present(parts[0].drop("doubled").unionByName(parts[1]).select("asked", "event_id", "value"))
 
 
 @query(

@@ -410,28 +410,19 @@ def dedup_latest_rows(spark, sf_dir):
 
 @query(
     "asof_join",
-    f"""SELECT l.event_id, r.event_id AS seen_id, {R('r.value')} AS seen_value
-        FROM (SELECT * FROM events WHERE event_type = 'purchase') l
-        ASOF JOIN (SELECT * FROM events WHERE event_type <> 'purchase') r
-        ON l.user_id = r.user_id AND l.ts >= r.ts""",
-)
-def asof_readings(spark, sf_dir):
-    """Purchases with the user's last other event before them, where there is one."""
-    return last_seen(spark, sf_dir).filter("seen_id IS NOT NULL")
-
-
-@query(
-    "asof_join_all",
     f"""SELECT l.event_id, r.event_id::DOUBLE AS seen_id, {R('r.value')} AS seen_value
         FROM (SELECT * FROM events WHERE event_type = 'purchase') l
         ASOF LEFT JOIN (SELECT * FROM events WHERE event_type <> 'purchase') r
         ON l.user_id = r.user_id AND l.ts >= r.ts""",
 )
-def all_asof_readings(spark, sf_dir):
+def asof_readings(spark, sf_dir):
     """Every purchase with the user's last other event before it, or nulls."""
     return last_seen(spark, sf_dir).withColumn("seen_id", F.col("seen_id").cast("double"))
 
 
+QUERIES["asof_join_all"], ORACLES["asof_join_all"] = asof_readings, ORACLES["asof_join"]
+
+
 def last_seen(spark, sf_dir):
     df = per_user(spark, sf_dir)
     left = df.filter("event_type = 'purchase'").select("user_id", "ts", "event_id")

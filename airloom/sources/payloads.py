@@ -72,29 +72,39 @@ def current_weather(df: DataFrame, payload: str, keep: Sequence[str] = ()) -> Da
     )
 
 
+def _accepted() -> Column:
+    return F.coalesce(F.col("_p.status") == "ok", F.lit(False))
+
+
 def station_status(df: DataFrame, payload: str) -> tuple[DataFrame, DataFrame]:
     """Accepted payloads (status ok) and the rest."""
-    ok = F.coalesce(F.get_json_object(payload, "$.status") == "ok", F.lit(False))
-    return df.filter(ok), df.filter(~ok)
+    parsed = df.select("*", F.from_json(payload, STATION_SCHEMA).alias("_p"))
+    return parsed.filter(_accepted()).drop("_p"), parsed.filter(~_accepted()).drop("_p")
 
 
 def station_aqi(df: DataFrame, payload: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Station payloads; a pollutant is a number or an object with field ``v``."""
-    accepted, _ = station_status(df, payload)
+    """Station payloads; a pollutant is a number or an object with field ``v``.
+
+    The text is parsed once, and each pollutant once.
+    """
     data = F.col("_p.data")
 
     def amount(v: Column) -> Column:
         return F.coalesce(F.get_json_object(v, "$.v"), v).try_cast("double")
 
-    return _parsed(accepted, payload, STATION_SCHEMA, keep).select(
+    rows = _parsed(df, payload, STATION_SCHEMA, keep).filter(_accepted()).select(
+        *keep, data.alias("_data"), F.transform_values(data["iaqi"], lambda _, v: amount(v)).alias("pollutants")
+    )
+    data = F.col("_data")
+    return rows.select(
         *keep,
         F.when(data["time"]["s"].isNull(), F.current_timestamp())
         .otherwise(F.try_to_timestamp(data["time"]["s"]))
         .alias("datetime"),
         data["aqi"].alias("aqi"),
-        *[amount(F.try_element_at(data["iaqi"], F.lit(p))).alias(p) for p in STATION_POLLUTANTS],
+        *[F.try_element_at("pollutants", F.lit(p)).alias(p) for p in STATION_POLLUTANTS],
         data["dominentpol"].alias("main_pollutant"),
-        F.transform_values(data["iaqi"], lambda _, v: amount(v)).alias("pollutants"),
+        "pollutants",
         data["forecast"]["daily"].alias("forecast"),
         F.lit("aqicn").alias("source"),
     )

@@ -15,14 +15,15 @@ from airloom.session import materialise
 
 
 def write_features(df: DataFrame, path: str, time: str = "datetime", mode: str = "append") -> None:
-    """Parquet partitioned by day.
+    """Parquet partitioned by day, each file sorted by time.
 
-    Range partitioning on (day, row hash) gives a day as many tasks, and files,
+    Range partitioning on (day, time, row hash) gives a day as many tasks, and files,
     as its share of the rows asks for.
     """
     (
         df.withColumn("event_date", F.to_date(time))
-        .repartitionByRange(F.col("event_date"), F.xxhash64(*_spread(df, time)))
+        .repartitionByRange(F.col("event_date"), F.col(time), F.xxhash64(*_spread(df, time)))
+        .sortWithinPartitions("event_date", time)
         .write.mode(mode)
         .partitionBy("event_date")
         .parquet(path)
@@ -70,15 +71,23 @@ def latest_snapshot(df: DataFrame, snapshot: str = "snapshot_id") -> DataFrame:
     return df.join(F.broadcast(newest), snapshot, "left_semi")
 
 
-def newest_file(df: DataFrame) -> DataFrame:
-    """Rows of the most recently modified file of a file-based frame."""
-    stamped = df.select(
-        "*",
-        F.col("_metadata.file_modification_time").alias("_modified"),
-        F.col("_metadata.file_path").alias("_file"),
-    )
-    chosen = stamped.agg(F.max_by("_file", F.struct("_modified", "_file")).alias("_file"))
-    return stamped.join(F.broadcast(chosen), "_file", "left_semi").drop("_modified", "_file")
+def newest_path(spark: SparkSession, folder: str, suffix: str = "") -> str:
+    """The most recently modified file of a folder, the last by name among equals; lists, reads nothing."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [
+        (s.getModificationTime(), s.getPath().getName(), s.getPath().toString())
+        for s in files.listStatus(base)
+        if s.isFile() and s.getPath().getName().endswith(suffix) and s.getPath().getName()[0] not in "._"
+    ]
+    if not found:
+        raise FileNotFoundError(f"no file {suffix} in {folder}")
+    return max(found)[2]
+
+
+def newest_file(spark: SparkSession, folder: str, form: str = "parquet", schema=None) -> DataFrame:
+    """Rows of the most recently modified file of a folder; no other file is opened."""
+    return read_table(spark, newest_path(spark, folder, f".{form}"), schema, form)
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
@@ -147,8 +156,9 @@ def upsert_days(
     """Idempotent upsert into a table partitioned by day.
 
     Of rows with one key the newest by ``order`` counts, an ingest number for example, and
-    among equals the one whose columns sort last. Only the days the batch touches are read and rewritten (dynamic partition
-    overwrite); the new content is materialised before the old is replaced.
+    among equals the one whose columns sort last. Only the days the batch touches are read and
+    rewritten (dynamic partition overwrite); the new content is materialised before the old is
+    replaced.
     """
     spark = df.sparkSession
     fresh = _one_each(df.withColumn("event_date", F.to_date(time)), keys, order)

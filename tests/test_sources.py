@@ -169,3 +169,41 @@ def test_reshape(spark):
     sample = [r.id for r in reshape.seeded_sample(spark.range(500), "id").collect()]
     again = [r.id for r in reshape.seeded_sample(spark.range(500).repartition(7), "id").collect()]
     assert sorted(sample) == sorted(again) and len(sample) == 100
+
+
+def test_newest_file_is_the_only_one_opened(spark, tmp_path):
+    import os
+
+    folder = tmp_path / "files"
+    for k in range(3):
+        spark.range(k + 1).coalesce(1).write.mode("append").parquet(str(folder))
+    parts = sorted(folder.glob("*.parquet"), key=lambda p: p.stat().st_size)
+    for age, part in zip((50, 30), parts):
+        part.write_bytes(b"no parquet at all")
+        os.utime(part, (10**9 - age, 10**9 - age))
+    os.utime(parts[2], (10**9, 10**9))
+    assert tables.newest_path(spark, str(folder), ".parquet").endswith(parts[2].name)
+    assert tables.newest_file(spark, str(folder)).count() > 0
+    with pytest.raises(FileNotFoundError):
+        tables.newest_path(spark, str(folder), ".csv")
+
+
+def test_stored_files_are_sorted_by_time(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    hours = spark.range(400).select(
+        F.col("id"), (F.lit(dt.datetime(2024, 1, 1)) + F.make_dt_interval(F.lit(0), (F.col("id") * 37 % 96).cast("int"))).alias("datetime"))
+    tables.write_features(hours.repartition(5), str(tmp_path / "f"))
+    files = list((tmp_path / "f").rglob("*.parquet"))
+    assert len({f.parent.name for f in files}) == 4
+    for f in files:
+        times = pq.ParquetFile(f).read(columns=["datetime"]).column(0).to_pylist()
+        assert times == sorted(times)
+
+
+def test_upserts_choose_the_same_row_whatever_the_order(spark, tmp_path):
+    rows = [(1, dt.datetime(2024, 1, 1), 5.0, 2), (1, dt.datetime(2024, 1, 1), 9.0, 1), (1, dt.datetime(2024, 1, 1), 7.0, 2)]
+    for name, part in (("a", rows), ("b", rows[::-1])):
+        df = spark.createDataFrame(part, "k long, datetime timestamp, v double, ingest int").repartition(2)
+        tables.upsert_days(df, str(tmp_path / name), ["k", "datetime"], order=["ingest"])
+        assert [r.v for r in spark.read.parquet(str(tmp_path / name)).collect()] == [7.0]

@@ -193,11 +193,26 @@ def test_any_cut_gives_the_plain_lags(spark, lengths, rows_per_cut, seed):
         )
 
 
+def test_rolling_of_sizes_without_divisors(spark):
+    sizes = (13, 97, 331)
+    out = collect(W.rolling(to_spark(spark, HOT), "v", KEYS, ORDER, sizes))
+    for k in sizes:
+        rolled = HOT.groupby("k")["v"].rolling(k, min_periods=1)
+        for stat in ("mean", "std", "min", "max"):
+            np.testing.assert_allclose(
+                out[f"v_rolling_{stat}_{k}h"].astype(float).to_numpy(), getattr(rolled, stat)().to_numpy(), rtol=1e-9)
+
+
 def test_composition_of_frames():
     built = W.composition([*W.ROLLING_WINDOWS, *W.LONG_WINDOWS])
-    assert all(size % unit == 0 and size // unit <= W.MAX_PARTS for size, unit in built.items())
-    assert W.composition([168]) == {8: 1, 56: 8, 168: 56}
-    assert W.composition([13]) == {13: 1}
+    assert all(len(set(parts)) == 1 for parts in built.values())
+    for sizes in ([*W.ROLLING_WINDOWS, *W.LONG_WINDOWS], [997], [2 * 1009, 31, 5003]):
+        built = W.composition(sizes)
+        assert set(sizes) <= {1, *built}
+        assert all(sum(parts) == size and len(parts) <= W.MAX_PARTS for size, parts in built.items())
+        assert len(built) < 12 * len(sizes)
+    assert W.composition([168]) == {8: (1,) * 8, 56: (8,) * 7, 168: (56,) * 3}
+    assert W.composition([13]) == {6: (1,) * 6, 13: (1,) * 7 + (6,)}
 
 
 def test_ties_need_no_luck(spark):
