@@ -9,6 +9,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 
 from airloom.ml.boost import AdaBoostR2
+from airloom.ml.histboost import HistogramBoosting
 from airloom.ml.neighbours import NearestNeighbours
 from airloom.ml.prepare import FEATURES, LABEL, label_spread
 
@@ -84,6 +85,11 @@ def ada_boost(train: DataFrame) -> Estimator:
     return AdaBoostR2(rounds=50, rate=0.1, depth=3, seed=SEED)
 
 
+def histogram_boosting(train: DataFrame) -> Estimator:
+    """Second-order boosting on binned features, depth 6, l2 of 1."""
+    return HistogramBoosting(rounds=100, depth=6, rate=0.1, l2=1.0)
+
+
 # Model names.  XGBoost and LightGBM, which are not at hand here,
 # are left unavailable rather than passed off as the MLlib variant.
 MODELS: dict[str, Callable[[DataFrame], Estimator] | None] = {
@@ -98,4 +104,5 @@ MODELS: dict[str, Callable[[DataFrame], Estimator] | None] = {
     "XGBoost": None,
     "LightGBM": None,
     "ColumnSampledBoosting": column_sampled_boosting,
+    "HistogramBoosting": histogram_boosting,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from airloom.ml import explain, forecast, models, validate
 from airloom.ml.boost import AdaBoostR2
+from airloom.ml.histboost import HistogramBoosting
 from airloom.ml.neighbours import NearestNeighbours
 from airloom.ml.prepare import LABEL, column_medians, labelled, standard_scale
 from airloom.operators import reshape, windows
@@ -259,6 +260,25 @@ for _name, _model in (
     _register(_name, _model)
 
 
+STEPS_SQL = "CASE WHEN l_quantity > 25 THEN 10 ELSE 2 END + CASE WHEN l_tax > 0.04::DOUBLE THEN 5 ELSE 0 END"
+
+
+@query(
+    "step_boosting",
+    f"SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, {R(STEPS_SQL)} AS prediction FROM lineitem",
+)
+def step_boosting(spark, sf_dir):
+    """Trees of two levels give a target of two steps back exactly."""
+    df = table(spark, sf_dir, "lineitem")
+    steps = F.when(F.col("l_quantity") > 25, 10.0).otherwise(2.0) + F.when(F.col("l_tax") > 0.04, 5.0).otherwise(0.0)
+    features = ["l_quantity", "l_tax", "l_discount"]
+    rows = labelled(df.withColumn("steps", steps), "steps", features, keep=["l_orderkey", "l_linenumber"])
+    fitted = validate.fit(
+        rows, column_medians(rows, features), lambda train: HistogramBoosting(rounds=2, depth=2, rate=1.0, l2=0.0)
+    )
+    return present(fitted.transform(rows).select("l_orderkey", "l_linenumber", "prediction"))
+
+
 @query("leaderboard")
 def leaderboard(spark, sf_dir):
     """Cross-validated linear models; unavailable ones are listed with a reason."""

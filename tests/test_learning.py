@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from airloom.functions import bands
 from airloom.ml import explain, forecast, models, validate
 from airloom.ml.boost import AdaBoostR2, weighted_median
+from airloom.ml.histboost import HistogramBoosting, HistogramBoostingModel
 from airloom.ml.neighbours import NearestNeighbours
 from airloom.ml.prepare import column_medians, labelled, standard_scale
 from airloom.plans.features import feature_frame, training_columns
@@ -168,6 +169,52 @@ def test_saved_models_score_as_before(rows, tmp_path, name):
     assert before == pytest.approx(after, rel=1e-12) and len(before) == N
 
 
+def boosted_by_hand(x, y, rounds, depth, rate, l2):
+    """Exhaustive second-order boosting on all distinct values."""
+    score = np.full(len(y), y.mean())
+
+    def grow(rows, level, g, out):
+        total, n = g[rows].sum(), len(rows)
+        best = (1e-12, None)
+        for j in range(x.shape[1]):
+            for cut in np.unique(x[rows, j])[:-1]:
+                left = rows[x[rows, j] <= cut]
+                gl, hl = g[left].sum(), len(left)
+                gain = round(gl**2 / (hl + l2) + (total - gl) ** 2 / (n - hl + l2) - total**2 / (n + l2), 9)
+                if gain > best[0]:
+                    best = (gain, (j, cut))
+        if level == depth or best[1] is None:
+            out[rows] = -rate * total / (n + l2)
+            return
+        j, cut = best[1]
+        grow(rows[x[rows, j] <= cut], level + 1, g, out)
+        grow(rows[x[rows, j] > cut], level + 1, g, out)
+
+    for _ in range(rounds):
+        step = np.zeros(len(y))
+        grow(np.arange(len(y)), 0, score - y, step)
+        score = score + step
+    return score
+
+
+def test_histogram_boosting_by_hand(spark, tmp_path):
+    """All values have bins of their own, so the trees are those of an exhaustive search."""
+    rng = np.random.default_rng(4)
+    x = np.c_[rng.integers(0, 20, 200), rng.integers(0, 7, 200), rng.integers(0, 3, 200)].astype(float)
+    y = np.where(x[:, 0] > 7, 3.0, -1.0) * (1 + x[:, 1]) + rng.normal(0, 1, 200)
+    data = [(i, *map(float, r), float(v)) for i, (r, v) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(data, "id int, a double, b double, c double, label double")
+    matrix = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df.repartition(3))
+    model = HistogramBoosting(rounds=12, depth=3, rate=0.3, l2=1.0).fit(matrix)
+    want = boosted_by_hand(x, y, 12, 3, 0.3, 1.0)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    for m in (model, HistogramBoostingModel.load(str(tmp_path / "m"))):
+        got = m.transform(matrix).select("id", "prediction").toPandas().set_index("id").sort_index()["prediction"]
+        np.testing.assert_allclose(got, want, rtol=1e-9)
+    constant = HistogramBoosting(rounds=3).fit(matrix.withColumn("label", F.lit(2.5)))
+    assert constant.trees == [] and constant.transform(matrix).agg(F.max("prediction")).first()[0] == 2.5
+
+
 def test_weighted_median(spark):
     df = spark.createDataFrame([([3.0, 1.0, 2.0],)], "p array<double>")
     assert df.select(weighted_median(F.col("p"), [1.0, 1.0, 1.0])).first()[0] == 2.0
