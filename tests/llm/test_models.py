@@ -1,5 +1,8 @@
 """Toxicity and languages by held-out accuracy; neighbours by recall against brute force."""
 
+import itertools
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +56,83 @@ def test_toxicity_of_awkward_rows(spark, awkward, no_docs):
     assert toxicity.score_toxicity(awkward, labels.limit(0)).where("predicted = 1").count() == 0
 
 
+def plain_grams(text):
+    """The buckets of a text's n-grams, byte by byte."""
+    data = text.encode()
+    word = [b >= 0x80 or chr(b).isalnum() for b in data]
+    plain = [0x20, *(b | 0x20 if 65 <= b <= 90 else b if w else 0x20 for b, w in zip(data, word, strict=True)), *[0x20] * 6]
+    word = [False, *word, *[False] * 6]
+    for n in toxicity.GRAMS:
+        for i in range(len(data)):
+            if all(word[i + 1 : i + n - 1]):
+                h = 0
+                for b in plain[i : i + n]:
+                    h = (h * 0x01000193 + b) % 2**32
+                yield ((h ^ (h >> 15)) * 0x85EBCA6B) % 2**32 >> (32 - toxicity.BUCKET_BITS)
+
+
+def test_toxicity_is_the_mean_of_bucket_odds(spark, awkward, documents):
+    rng = np.random.default_rng(6)
+    model = toxicity.Model(rng.normal(0, 3, 1 << toxicity.BUCKET_BITS).astype(np.float32), -0.7)
+    for docs in (awkward.where("length(text) < 20000 or text is null"), documents.where("length(text) < 3000")):
+        found = toxicity.score(docs, model).collect()
+        texts = [r.text or "" for r in docs.collect()]
+        assert len(found) == len(texts)
+        for r, text in zip(found, texts, strict=True):
+            odds = [float(model.odds[b]) for b in plain_grams(text)]
+            logit = model.bias + (sum(odds) / len(odds) if odds else 0.0)
+            assert abs(r.score - 1 / (1 + math.exp(-logit))) < 1e-5 and r.predicted == (r.score >= 0.3)
+
+
+def plain_units(text, logs):
+    """Log-likelihoods of units of four words, trigram by trigram."""
+    data = text.encode()
+    letter = [b >= 0x80 or chr(b).isalpha() for b in data]
+    plain = [0x20, *((b if b >= 0x80 else b | 0x20) if w else 0x20 for b, w in zip(data, letter, strict=True)), 0x20]
+    words, units = -1, []
+    for i, w in enumerate(letter):
+        if not w:
+            continue
+        if i == 0 or not letter[i - 1]:
+            words += 1
+            if words % 4 == 0:
+                units.append(np.zeros(len(logs)))
+        gram = plain[i] << 16 | plain[i + 1] << 8 | plain[i + 2]
+        units[-1] += logs[:, (gram * 0x9E3779B1) % 2**32 >> 16]
+    return np.array(units)
+
+
+def mixture_of(units, chosen):
+    """Shares of the chosen languages after many rounds, and their penalised likelihood."""
+    top = units.max(axis=1, keepdims=True)
+    likely, shares = np.exp(units - top)[:, chosen] + 1e-30, np.full(len(chosen), 1 / len(chosen))
+    for _ in range(3000):
+        weight = likely * shares
+        shares = (weight / weight.sum(axis=1, keepdims=True)).mean(axis=0)
+    return shares, top.sum() + np.log(likely @ shares).sum() - 0.5 * (len(chosen) - 1) * math.log(len(units))
+
+
+def test_languages_are_the_best_of_all_mixtures(spark, documents, make_docs):
+    """The set found by dropping languages is the best of all sets, and its shares are EM's."""
+    model = languages.train(documents)
+    parts = {r.lang: r.text for r in documents.where("lang is not null and length(text) > 400").collect()}
+    mixed = [(i, a[:400] + " " + b[:300]) for i, (a, b) in enumerate(itertools.permutations(parts.values(), 2))]
+    rows = [(r.doc_id + 100, r.text) for r in documents.where("length(text) between 1 and 1500").limit(60).collect()] + mixed
+    found = {r.doc_id: r for r in languages.predict(make_docs(rows), model).collect()}
+    names, same = model.languages, 0
+    for doc, text in rows:
+        units = plain_units(text, model.logs.astype(float))
+        if not len(units):
+            assert found[doc].lang_pred == "und"
+            continue
+        sets = [list(s) for n in range(1, len(names) + 1) for s in itertools.combinations(range(len(names)), n)]
+        best = max(((mixture_of(units, s), s) for s in sets), key=lambda x: x[0][1])
+        (shares, _), chosen = best
+        assert abs(found[doc].score - shares.max()) < 0.1
+        same += found[doc].lang_pred == names[chosen[shares.argmax()]] and abs(found[doc].score - shares.max()) < 0.02
+    assert same >= 0.95 * len(rows)
+
+
 def test_languages_of_held_out_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     found = languages.identify(docs).toPandas()
