@@ -134,9 +134,10 @@ def cross_validate(
     spark = df.sparkSession
     clean = labelled(df, target, features, keep=[c for c in order if c not in features])
     rows = materialise(with_position(clean, [], order, ROW, rows_per_cut), "folds")
-    fill = column_medians(rows, features)
     n, _ = label_spread(rows)
     bounds = fold_bounds(n, folds)
+    # Each fold's missing values are filled from its own training rows.
+    fills = {start: column_medians(rows.filter(F.col(ROW) < start), features) for _, start, _ in bounds}
 
     def compare(entry: tuple[str, Callable | None]) -> tuple:
         name, factory = entry
@@ -145,7 +146,7 @@ def cross_validate(
         try:
             scores = []
             for _, start, end in bounds:
-                fitted = fit(rows.filter(F.col(ROW) < start), fill, factory)
+                fitted = fit(rows.filter(F.col(ROW) < start), fills[start], factory)
                 held = rows.filter((F.col(ROW) >= start) & (F.col(ROW) < end))
                 scores.append(error_metrics(fitted.transform(held)).first())
             table = spark.createDataFrame(
@@ -154,7 +155,7 @@ def cross_validate(
             )
             s = summarise(table).first()
         except Exception as error:  # noqa: BLE001 - one model must not end the comparison
-            return name, None, None, None, None, 0, str(error)[:500]
+            return name, None, None, None, None, 0, str(error)
         return name, s["rmse_mean"], s["rmse_std"], s["mae_mean"], s["r2_mean"], s["n_folds"], None
 
     # The driver only waits for each fit, so several models share the cluster.

@@ -111,6 +111,21 @@ def test_cross_validation(rows):
     assert abs(found["Ridge"].rmse_std - np.std(errors)) < 1e-8
 
 
+def test_folds_are_filled_from_their_own_training_rows(spark):
+    """What a fold's gaps are filled with lies among its own values, not among later ones."""
+    rows = [(i, None if i % 4 == 0 else float(i if i < 60 else 1e6), float(i % 5)) for i in range(120)]
+    df = spark.createDataFrame(rows, "id int, b double, y double")
+    seen = []
+
+    def spy(train):
+        seen.append({round(float(r.features[0]), 3) for r in train.collect()})
+        return models.ridge(train)
+
+    result = validate.cross_validate(df, ["b"], "y", ["id"], {"Ridge": spy}, folds=3, parallel=1).first()
+    # Were the gaps filled with a median of all rows, the first fold's other values would be as one.
+    assert result.error is None and len(seen[0]) > 20
+
+
 def brute(train, labels, queries, k=5):
     out = []
     for q in queries:
