@@ -10,8 +10,10 @@ columns of ``docs``. ``run`` writes each result as Parquet and hands it to the n
   a source is repeated a second row with the same doc_id follows;
 * packing: pieces of at most 2048 ids with their places in sequences.
 
-Nulls, empty and repeated rows are treated as each operator's module says; columns beyond
-doc_id, text, lang, source and n_chars are carried through unchanged.
+Nulls, empty and repeated rows are treated as each operator's module says. Rows without doc_id
+go through like others; of equal or near ones one stays. Columns beyond doc_id, text, lang, source
+and n_chars are carried through unchanged, whatever their names. A stage's table is removed once
+the next one is written.
 """
 
 from __future__ import annotations
@@ -59,9 +61,13 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table of documents."""
     folder = Written(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
+    before = None
+    for _, stage in STAGES:
         docs = folder.keep(stage(spark, docs, sf_dir))
-    return folder.keep(STAGES[-1][1](spark, docs, sf_dir))
+        if before is not None:
+            folder.drop(before)
+        before = docs
+    return docs
 
 
 # SQL cannot express the mixture inference, the minima or the packing: see tests/llm.
