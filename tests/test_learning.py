@@ -117,11 +117,15 @@ def test_folds_are_filled_from_their_own_training_rows(spark):
     df = spark.createDataFrame(rows, "id int, b double, y double")
     seen = []
 
-    def spy(train):
-        seen.append({round(float(r.features[0]), 3) for r in train.collect()})
-        return models.ridge(train)
+    class Spy:
+        def __init__(self, train):
+            self.inner = models.ridge(train)
 
-    result = validate.cross_validate(df, ["b"], "y", ["id"], {"Ridge": spy}, folds=3, parallel=1).first()
+        def fit(self, matrix):
+            seen.append({round(float(r.features[0]), 3) for r in matrix.collect()})
+            return self.inner.fit(matrix)
+
+    result = validate.cross_validate(df, ["b"], "y", ["id"], {"Ridge": Spy}, folds=3, parallel=1).first()
     # Were the gaps filled with a median of all rows, the first fold's other values would be as one.
     assert result.error is None and len(seen[0]) > 20
 
