@@ -21,14 +21,15 @@ from airloom.sources import payloads, tables
 
 
 def observations(
-    weather: DataFrame, readings: DataFrame | None = None, payload: str = "payload"
+    weather: DataFrame, readings: DataFrame | None = None, payload: str = "payload", zone: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Archive payloads to clean hourly observations, and the rejected rows.
 
+    The payloads' times are local to ``zone``; observations hold instants.
     A target the payload lacks is estimated from the weather and the station's
     reading, one row per series, where there is one.  Repeated hours collapse.
     """
-    rows = nan_to_null(payloads.hourly_archive(weather, payload, [SERIES]))
+    rows = nan_to_null(payloads.hourly_archive(weather, payload, [SERIES], zone))
     names = (TARGET, *ESTIMATE_POLLUTANTS)
     if readings is None:
         known = {k: F.lit(None).cast("double") for k in names}
@@ -44,10 +45,17 @@ def observations(
 
 
 def historical(
-    rows: DataFrame, start: dt.datetime, end: dt.datetime, output: str | None = None
+    rows: DataFrame, start: dt.datetime, end: dt.datetime, output: str | None = None, context: bool = True
 ) -> DataFrame:
-    """Features of the observations in [start, end], written where asked."""
-    features = feature_frame(ranges.between(rows, TIME, start, end))
+    """Features of the observations in [start, end], written where asked.
+
+    An hour's features are those of any other run: earlier rows are read as context. Without
+    ``context`` the series starts at ``start``.
+    """
+    if context:
+        features = with_context(rows, start, end)
+    else:
+        features = feature_frame(ranges.between(rows, TIME, start, end))
     if output is not None:
         tables.write_features(features, output, TIME, mode="overwrite")
     return features
@@ -57,20 +65,23 @@ def backfill(rows: DataFrame, end: dt.datetime, years: int = 2, output: str | No
     return historical(rows, *ranges.backfill_bounds(end, years), output)
 
 
-def incremental(rows: DataFrame, end: dt.datetime, hours: int = 24, output: str | None = None) -> DataFrame:
-    """Features of the last hours, with the rows before them as context.
+def with_context(rows: DataFrame, start: dt.datetime, end: dt.datetime) -> DataFrame:
+    """Features of [start, end], with the rows before it as context.
 
     Lags and windows need a bounded number of earlier rows; the exponential
-    averages need all of them, for which three columns of the history are read.
+    averages need all of them, for which three columns of the history are read
+    (``refresh`` goes on from stored states instead).
     """
-    start, end = ranges.incremental_bounds(end, hours)
     features = ranges.with_lookback(rows, [SERIES], [TIME], start, end, feature_frame)
     history = nan_to_null(rows.filter(F.col(TIME) <= F.lit(end)).select(SERIES, TIME, TARGET))
     averages = ema(history, TARGET, [SERIES], [TIME]).filter(F.col(TIME) >= F.lit(start)).drop(TARGET)
     partial = [c for c in averages.columns if c not in (SERIES, TIME)]
-    features = (
-        features.drop(*partial).join(averages, [SERIES, TIME], "left").select(*features.columns)
-    )
+    return features.drop(*partial).join(averages, [SERIES, TIME], "left").select(*features.columns)
+
+
+def incremental(rows: DataFrame, end: dt.datetime, hours: int = 24, output: str | None = None) -> DataFrame:
+    """Features of the last hours, with the rows before them as context."""
+    features = with_context(rows, *ranges.incremental_bounds(end, hours))
     if output is not None:
         tables.upsert_days(features, output, [SERIES, TIME], TIME)
     return features

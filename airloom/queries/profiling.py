@@ -395,15 +395,12 @@ def importance_unpivot(spark, sf_dir):
         FROM orders GROUP BY 1""",
 )
 def results_table(spark, sf_dir):
-    """A nested map of results, as a results file holds it, to one row per model."""
+    """Nested maps of results, as results files hold them, to one row per model."""
     per_model = table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(
         F.stddev_pop("o_totalprice").alias("rmse_mean"), F.avg("o_totalprice").alias("mae_mean")
     )
-    # One entry per model name.
-    nested = per_model.agg(
-        F.map_from_entries(
-            F.collect_list(F.struct("o_orderpriority", F.struct("rmse_mean", "mae_mean")))
-        ).alias("all_results")
+    nested = per_model.select(
+        F.create_map("o_orderpriority", F.struct("rmse_mean", "mae_mean")).alias("all_results")
     )
     return present(reshape.results_long(nested, "all_results"))
 

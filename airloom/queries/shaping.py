@@ -468,6 +468,21 @@ def observation_sql(columns, source: str, frm: str, keys="series_key") -> str:
 )
 def payload_hourly_archive(spark, sf_dir):
     """One payload per series and day: parallel arrays, cloud cover absent."""
+    return present(payloads.hourly_archive(archive_payloads(spark, sf_dir), "payload", ["series_key"]))
+
+
+@query(
+    "payload_zones",
+    f"SELECT series_key, {TS('datetime - INTERVAL 5 HOUR')} AS datetime, {R('temperature_2m')} AS temperature_2m FROM ({HOURLY_SQL})",
+)
+def payload_zones(spark, sf_dir):
+    """The same payloads with times local to a zone five hours ahead, read as instants."""
+    landed = archive_payloads(spark, sf_dir)
+    rows = payloads.hourly_archive(landed, "payload", ["series_key"], zone="Asia/Karachi")
+    return present(rows.select("series_key", "datetime", "temperature_2m"))
+
+
+def archive_payloads(spark, sf_dir):
     rows = hourly(spark, sf_dir)
     day = F.sort_array(F.collect_list(F.struct("datetime", *WEATHER)))  # at most 24 hours
     days = rows.groupBy("series_key", F.to_date("datetime").alias("day")).agg(day.alias("d"))
@@ -479,8 +494,7 @@ def payload_hourly_archive(spark, sf_dir):
             ).alias("hourly")
         )
     )
-    landed = days.select("series_key", payload.alias("payload"))
-    return present(payloads.hourly_archive(landed, "payload", ["series_key"]))
+    return days.select("series_key", payload.alias("payload"))
 
 
 @query("payload_current", observation_sql(WEATHER, "open-meteo", HOURLY_SQL))

@@ -36,12 +36,26 @@ DETAIL_SCHEMA = (
 STATION_POLLUTANTS = ("pm25", "pm10", "no2", "o3", "so2", "co")
 
 
+def _instant(text: Column, zone: str | None) -> Column:
+    """A time given as text; without an offset of its own it is local to ``zone`` (None: the session's)."""
+    time = F.try_to_timestamp(text)
+    if zone is None:
+        return time
+    has_offset = text.rlike(r"(Z|[+-]\d{2}:?\d{2})$") & text.contains(":")
+    return F.when(has_offset, time).otherwise(F.to_utc_timestamp(F.from_utc_timestamp(time, F.current_timezone()), zone))
+
+
 def _parsed(df: DataFrame, payload: str, schema: str, keep: Sequence[str]) -> DataFrame:
     return df.select(*keep, F.from_json(payload, schema).alias("_p"))
 
 
-def hourly_archive(df: DataFrame, payload: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Parallel arrays to one row per hour; absent or short arrays pad with NULL."""
+def hourly_archive(
+    df: DataFrame, payload: str, keep: Sequence[str] = (), zone: str | None = None
+) -> DataFrame:
+    """Parallel arrays to one row per hour; absent or short arrays pad with NULL.
+
+    Times without an offset are local to ``zone``, as the payload was asked for.
+    """
     fields = ("time", *WEATHER)
     zipped = F.arrays_zip(
         *[
@@ -54,18 +68,20 @@ def hourly_archive(df: DataFrame, payload: str, keep: Sequence[str] = ()) -> Dat
     rows = rows.toDF(*keep, *fields)
     return rows.filter("time IS NOT NULL").select(
         *keep,
-        F.try_to_timestamp("time").alias("datetime"),
+        _instant(F.col("time"), zone).alias("datetime"),
         *WEATHER,
         F.lit("open-meteo").alias("source"),
     )
 
 
-def current_weather(df: DataFrame, payload: str, keep: Sequence[str] = ()) -> DataFrame:
+def current_weather(
+    df: DataFrame, payload: str, keep: Sequence[str] = (), zone: str | None = None
+) -> DataFrame:
     current = F.col("_p.current")
     return _parsed(df, payload, CURRENT_SCHEMA, keep).select(
         *keep,
         F.when(current["time"].isNull(), F.current_timestamp())
-        .otherwise(F.try_to_timestamp(current["time"]))
+        .otherwise(_instant(current["time"], zone))
         .alias("datetime"),
         *[current[c].alias(c) for c in WEATHER],
         F.lit("open-meteo").alias("source"),
@@ -82,7 +98,9 @@ def station_status(df: DataFrame, payload: str) -> tuple[DataFrame, DataFrame]:
     return parsed.filter(_accepted()).drop("_p"), parsed.filter(~_accepted()).drop("_p")
 
 
-def station_aqi(df: DataFrame, payload: str, keep: Sequence[str] = ()) -> DataFrame:
+def station_aqi(
+    df: DataFrame, payload: str, keep: Sequence[str] = (), zone: str | None = None
+) -> DataFrame:
     """Station payloads; a pollutant is a number or an object with field ``v``.
 
     The text is parsed once, and each pollutant once.
@@ -99,7 +117,7 @@ def station_aqi(df: DataFrame, payload: str, keep: Sequence[str] = ()) -> DataFr
     return rows.select(
         *keep,
         F.when(data["time"]["s"].isNull(), F.current_timestamp())
-        .otherwise(F.try_to_timestamp(data["time"]["s"]))
+        .otherwise(_instant(data["time"]["s"], zone))
         .alias("datetime"),
         data["aqi"].alias("aqi"),
         *[F.try_element_at("pollutants", F.lit(p)).alias(p) for p in STATION_POLLUTANTS],
@@ -137,13 +155,15 @@ def pollution_forecast(df: DataFrame, payload: str, keep: Sequence[str] = ()) ->
     return rows.select(*keep, *_pollution(F.col("item"), POLLUTANTS))
 
 
-def current_detail(df: DataFrame, payload: str, keep: Sequence[str] = ()) -> DataFrame:
+def current_detail(
+    df: DataFrame, payload: str, keep: Sequence[str] = (), zone: str | None = None
+) -> DataFrame:
     """Detail payload; a visibility of nothing or zero counts as 10 km."""
     c = F.col("_p.current")
     km = F.when(c["vis_km"].isNull() | (c["vis_km"] == 0), 10.0).otherwise(c["vis_km"])
     return _parsed(df, payload, DETAIL_SCHEMA, keep).select(
         *keep,
-        F.try_to_timestamp(c["last_updated"]).alias("datetime"),
+        _instant(c["last_updated"], zone).alias("datetime"),
         c["temp_c"].alias("temperature_2m"),
         c["humidity"].alias("relative_humidity_2m"),
         c["pressure_mb"].alias("pressure_msl"),

@@ -86,6 +86,20 @@ def test_incremental_average_looks_back_over_all_rows(spark, clean):
         assert row[1] is not None and row[1:3] == pytest.approx(row[3:5], rel=1e-12)
 
 
+def test_a_historical_range_has_the_features_of_the_whole(spark, clean):
+    start, end = START + dt.timedelta(days=6), START + dt.timedelta(days=7)
+    names = ["aqi_lag_24h", "aqi_rolling_mean_72h", "aqi_ema_168h", "pm25_lag_168h"]
+    whole = runs.backfill(clean, START + dt.timedelta(hours=HOURS), 1).select("series_key", "datetime", *names)
+    want = {tuple(r)[:2]: tuple(r)[2:] for r in whole.collect()}
+    got = runs.historical(clean, start, end).select("series_key", "datetime", *names).collect()
+    assert len(got) == 2 * 25
+    for r in got:
+        for a, b in zip(tuple(r)[2:], want[r[0], r[1]]):
+            assert (a is None) == (b is None) and (a is None or a == pytest.approx(b, rel=1e-9))
+    alone = runs.historical(clean, start, end, context=False)
+    assert alone.filter("aqi_lag_24h IS NULL").count() == 48
+
+
 @pytest.mark.parametrize("cut", [1_000_000, 50])
 def test_averages_go_on_from_a_carry(spark, cut):
     """Any split of a series gives the averages of the whole, also in pieces and from a missing start."""

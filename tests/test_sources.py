@@ -207,3 +207,11 @@ def test_upserts_choose_the_same_row_whatever_the_order(spark, tmp_path):
         df = spark.createDataFrame(part, "k long, datetime timestamp, v double, ingest int").repartition(2)
         tables.upsert_days(df, str(tmp_path / name), ["k", "datetime"], order=["ingest"])
         assert [r.v for r in spark.read.parquet(str(tmp_path / name)).collect()] == [7.0]
+
+
+def test_times_are_local_to_the_payloads_zone(spark):
+    text = json.dumps({"current": {"time": "2024-03-05T02:30", "temperature_2m": 1.0}})
+    offset = json.dumps({"current": {"time": "2024-03-05T02:30:00+03:00", "temperature_2m": 1.0}})
+    df = spark.createDataFrame([(text,), (offset,)], "payload string")
+    utc = lambda zone: [r[0] for r in payloads.current_weather(df, "payload", zone=zone).select(F.date_format("datetime", "MM-dd HH:mm")).collect()]
+    assert utc(None) == ["03-05 02:30", "03-04 23:30"] and utc("Asia/Karachi") == ["03-04 21:30", "03-04 23:30"]
