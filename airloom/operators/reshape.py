@@ -32,7 +32,8 @@ def newest_alerts(alerts: DataFrame, order: Sequence[str], keys: Sequence[str] =
 
 def seeded_sample(df: DataFrame, key: str, count: int = SAMPLE_ROWS, seed: int = 42) -> DataFrame:
     """The same ``count`` rows for the same seed, wherever the rows lie."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(count)
+    mixed = F.md5(F.concat_ws(":", F.lit(seed), F.col(key)).cast("binary"))
+    return df.orderBy(mixed, key).limit(count)
 
 
 def latest_long(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], default: float | None = 0.0) -> DataFrame:

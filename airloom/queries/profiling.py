@@ -337,7 +337,11 @@ def top_rows(spark, sf_dir):
     return present(reshape.top_rows(df, "value", reshape.TOP_FEATURES, ["event_id"]))
 
 
-@query("sample_hash")
+@query(
+    "sample_hash",
+    f"""SELECT event_id, {R('value')} AS value FROM events
+        ORDER BY md5('42:' || event_id), event_id LIMIT {reshape.SAMPLE_ROWS}""",
+)
 def sample_hash(spark, sf_dir):
     """The same hundred rows for the same seed."""
     return present(reshape.seeded_sample(table(spark, sf_dir, "events").select("event_id", "value"), "event_id"))

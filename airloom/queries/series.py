@@ -3,21 +3,26 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from airloom.functions import bands, calendar
+from airloom.functions.calendar import add_time_features
 from airloom.ml import forecast
 from airloom.operators import decompose as parts
 from airloom.operators import ranges, windows
 from airloom.operators.cuts import HOURLY_GRID_ROWS
 from airloom.operators.joins import asof_join, dedup_latest
 from airloom.plans.features import feature_frame
+from airloom.plans.transformers import CyclicalTimeEncoder, LagFeatureGenerator, RollingFeatureGenerator
 from airloom.queries.common import HOURLY_SQL, R, TS, hourly, present, table
 from airloom.queries.shaping import (
     CATEGORY_SQL, HOLIDAY_LIST, INTERACTION_SQL, RISK_SQL, calendar_sql, cyclical_sql, flag_sql,
     season_sql,
 )
+from airloom.session import shared_folder
 
 QUERIES, ORACLES = {}, {}
 ORDER = ["ts", "event_id"]
@@ -520,3 +525,51 @@ def features_leak_free(spark, sf_dir):
         out.select("series_key", "datetime", "aqi", "aqi_rolling_mean_24h", "aqi_rolling_max_3h",
                    "aqi_change_1h", "rolling_mean_720h", "pm25_lag_24h")
     )
+
+
+STEP_WINDOW = "PARTITION BY series_key ORDER BY datetime ROWS BETWEEN {} PRECEDING AND CURRENT ROW"
+
+
+@query(
+    "transformer_pipeline",
+    f"""SELECT series_key, {TS('datetime')} AS datetime,
+        {doubles(dict(
+            hour_sin='sin(2 * pi() * hour(datetime) / 24)', hour_cos='cos(2 * pi() * hour(datetime) / 24)',
+            aqi_lag_1h='lag(aqi, 1) OVER (PARTITION BY series_key ORDER BY datetime)',
+            pm25_lag_24h='lag(pm25, 24) OVER (PARTITION BY series_key ORDER BY datetime)',
+            aqi_rolling_mean_3h=f'avg(aqi) OVER ({STEP_WINDOW.format(2)})',
+            aqi_rolling_max_13h=f'max(aqi) OVER ({STEP_WINDOW.format(12)})',
+        ))} FROM ({HOURLY_SQL})""",
+)
+def transformer_pipeline(spark, sf_dir):
+    """The feature steps as a pipeline that is saved, loaded and run."""
+    rows = hourly(spark, sf_dir).select("series_key", "datetime", "aqi", "pm25")
+    steps = Pipeline(stages=[
+        CyclicalTimeEncoder(columns=["hour"]), LagFeatureGenerator(sizes=[1, 24]), RollingFeatureGenerator(sizes=[3, 13]),
+    ])
+    path = f"{shared_folder(spark)}/airloom/steps-{uuid.uuid4().hex}"
+    timed = add_time_features(rows)
+    steps.fit(timed).write().save(path)
+    out = PipelineModel.load(path).transform(timed)
+    return present(out.select(
+        "series_key", "datetime", "hour_sin", "hour_cos", "aqi_lag_1h", "pm25_lag_24h", "aqi_rolling_mean_3h", "aqi_rolling_max_13h"
+    ))
+
+
+@query(
+    "ensemble",
+    f"""SELECT series_key, {TS('datetime')} AS datetime, {R('(a + b) / 2')} AS prediction FROM (
+        SELECT series_key, datetime, lag(aqi, 24) OVER (PARTITION BY series_key ORDER BY datetime) AS a,
+               lag(aqi, 168) OVER (PARTITION BY series_key ORDER BY datetime) AS b FROM ({HOURLY_SQL}))
+        WHERE a IS NOT NULL AND b IS NOT NULL""",
+)
+def ensemble(spark, sf_dir):
+    """The mean of a daily and a weekly repetition, where both say something."""
+    rows = hourly(spark, sf_dir).select("series_key", "datetime", "aqi")
+    parts = [
+        forecast.seasonal_naive(rows, "aqi", ["series_key"], ["datetime"], season, longest=HOURLY_GRID_ROWS)
+        for season in (24, 168)
+    ]
+    both = parts[1].filter("prediction IS NOT NULL").select("series_key", "datetime")
+    mean = forecast.ensemble(parts, ["series_key", "datetime"])
+    return present(mean.join(both, ["series_key", "datetime"], "left_semi"))
