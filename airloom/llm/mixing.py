@@ -200,11 +200,18 @@ def mix_report(docs: DataFrame, **settings) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **settings) -> DataFrame:
-    """The mix as documents: a row a document and round, its text cut to the words drawn.
+    """The mix as documents: the rows of ``mixed_shards`` in its order, without shard and place."""
+    return mixed_shards(docs, block_words, **settings).select("row.*")
 
-    A document drawn whole keeps its text as it is. ``n_chars`` is counted anew. The rows are
-    range partitioned and sorted by (shard, place): the mix is their order. A document whose
-    blocks are in several shards stands whole where the first of its places is.
+
+def mixed_shards(docs: DataFrame, block_words: int = BLOCK_WORDS, **settings) -> DataFrame:
+    """shard, place, blocks and row: what each shard has drawn of a document in a round.
+
+    A shard holds exactly the blocks of each source that the tree gives it: a long document whose
+    blocks went to several shards has a row in each, of its blocks there. ``row`` is the document's
+    own row with its text cut to the words drawn, as it is where they are all, and ``n_chars``
+    counted anew. The rows are range partitioned and sorted by (shard, place): the mix is
+    their order.
     """
     c = F.col
     folder = Written(docs.sparkSession, "mixing")
@@ -214,14 +221,13 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **settings)
     # Draws are gathered by id, so that the texts are shuffled once, by id alone.
     no_id = F.lit(-(2**63))
     draws = (
-        drawn.groupBy(F.coalesce("doc_id", no_id).alias("of_id"), "copy", "round")
+        drawn.groupBy(F.coalesce("doc_id", no_id).alias("of_id"), "copy", "round", "shard")
         .agg(
-            F.sum("words").alias("taken"),
+            F.sum("words").alias("taken"), F.min("place").alias("place"),
             F.array_sort(F.collect_list(F.struct("block", "words"))).alias("blocks"),
-            F.min(F.struct("shard", "place")).alias("stand"),
         )
         .groupBy("of_id")
-        .agg(F.collect_list(F.struct("copy", "round", "taken", "blocks", "stand")).alias("draws"))
+        .agg(F.collect_list(F.struct("copy", "round", "shard", "place", "taken", "blocks")).alias("draws"))
     )
     columns = [f"`{name}`" for name in docs.columns]
     same = W.partitionBy("id").orderBy("source", "size", "hash")
@@ -240,13 +246,17 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **settings)
     part = c("draw.taken") < c("size")
     out = (
         numbered.join(draws, c("id") == c("of_id"))
-        .withColumn("draw", F.explode(F.filter("draws", lambda d: d["copy"] == c("number"))))
-        .withColumn("words", F.when(part, words))
+        .withColumn("mine", F.filter("draws", lambda d: d["copy"] == c("number"))).drop("draws")
+        # A text is taken apart once, however many shards have a part of it.
+        .withColumn("words", F.when(F.exists("mine", lambda d: d["taken"] < c("size")), words))
+        .withColumn("draw", F.explode("mine")).drop("mine")
         .withColumn("text", F.when(part, cut).otherwise(c("text")))
         .withColumn("row", c("row").withField("text", c("text")))
     )
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("row", c("row").withField("n_chars", F.length("text").cast(kind)))
-    stands = out.select("row", c("draw.stand.shard").alias("shard"), c("draw.stand.place").alias("place"))
-    return stands.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place").select("row.*")
+    stands = out.select(
+        c("draw.shard").alias("shard"), c("draw.place").alias("place"), F.size("draw.blocks").alias("blocks"), "row"
+    )
+    return stands.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place")

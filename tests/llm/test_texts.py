@@ -137,13 +137,21 @@ def test_shards_hold_the_quotas_of_the_tree(spark, make_docs):
     for r in drawn:
         held["abc".index(source[r.doc_id]), r.shard] += 1
     assert (held == mixing.split_quotas(held.sum(axis=1), 8)).all()
-    # The rows of the mix stand in the order of their first places.
-    first = {}
+    # The rows of the mix stand in the order of shard and first place, and so do its shards' blocks.
+    first, count = {}, defaultdict(int)
     for r in drawn:
-        at = (r.doc_id, r.round)
+        at = (r.doc_id, r.round, r.shard)
         first[at] = min(first.get(at, (99, 0)), (r.shard, r.place))
-    mixed = mixing.mixed_documents(docs, block_words=3, shards=8)
-    assert [r.doc_id for r in mixed.collect()] == [d for d, _ in sorted(first, key=first.get)]
+        count[at] += 1
+    mixed = mixing.mixed_shards(docs, block_words=3, shards=8).collect()
+    order = sorted(first, key=first.get)
+    assert [(r.row.doc_id, r.shard, r.blocks) for r in mixed] == [(d, shard, count[d, k, shard]) for d, k, shard in order]
+    plain = mixing.mixed_documents(docs, block_words=3, shards=8)
+    assert plain.columns == docs.columns and [r.doc_id for r in plain.collect()] == [d for d, _, _ in order]
+    again = np.zeros((3, 8), int)
+    for r in mixed:
+        again["abc".index(r.row.source), r.shard] += r.blocks
+    assert (again == held).all()
 
 
 def test_mixed_documents_hold_the_words_taken(documents, awkward):
