@@ -108,6 +108,48 @@ def scaled(spark, sf_dir):
     return present(standard_scale(df, ["l_quantity", "l_discount", "l_tax"]))
 
 
+DIRTY = ("speed", "share", "l_tax")
+DIRTY_SQL = """SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity > 45 THEN NULL ELSE l_extendedprice / 1000 END AS price,
+    CASE WHEN l_discount = 0 THEN 'Infinity'::DOUBLE ELSE 1 / l_discount END AS speed,
+    CASE WHEN l_linenumber = 1 THEN '-Infinity'::DOUBLE WHEN l_linenumber = 2 THEN 'NaN'::DOUBLE
+         WHEN l_linenumber = 3 THEN NULL ELSE l_quantity / 50 END AS share, l_tax FROM lineitem"""
+
+
+def dirty_rows(spark, sf_dir):
+    """Line items with infinities, NaN and gaps, some without a target."""
+    c, inf = F.col, float("inf")
+    line = c("l_linenumber")
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(c("l_quantity") <= 45, c("l_extendedprice") / 1000).alias("price"),
+        F.when(c("l_discount") == 0, inf).otherwise(F.try_divide(F.lit(1.0), c("l_discount"))).alias("speed"),
+        F.when(line == 1, -inf).when(line == 2, float("nan")).when(line != 3, c("l_quantity") / 50).alias("share"), "l_tax",
+    )
+
+
+@query(
+    "clean_matrix",
+    f"""WITH d AS ({DIRTY_SQL}),
+        c AS (SELECT l_orderkey, l_linenumber, price, {', '.join(f"CASE WHEN isfinite({x}) THEN {x} END AS {x}" for x in DIRTY)}
+              FROM d WHERE price IS NOT NULL),
+        m AS (SELECT {', '.join(f'quantile_cont({x}, 0.5) AS m_{x}' for x in DIRTY)} FROM c),
+        f AS (SELECT l_orderkey, l_linenumber, price, {', '.join(f'coalesce({x}, m_{x}) AS {x}' for x in DIRTY)} FROM c, m)
+        SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, {R('price')} AS label,
+               {', '.join(f"{R(f'({x} - avg({x}) OVER ()) / stddev_pop({x}) OVER ()')} AS {x}" for x in DIRTY)} FROM f""",
+)
+def clean_matrix(spark, sf_dir):
+    """The training matrix: rows with a target, infinities and gaps filled with medians, all scaled."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+
+    from airloom.ml.prepare import matrix_stages, scaling
+
+    clean = labelled(dirty_rows(spark, sf_dir), "price", DIRTY, keep=["l_orderkey", "l_linenumber"])
+    fill = column_medians(clean, DIRTY)
+    matrix = PipelineModel(matrix_stages(fill, scaling(clean, fill))).transform(clean)
+    x = vector_to_array("features")
+    return present(matrix.select("l_orderkey", "l_linenumber", LABEL, *[F.get(x, F.lit(i)).alias(c) for i, c in enumerate(DIRTY)]))
+
+
 # --- linear models ----------------------------------------------------------
 
 def price_rows(spark, sf_dir, features):

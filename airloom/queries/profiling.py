@@ -433,6 +433,22 @@ def newest_file(spark, sf_dir):
     return present(tables.newest_file(spark, folder))
 
 
+@query(
+    "results_json",
+    f"SELECT o_orderpriority AS model, {R('avg(o_totalprice)')} AS rmse_mean, count(*)::BIGINT AS n_folds FROM orders GROUP BY 1",
+)
+def results_json(spark, sf_dir):
+    """Results written as JSON and read back under their schema."""
+    import uuid
+
+    path = f"{shared_folder(spark)}/airloom/results-{uuid.uuid4().hex}"
+    results = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("model")).agg(
+        F.avg("o_totalprice").alias("rmse_mean"), F.count(F.lit(1)).alias("n_folds")
+    )
+    tables.write_results(results, path)
+    return present(tables.read_table(spark, path, results.schema, "json"))
+
+
 @query(
     "csv_table",
     f"SELECT event_id, {TS('ts')} AS ts, {R('value')} AS value FROM events",

@@ -322,6 +322,18 @@ START, END = dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20)
 BETWEEN = "ts BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-20'"
 
 
+@query(
+    "backfill_range",
+    f"""SELECT o_orderkey, {TS('o_orderdate')} AS o_orderdate FROM orders
+        WHERE o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 730 DAY""",
+)
+def backfill_range(spark, sf_dir):
+    """The two years of 365 days before the newest row."""
+    df = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    newest = df.agg(F.max("o_orderdate")).first()[0]
+    return present(ranges.between(df, "o_orderdate", *ranges.backfill_bounds(newest, 2)))
+
+
 @query("historical_range", f"SELECT event_id, {R('value')} AS value FROM events WHERE {BETWEEN}")
 def historical_range(spark, sf_dir):
     df = table(spark, sf_dir, "events").select("event_id", "ts", "value")

@@ -79,6 +79,19 @@ def time_features(spark, sf_dir):
     return present(calendar.add_time_features(df, "o_orderdate").drop("o_orderdate"))
 
 
+@query(
+    "text_times",
+    "SELECT o_orderkey, "
+    + ints(**{k: f"coalesce({x}, -1)" for k, x in calendar_sql("(CASE WHEN o_orderkey % 10 <> 0 THEN o_orderdate END)").items()})
+    + " FROM orders",
+)
+def text_times(spark, sf_dir):
+    """Calendar columns of times read as text; every tenth is no time and shown as -1."""
+    text = F.when(F.col("o_orderkey") % 10 == 0, "not a time").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    df = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("at"))
+    return present(calendar.add_time_features(df, "at").drop("at").na.fill(-1))
+
+
 @query(
     "time_features_local",
     "SELECT event_id, "
