@@ -11,7 +11,7 @@ Defined results: a null text counts as empty, and all empty texts are equal. Row
 repeat a ``doc_id`` each count as a row of the group. A row without ``doc_id`` counts in
 its group and is never the one that stays in the report; ``keep_one_of_each`` keeps one row of
 a group without any doc_id, its longest. Of rows equal in doc_id and normalised text the
-longest stays, then the first by text, then by the other columns. Texts of any length are
+longest stays, then the first by a hash of the text, then by the other columns. Texts of any length are
 read whole. Extra columns are ignored, whatever their names. An empty table gives an empty
 result.
 """
@@ -127,10 +127,10 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     others = [docs[f"`{name}`"] for name in docs.columns if name != "text"]
     rows = docs.select(
         docs["doc_id"].alias("id"), F.sha2(normalised(docs["text"]), 256).alias("norm"),
-        F.length(docs["text"]).alias("length"), docs["text"].alias("words"),
+        F.length(docs["text"]).alias("length"), F.xxhash64(docs["text"]).alias("hash"),
         F.to_json(F.struct(*others)).alias("rest"), F.struct(*[f"`{name}`" for name in docs.columns]).alias("row"),
     )
-    same = W.partitionBy("id", "norm").orderBy(F.col("length").desc(), "words", "rest")
+    same = W.partitionBy("id", "norm").orderBy(F.col("length").desc(), "hash", "rest")
     return (
         rows.join(kept, rows["id"].eqNullSafe(kept["kept"]) & (rows["norm"] == kept["digest"]), "left_semi")
         .withColumn("nth", F.row_number().over(same))
