@@ -11,6 +11,9 @@
 4. All rows of those partitions are ranked by exact cosine, in blocks: a cell holds at most
    ``BLOCK`` rows and ``QUERIES`` queries, whatever the size of the partition.
 
+The number of partitions grows with the square root of the table up to ``MOST``; beyond that, and on
+vectors without structure, of which most partitions must be probed, the work grows with the square.
+
 Of equal vectors only the first k + 1 by id can be among anyone's k nearest, so larger groups of
 copies are cut to those before they move; no result changes.
 
@@ -35,9 +38,11 @@ from pyspark.sql import functions as F
 from airloom.llm.common import Written
 
 NEAREST = 5
-# Bound of the training sample, in expected rows.
-SAMPLE = 8192
-PARTITIONS = 32
+# Partitions, a quarter of the square root of the rows, and their bounds; with that many a query that
+# probes few of them meets about as many rows as the square root of the table times its probes.
+FEWEST, MOST = 32, 1024
+# Sample rows a partition, and the bounds of the training sample, in expected rows.
+SHARE, SAMPLE, LARGEST_SAMPLE = 32, 8192, 32768
 GRAPH_NEIGHBOURS = 10
 AIM = 0.97
 HIDDEN, EPOCHS, BATCH, STEP = 128, 40, 256, 3e-3
@@ -151,10 +156,14 @@ def learn_router(x: np.ndarray, target: np.ndarray) -> Router:
     return Router(*weights)
 
 
-def train(sample: np.ndarray, k: int = NEAREST) -> Router:
+def partitions_of(rows: int) -> int:
+    """A power of two that grows with the rows within its bounds."""
+    return min(MOST, max(FEWEST, 1 << max(0, int(np.sqrt(rows) / 4).bit_length() - 1)))
+
+
+def train(sample: np.ndarray, k: int = NEAREST, parts: int = FEWEST) -> Router:
     """Partitions, classifier and the number of probes, from unit vectors of a sample."""
-    parts = PARTITIONS
-    while parts > 1 and len(sample) < 32 * parts:
+    while parts > 1 and len(sample) < SHARE * parts * 3 // 4:
         parts //= 2
     held = np.arange(len(sample)) % 8 == 7
     rows, asked = sample[~held], sample[held]
@@ -190,16 +199,18 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def learned(rows: DataFrame) -> Router:
-    """The router, trained on about ``SAMPLE`` rows drawn by a hash of their id."""
+    """The router, trained on a sample drawn by a hash of the id: about ``SAMPLE`` rows, more for
+    more partitions, and never more than about ``LARGEST_SAMPLE``."""
     n = rows.count()
+    size = min(LARGEST_SAMPLE, max(SAMPLE, SHARE * partitions_of(n)))
     part = F.pmod(F.xxhash64("vec_id", F.lit(8)), F.lit(1 << 30))
-    drawn = rows.where(part < int(min(1.0, SAMPLE / max(1, n)) * (1 << 30))).toPandas()
+    drawn = rows.where(part < int(min(1.0, size / max(1, n)) * (1 << 30))).toPandas()
     drawn = drawn.sort_values("vec_id", kind="stable")
     if not len(drawn):
         return train(np.zeros((0, 1)))
     # Each distinct vector once, in a fixed random order.
     sample = np.unique(unit(np.stack(drawn["vector"].to_numpy())), axis=0)
-    return train(np.random.default_rng(SEED).permutation(sample))
+    return train(np.random.default_rng(SEED).permutation(sample), parts=partitions_of(n))
 
 
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
