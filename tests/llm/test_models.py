@@ -231,3 +231,23 @@ def test_neighbours_in_small_cells(spark, block, queries_):
     assert hits >= 0.9 * 5 * len(truth)
     of = found[found.query_id == 1020].sort_values("rank").vec_id.tolist()
     assert of == [1000, 1001, 1002, 1003, 1004]
+
+
+def test_partitions_grow_with_the_table():
+    assert [neighbours.partitions_of(n) for n in (0, 5000, 150_000, 10**6, 10**9)] == [32, 32, 64, 128, 1024]
+
+
+def test_clustered_vectors_are_found_with_few_probes(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(0, 1, (200, 16))[rng.integers(0, 200, 20_000)] + rng.normal(0, 0.3, (20_000, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    router = neighbours.learned(neighbours.usable(df))
+    assert router.probes <= 8 and router.offset.shape == (32,)
+    asked = np.arange(0, 20_000, 200)
+    found = neighbours.search(df, F.col("vec_id") % 200 == 0).toPandas()
+    unit = neighbours.unit(x)
+    near = unit[asked] @ unit.T
+    near[np.arange(len(asked)), asked] = -9
+    best = np.argsort(-near, axis=1)[:, :5]
+    hits = sum(len(set(best[i]) & set(found[found.query_id == q].vec_id)) for i, q in enumerate(asked))
+    assert hits >= 0.9 * 5 * len(asked)
