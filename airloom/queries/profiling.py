@@ -8,7 +8,7 @@ from airloom.functions import bands
 from airloom.operators import joins, profile, reshape
 from airloom.operators.quantiles import medians
 from airloom.queries.common import HOURLY_SQL, R, TS, hourly, present, table
-from airloom.queries.shaping import GAPPY_SQL, gappy, level_case
+from airloom.queries.shaping import GAPPY_SQL, LOWERED, gappy, level_case
 from airloom.session import shared_folder
 from airloom.sources import tables
 
@@ -317,12 +317,16 @@ def alert_history(spark, sf_dir):
 
 @query(
     "alert_history_per_series",
-    """SELECT event_type, event_id FROM events WHERE value > 50
-       QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) <= 20""",
+    f"""SELECT event_type, event_id, level FROM (SELECT *, {level_case(lambda e: repr(e[0]), LOWERED)} AS level FROM events)
+        WHERE level IN ('hazardous', 'very_unhealthy', 'unhealthy')
+        QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) <= 20""",
 )
 def alert_history_per_series(spark, sf_dir):
-    events = table(spark, sf_dir, "events").filter("value > 50").select("event_type", "ts", "event_id")
-    return reshape.newest_alerts(events, ["ts", "event_id"], ["event_type"]).select("event_type", "event_id")
+    """The newest banner alerts of each series, under thresholds within reach of the values."""
+    events = table(spark, sf_dir, "events").select("event_type", "ts", "event_id", "value")
+    alerts = events.withColumn("level", bands.alert(F.col("value"), LOWERED)["level"])
+    newest = reshape.newest_alerts(alerts.filter(bands.is_banner(F.col("level"))), ["ts", "event_id"], ["event_type"])
+    return newest.select("event_type", "event_id", "level")
 
 
 @query("head_rows", f"SELECT event_id, {R('value')} AS value FROM events ORDER BY ts, event_id LIMIT 10")

@@ -14,6 +14,9 @@ from airloom.schemas import REGISTRY
 from airloom.session import materialise
 
 
+MOST_DAYS = 4_000  # some ten years
+
+
 def write_features(df: DataFrame, path: str, time: str = "datetime", mode: str = "append") -> None:
     """Parquet partitioned by day, each file sorted by time.
 
@@ -150,6 +153,18 @@ def _one_each(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) ->
     return latest(df, keys, [*order, *rest])
 
 
+def _touched(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Stored rows of the days that ``fresh`` has: other partitions are not read.
+
+    The days are literals, unless they are more than a plan should hold.
+    """
+    days = fresh.select("event_date").distinct()
+    listed = [r[0] for r in days.limit(MOST_DAYS + 1).collect() if r[0] is not None]
+    if len(listed) <= MOST_DAYS:
+        return stored.filter(F.col("event_date").isin(listed))
+    return stored.join(days, "event_date", "left_semi")
+
+
 def upsert_days(
     df: DataFrame, path: str, keys: Sequence[str], time: str = "datetime", order: Sequence[str] = ()
 ) -> None:
@@ -164,9 +179,7 @@ def upsert_days(
     fresh = _one_each(df.withColumn("event_date", F.to_date(time)), keys, order)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     if hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path):
-        days = fresh.select("event_date").distinct()
-        touched = spark.read.parquet(path).join(F.broadcast(days), "event_date", "left_semi")
-        fresh = upsert(touched, fresh, keys)
+        fresh = upsert(_touched(spark.read.parquet(path), fresh), fresh, keys)
     merged = materialise(fresh, "upsert")
     (
         merged.repartitionByRange(F.col("event_date"), F.xxhash64(*keys))
