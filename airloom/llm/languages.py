@@ -10,7 +10,8 @@ set and the score its proportion.
 Defined results: a null text, or one without any letter, is ``und`` with score 0, as is
 every text when there is nothing to learn from. Equal proportions give the language that
 sorts first. Rows that repeat a doc_id are predicted each on its own; a null doc_id is
-predicted and counts as not held out. An empty table gives an empty result. Extra columns
+predicted and counts as not held out. Texts of any length are read whole.
+An empty table gives an empty result. Extra columns
 are ignored by ``predict`` and kept by ``keep_identified``.
 """
 

@@ -6,7 +6,8 @@ one without merging, only the rest is merged, by the library's own model, and re
 to a bound. Texts the vocabulary's proofs do not cover are counted by the library itself.
 
 Defined results: a null text is empty and has 0 tokens; rows are independent, so repeated
-rows repeat their counts; a null doc_id is kept. An empty table gives an empty result.
+rows repeat their counts; a null doc_id is kept. Texts of any length are read whole.
+An empty table gives an empty result.
 Extra columns are ignored. The counts do not depend on partitions or order.
 """
 

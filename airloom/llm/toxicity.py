@@ -11,7 +11,8 @@ Defined results: an empty or null text, or one without words, scores the bias al
 every text scores the share of toxic labels when one class has no training row. A document
 with several labels counts as toxic if one says so; null labels are left out. Rows that
 repeat a doc_id are scored each on its own; a null doc_id is scored, and counts as not held
-out. An empty table gives an empty result. Extra columns are ignored.
+out. Texts of any length are read whole.
+An empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
