@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 from collections import Counter, _count_elements
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -63,20 +64,21 @@ def term_counts(docs: DataFrame) -> DataFrame:
         seen: dict = {}
 
         def rows() -> pa.RecordBatch:
-            keys = [(lang, source, term) for (lang, source), of in total.items() for term in of]
+            sizes = [len(of) for of in total.values()]
+            entries, group = sum(sizes), pa.array(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes))
+            names = [pa.array(part, pa.string()) for part in zip(*total, strict=True)]
+            docs = chain.from_iterable(map(seen[g].__getitem__, of) for g, of in total.items())
+            counts = chain.from_iterable(of.values() for of in total.values())
             columns = [
-                pa.array([k[0] for k in keys], pa.string()),
-                pa.array([k[1] for k in keys], pa.string()),
-                pa.array([k[2] for k in keys], pa.binary()).cast(pa.string()),
-                pa.array([d for group in total for d in map(seen[group].__getitem__, total[group])], pa.int64()),
-                pa.array([n for of in total.values() for n in of.values()], pa.int64()),
+                *(pa.DictionaryArray.from_arrays(group, part).dictionary_decode() for part in names),
+                pa.array(list(chain.from_iterable(total.values())), pa.binary()).cast(pa.string()),
+                pa.array(np.fromiter(docs, np.int64, entries)), pa.array(np.fromiter(counts, np.int64, entries)),
             ]
             total.clear()
             seen.clear()
             return pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "docs", "n"])
 
         for batch in batches:
-            held = 0
             texts = batch.column("text").cast(pa.large_binary())
             groups = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True)
             for text, group in zip(texts, groups, strict=True):
@@ -91,8 +93,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 else:
                     _count_elements(total[group], words)
                     _count_elements(seen[group], set(words))
-            held = sum(map(len, total.values()))
-            if held > HELD:
+            if sum(map(len, total.values())) > HELD:
                 yield rows()
         if total:
             yield rows()
