@@ -140,13 +140,25 @@ def quantiles_with(
         while wide and _narrower(numbers, sizes, wide, accuracy):
             wide = {k: b for k, b in wide.items() if b.inside > direct_rows}
         exprs, checks = [], []
+        together = {
+            c: [p for x, p in sorted(open_) if x == c and not brackets[c, p].slack] for c in inner
+        }
+        # The ranks of a column that is not clipped share one map of its values.
+        exprs += [
+            F.percentile(F.col(c), F.array(*[F.lit(float(p)) for p in ps])).alias(f"_all{c}")
+            for c, ps in together.items() if ps
+        ]
         for i, (c, p) in enumerate(sorted(open_)):
-            exprs.append(F.percentile(brackets[c, p].clip(F.col(c)), F.lit(float(p))).alias(f"_p{i}"))
+            if brackets[c, p].slack:
+                exprs.append(F.percentile(brackets[c, p].clip(F.col(c)), F.lit(float(p))).alias(f"_p{i}"))
             if brackets[c, p].slack:
                 below, up_to = _counted(F.col(c), brackets[c, p])
                 checks += [below.alias(f"_a{i}"), up_to.alias(f"_b{i}")]
         row = numbers.agg(F.count(F.lit(1)).alias("_rows"), *exprs, *checks, *wanted).first()
-        found = {key: row[f"_p{i}"] for i, key in enumerate(sorted(open_))}
+        found = {
+            (c, p): row[f"_p{i}"] if brackets[c, p].slack else row[f"_all{c}"][together[c].index(p)]
+            for i, (c, p) in enumerate(sorted(open_))
+        }
         missed = []
         for i, (c, p) in enumerate(sorted(open_)):
             at = p * (sizes[c] - 1)
