@@ -16,10 +16,19 @@
    left, a link needs at least ceil(percent n / 100) of them, so the first that two linked
    sets share is among the p - ceil(percent n / 100) + 1 rarest of each, and so far from the
    end of both that the overlap is still possible. Members below the threshold thus fall
-   apart on their own shingles, and all pairs of a bucket are never made.
-6. A pair is verified by its minima first (if it comes from a bucket), then on the full sets of
+   apart on their own shingles.
+6. Variants of one text share nearly all of their shingles, also where few are linked. So
+   nodes near one pivot form a cell around it, and their pairs are looked for by what they
+   differ in from it: with D the symmetric difference of a node's set and the centre's, sets
+   of m and n shingles are linked if |D| + |D'| - 2 |D and D'| is at most
+   (100 - percent) / (100 + percent) of m + n. Where |D| + |D'| is not above that, both are
+   linked with the centre, with which every member is compared; others share a difference.
+   Nodes that share a difference are first linked by stars, as in step 4, and what is then
+   in several components is joined by the rarest differences that still allow the overlap.
+   The join by shingles of step 5 is left with the pairs that no cell holds.
+7. A pair is verified by its minima first (if it comes from a bucket), then on the full sets of
    hashes, and a link on the words themselves.
-7. Components by alternating large-star and small-star steps; rows with one doc_id are linked.
+8. Components by alternating large-star and small-star steps; rows with one doc_id are linked.
 
 With 48 bands of 5 a pair at a threshold of 0.85 shares no band with a probability of 6e-13,
 one at 0.8 with 5e-9; agreement of minima six standard errors below the threshold rules a pair
@@ -37,7 +46,7 @@ are ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +65,9 @@ MARGIN = 6
 ENOUGH = 20
 # Largest open bucket whose pairs are made; larger ones are joined by rare shingles.
 SMALL = 8
+# Similarity in per cent of a node to the centre of its cell, as their minima tell it; and by how
+# many of its rarest differences from there a node is looked for in the first round of stars.
+NEAR, RAREST = 70, 4
 # A longer word is hashed by BLAKE2b; a set of fewer shingles is told by the words themselves.
 LONG_WORD, FEW = 64, 16
 SEED = 11
@@ -302,9 +314,12 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
 def across_components(nodes: DataFrame, texts: DataFrame, words: int, percent: int, folder: Written) -> DataFrame:
     """Pairs (a, b) of ``nodes`` (node, component) that may be linked and are of two components.
 
-    Every such pair of linked nodes is among them; see step 5 above.
+    Every such pair of linked nodes is among them; see step 5 above. Pairs of one ``cell``, if
+    there is such a column and it is not null, are left out.
     """
     c = F.col
+    cell = c("cell") if "cell" in nodes.columns else F.lit(None).cast("long")
+    nodes = nodes.select("node", "component", F.coalesce(-1 - cell, "component").alias("block"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=1 << 20):
@@ -313,20 +328,21 @@ def across_components(nodes: DataFrame, texts: DataFrame, words: int, percent: i
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)),
-                    *(pa.array(np.repeat(batch.column(x).to_numpy(), n)) for x in ("node", "component")),
+                    *(pa.array(np.repeat(batch.column(x).to_numpy(), n)) for x in ("node", "component", "block")),
                     pa.array(np.repeat(n, n)),
                 ],
-                ["shingle", "node", "component", "n"],
+                ["shingle", "node", "component", "block", "n"],
             )
 
     rows = folder.keep(
-        nodes.join(texts, "node").select("node", "component", "text")
-        .mapInArrow(run, "shingle long, node long, component long, n long")
+        nodes.join(texts, "node").select("node", "component", "block", "text")
+        .mapInArrow(run, "shingle long, node long, component long, block long, n long")
     )
     public = (
         rows.groupBy("shingle").agg(
-            F.count(F.lit(1)).alias("holders"), F.min("component").alias("low"), F.max("component").alias("high")
-        ).where("low != high").select("shingle", "holders")
+            F.count(F.lit(1)).alias("holders"), F.min("component").alias("low"), F.max("component").alias("high"),
+            F.min("block").alias("first"), F.max("block").alias("last"),
+        ).where("low != high and first != last").select("shingle", "holders")
     )
     of_node = W.partitionBy("node")
     rarest = (
@@ -335,19 +351,115 @@ def across_components(nodes: DataFrame, texts: DataFrame, words: int, percent: i
         .withColumn("left", F.count(F.lit(1)).over(of_node) - c("place") + 1)
         # So many are left from here on; a link needs as many and a share of the set.
         .where(c("left") * 100 >= c("n") * percent)
-        .select("shingle", "node", "component", "n", "left")
+        .select("shingle", "node", "component", "block", "n", "left")
     )
     rarest = folder.keep(rarest)
     one, other = rarest.alias("one"), rarest.alias("other")
     return one.join(
         other,
         (c("one.shingle") == c("other.shingle")) & (c("one.component") < c("other.component"))
+        & (c("one.block") != c("other.block"))
         & (F.least("one.left", "other.left") * (100 + percent) >= (c("one.n") + c("other.n")) * percent),
     ).select(
         F.least("one.node", "other.node").alias("a"), F.greatest("one.node", "other.node").alias("b")
     ).distinct()
 
 
+def cells_of(rows: DataFrame, minima_of: DataFrame) -> DataFrame:
+    """(node, cell) of the nodes of ``rows`` (key, node, n) in cells of more than ``SMALL``.
+
+    A cell is named by its centre: of its buckets' heaviest nodes the heaviest that a node is near.
+    """
+    c = F.col
+    weights = rows.groupBy("node").agg(F.sum("n").alias("weight"))
+    weighted = rows.select("key", "node").join(weights, "node")
+    pivots = weighted.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("pivot"))
+    offered = weighted.join(pivots, "key").select(c("node").alias("a"), c("pivot.node").alias("b")).distinct()
+    cells = (
+        similar(offered, minima_of, NEAR).join(weights.withColumnRenamed("node", "b"), "b").groupBy("a")
+        .agg(F.max(F.struct("weight", "b")).alias("best")).select(c("a").alias("node"), c("best.b").alias("cell"))
+    )
+    large = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(c("n") > SMALL)
+    return cells.join(large, "cell").select("node", "cell")
+
+
+def differences(cells: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(key, node, debt, least) for each shingle that only one of a node of ``cells`` and its centre has.
+
+    Two nodes are linked if twice their common keys times 100 + percent reach the sum of their
+    debts; no debt in a cell is below ``least``.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, most=1 << 20):
+            own, centre = (shingle_sets(*texts_of(batch, side), words) for side in ("text", "centre"))
+            found = [np.setxor1d(s, t, assume_unique=True) for s, t in zip(own, centre, strict=True)]
+            many = np.array([len(d) for d in found], np.int64)
+            debt = (100 + percent) * many - (100 - percent) * np.array([len(s) for s in own], np.int64)
+            least = -(100 - percent) * np.array([len(t) for t in centre], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)),
+                    *(pa.array(np.repeat(batch.column(x).to_numpy(), many)) for x in ("cell", "node")),
+                    pa.array(np.repeat(debt, many)), pa.array(np.repeat(least, many)),
+                ],
+                ["shingle", "cell", "node", "debt", "least"],
+            )
+
+    centres = texts.select(F.col("node").alias("cell"), F.col("text").alias("centre"))
+    return (
+        cells.join(texts, "node").join(centres, "cell").select("cell", "node", "text", "centre")
+        .mapInArrow(run, "shingle long, cell long, node long, debt long, least long")
+        .select(F.xxhash64("cell", "shingle").alias("key"), "node", "debt", "least")
+    )
+
+
+def rarest_differences(found: DataFrame, part_of: DataFrame, percent: int) -> DataFrame:
+    """Rows of ``differences`` that a link to another component may have first in common: key, node,
+    component, debt, place (1: the rarest of its node) and left (how many from there on)."""
+    c = F.col
+    labelled = found.join(part_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    public = labelled.groupBy("key").agg(
+        F.count(F.lit(1)).alias("holders"), F.min("component").alias("low"), F.max("component").alias("high")
+    ).where("low != high").select("key", "holders")
+    of_node = W.partitionBy("node")
+    return (
+        labelled.join(public, "key")
+        .withColumn("place", F.row_number().over(of_node.orderBy("holders", "key")))
+        .withColumn("left", F.count(F.lit(1)).over(of_node) - c("place") + 1)
+        .where(c("left") * 2 * (100 + percent) >= c("debt") + c("least"))
+        .select("key", "node", "component", "debt", "place", "left")
+    )
+
+
+def differing_stars(rarest: DataFrame, percent: int, turn: int) -> DataFrame:
+    """(a, b): the nodes of each difference with one of them, at first that of the least debt, then a random one."""
+    c = F.col
+    rank = -c("debt") if turn == 0 else F.xxhash64("key", "node", F.lit(turn))
+    pivots = rarest.groupBy("key").agg(
+        F.max(F.struct(rank.alias("rank"), "node", "component", "debt", "left")).alias("pivot")
+    )
+    return (
+        rarest.join(pivots, "key").where(
+            (c("component") != c("pivot.component"))
+            & (F.least("left", "pivot.left") * 2 * (100 + percent) >= c("debt") + c("pivot.debt"))
+        ).select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
+    )
+
+
+def differing_pairs(rarest: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of two components that share so many differences that they may be linked."""
+    c = F.col
+    one, other = rarest.alias("one"), rarest.alias("other")
+    return one.join(
+        other,
+        (c("one.key") == c("other.key")) & (c("one.component") < c("other.component"))
+        & (F.least("one.left", "other.left") * 2 * (100 + percent) >= c("one.debt") + c("other.debt")),
+    ).select(
+        F.least("one.node", "other.node").alias("a"), F.greatest("one.node", "other.node").alias("b")
+    ).distinct()
+
+
 def settled(stars: DataFrame) -> bool:
     """Whether each node points at one other, which points nowhere: one shuffle."""
     ends = stars.select("u", F.lit(1).alias("out"), F.lit(0).alias("into")).union(
@@ -415,6 +527,34 @@ def star_pairs(rows: DataFrame) -> DataFrame:
     )
 
 
+def linked_in_cells(
+    cells: DataFrame, part_of: DataFrame, texts: DataFrame, words: int, percent: int, folder: Written
+) -> DataFrame:
+    """(node, component) with all that links within ``cells`` (node, cell) connect; see step 6 above."""
+    c = F.col
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        return verified(pairs, texts, words, percent)
+
+    found = folder.keep(differences(cells, texts, words, percent))
+    with_centre = cells.where("node != cell").select(c("node").alias("a"), c("cell").alias("b"))
+    part_of = components(stars_of(part_of).union(confirm(with_centre)), folder)
+    turn = 0
+    while True:
+        rarest = folder.keep(rarest_differences(found, part_of, percent))
+        pairs = folder.keep(differing_stars(rarest.where(c("place") <= RAREST) if turn == 0 else rarest, percent, turn))
+        more = folder.keep(confirm(pairs))
+        part_of = components(stars_of(part_of).union(more), folder)
+        folder.drop(rarest)
+        turn += 1
+        if turn > 1 and more.count() * ENOUGH <= pairs.count():
+            break
+    rarest = folder.keep(rarest_differences(found, part_of, percent))
+    more = folder.keep(confirm(differing_pairs(rarest, percent)))
+    folder.drop(found, rarest)
+    return components(stars_of(part_of).union(more), folder)
+
+
 def grouped(docs: DataFrame, words: int, percent: int, folder: Written) -> DataFrame:
     """node, doc_id, text, n_shingles, component and component_id (its smallest doc_id) of every row."""
     c = F.col
@@ -457,12 +597,18 @@ def grouped(docs: DataFrame, words: int, percent: int, folder: Written) -> DataF
         still_open = following
         if more.count() * ENOUGH <= pairs.count():
             break
+    cells = folder.keep(cells_of(still_open.where(c("n") > SMALL), minima_of))
+    if not cells.isEmpty():
+        part_of = linked_in_cells(cells, part_of, texts, words, percent, folder)
+        following = folder.keep(open_buckets(still_open.select("key", "node", "weight"), part_of))
+        folder.drop(still_open)
+        still_open = following
     small = still_open.where(c("n") <= SMALL)
     one, other = small.alias("one"), small.alias("other")
     pairs = one.join(
         other, (c("one.key") == c("other.key")) & (c("one.component") < c("other.component"))
     ).select(F.least("one.node", "other.node").alias("a"), F.greatest("one.node", "other.node").alias("b")).distinct()
-    large = still_open.where(c("n") > SMALL).select("node", "component").distinct()
+    large = still_open.where(c("n") > SMALL).select("node", "component").distinct().join(cells, "node", "left")
     pairs = similar(pairs, minima_of, percent).union(
         across_components(large, texts, words, percent, folder)
     ).distinct()
@@ -483,7 +629,7 @@ def grouped(docs: DataFrame, words: int, percent: int, folder: Written) -> DataF
         .withColumn("component_id", F.coalesce("component_id", "doc_id"))
         .join(found.select("node", "n_shingles", unnamed), "node")
     )
-    folder.drop(found, classes, members, buckets, minima_of, texts, still_open, more, named)
+    folder.drop(found, classes, members, buckets, minima_of, texts, still_open, cells, more, named)
     return out
 
 

@@ -172,6 +172,28 @@ def test_near_duplicates_of_a_large_loose_group(make_docs, percent):
     assert links <= pairs and len(pairs) < 2 * len(links) + 300
 
 
+@pytest.mark.parametrize("percent", [85, 80])
+def test_near_duplicates_of_many_variants_that_are_hardly_linked(make_docs, monkeypatch, percent):
+    """Two variants have about the threshold's share in common: few are linked, and few pairs are looked at."""
+    rng, rows = random.Random(percent), []
+    base = [f"w{i}" for i in range(120 if percent == 85 else 90)]
+    for d in range(400):
+        words = list(base)
+        for _ in range(1 + (d % 10 == 0)):
+            words[rng.randrange(5, len(words) - 5)] = f"x{rng.randrange(10**6)}"
+        rows.append((d, " ".join(words[: rng.choice([-1, -2, -3])])))
+    rows += [(1000 + d, t + " and one or two words more") for d, t in rows[:300:3]]
+    looked_at = []
+
+    def counted(pairs, *rest, plain=neardup.verified):
+        looked_at.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(neardup, "verified", counted)
+    assert near_rows(neardup.near_duplicates(make_docs(rows), percent=percent)) == near_by_hand(rows, percent)
+    assert sum(looked_at) < 30 * len(rows)  # of 125,000
+
+
 def removed_by_hand(rows, length):
     first, out = {}, []
     ordered = sorted((d, (t or "").encode()) for d, t in rows)
